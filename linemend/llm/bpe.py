@@ -43,6 +43,7 @@ WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)
 #: Entries that a worker keeps of encoded words and of transition rows, and the longest word kept.
 WORD_CACHE, ARC_CACHE, LONGEST_KEPT = 800_000, 1_000_000, 48
 BASE, NEVER = -1, 1 << 60
+ROWS_OUT = 256
 
 
 def byte_letters() -> dict[str, int]:
@@ -122,13 +123,13 @@ class MergeAutomaton:
 
     def _arcs(self, word: bytes, at: int) -> list[tuple[int, int]]:
         """(end, token) of every arc whose label stands at a position, longest last."""
-        node, out = self._trie, []
-        for i in range(at, len(word)):
-            node = node.get(word[i])
-            if node is None:
+        node, out, end = self._trie, [], at
+        for byte in word[at:] if at else word:
+            if (node := node.get(byte)) is None:
                 break
-            if (token := node.get(BASE)) is not None:
-                out.append((i + 1, token))
+            end += 1
+            if BASE in node:
+                out.append((end, node[BASE]))
         return out
 
     def encode(self, word: bytes) -> list[int]:
@@ -238,24 +239,20 @@ def bpe_encode(
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = once(key, lambda: ByteBPE(shared.value))
-        for batch in batches:
-            ids, texts = batch.column(0), batch.column(1)
-            cols: dict[str, list] = {n: [] for n in keep}
-            for row in range(batch.num_rows):
-                packed = bpe.encode_packed(texts[row].as_py())
-                decoded = bpe.decode_packed(packed)
-                cols["n_tokens"].append(len(packed) // 4)
-                cols["ids_sha256"].append(hashlib.sha256(packed).hexdigest())
-                cols["decoded_sha256"].append(hashlib.sha256(decoded.encode()).hexdigest())
-                if with_ids:
-                    cols["token_ids"].append(memoryview(packed).cast("i").tolist())
-                if with_text:
-                    cols["decoded"].append(decoded)
-                if sum(map(len, cols["token_ids"][-1:])) and len(cols["n_tokens"]) >= 500:
-                    yield pa.RecordBatch.from_arrays([ids.slice(row + 1 - len(cols["n_tokens"]), len(cols["n_tokens"]))] + [pa.array(cols[n], OUT.field(n).type) for n in keep[1:]], schema=schema)
-                    cols = {n: [] for n in keep}
-            done = len(cols["n_tokens"])
-            yield pa.RecordBatch.from_arrays([ids.slice(batch.num_rows - done, done)] + [pa.array(cols[n], OUT.field(n).type) for n in keep[1:]], schema=schema)
+        for whole in batches:
+            for k in range(0, whole.num_rows, ROWS_OUT):
+                batch = whole.slice(k, ROWS_OUT)
+                packed = [bpe.encode_packed(t.as_py()) for t in batch.column(1)]
+                decoded = [bpe.decode_packed(x) for x in packed]
+                cols = {
+                    "doc_id": batch.column(0),
+                    "n_tokens": [len(x) // 4 for x in packed],
+                    "token_ids": [memoryview(x).cast("i").tolist() for x in packed] if with_ids else None,
+                    "ids_sha256": [hashlib.sha256(x).hexdigest() for x in packed],
+                    "decoded_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in decoded],
+                    "decoded": decoded,
+                }
+                yield pa.RecordBatch.from_pydict({n: cols[n] for n in keep}, schema=schema)
 
     sql = {"doc_id": "bigint", "n_tokens": "bigint", "token_ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "string"}
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
