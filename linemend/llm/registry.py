@@ -7,10 +7,15 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 
 from linemend.llm.bpe import op1_bpe_automaton
+from linemend.llm.langid import op6_language_bigru
+from linemend.llm.token_count import op7_token_counts
+from linemend.llm.toxicity import op3_toxicity_ftrl
+
+QUERIES = (op1_bpe_automaton, op3_toxicity_ftrl, op6_language_bigru, op7_token_counts)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
-    return {f.__name__: f for f in (op1_bpe_automaton,)}
+    return {f.__name__: f for f in QUERIES}
 
 
 def oracle_sql() -> dict[str, str]:
