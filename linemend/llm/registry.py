@@ -8,10 +8,13 @@ from pyspark.sql import DataFrame, SparkSession
 
 from linemend.llm.bpe import op1_bpe_automaton
 from linemend.llm.langid import op6_language_bigru
+from linemend.llm.mixing import op10_pfair_mixing
+from linemend.llm.parity_join import op4_parity_jaccard
+from linemend.llm.pii import op9_pii_feistel
 from linemend.llm.token_count import op7_token_counts
 from linemend.llm.toxicity import op3_toxicity_ftrl
 
-QUERIES = (op1_bpe_automaton, op3_toxicity_ftrl, op6_language_bigru, op7_token_counts)
+QUERIES = (op1_bpe_automaton, op3_toxicity_ftrl, op4_parity_jaccard, op6_language_bigru, op7_token_counts, op9_pii_feistel, op10_pfair_mixing)
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
