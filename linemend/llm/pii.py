@@ -48,7 +48,7 @@ PATTERN = re.compile(
   | (?P<ssn>(?<![\w-])\d{3}-\d{2}-\d{4}(?![\w-]))
   | (?P<card>(?<![\w-])\d(?:[ -]?\d){12,18}(?![\w-]))
   | (?P<phone>(?<![\w+])(?:\+\d{1,3}[ .-]?(?:\(\d{2,4}\)[ .-]?)?\d{2,4}(?:[ .-]?\d{2,4}){1,3}|(?:\d{1,3}[ .-])?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}|\d{3}[.-]\d{3}[.-]\d{4})(?!\w))
-  | (?P<secret>(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk[-_](?:live_|test_|proj-)?[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32})(?![A-Za-z0-9_]))
+  | (?P<secret>(?<![A-Za-z0-9_])(?:(?:AKIA|ASIA)[A-Z0-9]{16}|gh[pousr]_[A-Za-z0-9]{20,}|sk[-_](?:live_|test_|proj-)?[A-Za-z0-9]{16,}|xox[abpr]-[A-Za-z0-9-]{10,}|AIza[A-Za-z0-9_-]{35}|[0-9a-f]{64}|[0-9a-f]{40}|[0-9a-f]{32}|[0-9A-F]{64}|[0-9A-F]{40}|[0-9A-F]{32})(?![A-Za-z0-9_]))
     """,
     re.VERBOSE | re.ASCII,
 )
@@ -207,10 +207,11 @@ class Pseudonyms:
         return "".join(parts)
 
     def _secret(self, text: str) -> str | None:
-        if re.fullmatch(r"[0-9a-f]+", text):
+        if re.fullmatch(r"[0-9a-f]+|[0-9A-F]+", text):
             if text.isdigit() or text.isalpha():
                 return None
-            return f"{self._permute(int(text, 16), 16 ** len(text), 'hex'):0{len(text)}x}"
+            new = f"{self._permute(int(text, 16), 16 ** len(text), 'hex'):0{len(text)}x}"
+            return new if text == text.lower() else new.upper()
         head = PREFIX.match(text).group()
         return head + self._letters(text[len(head) :], "secret" + head)
 
