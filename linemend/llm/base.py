@@ -39,6 +39,17 @@ def file_bytes(path: str) -> bytes:
         return f.read()
 
 
+#: Arrow batches of long texts: bytes and rows, held by the JVM and the worker at once.
+BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+
+
+def small_batches(spark: SparkSession) -> None:
+    """Lowers the session's Arrow batch limits where they are above ours, so that a
+    task's memory does not follow the length of its rows."""
+    spark.conf.set("spark.sql.execution.arrow.maxRecordsPerBatch", min(BATCH_ROWS, int(spark.conf.get("spark.sql.execution.arrow.maxRecordsPerBatch", "10000"))))
+    spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+
+
 def crc(value: Any) -> int:
     return zlib.crc32(str(value).encode())
 

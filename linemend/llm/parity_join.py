@@ -43,13 +43,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, drop_table, table
+from linemend.llm.base import cut_table, drop_table, small_batches, table
 from linemend.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
 BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS = 512, 4 << 20, 2_000_000, 128
-WORD_CACHE, SEEN = 600_000, 500_000
+WORD_CACHE, SEEN = 250_000, 200_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
@@ -324,6 +324,7 @@ def jaccard_join(
     """Per row: doc_id, n_shingles, component_id, links_to (the smallest set id of
     the component, for joining members).  See the module for edge cases."""
     bands = Bands(num, den)
+    small_batches(docs.sparkSession)
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
     blocks = cut_table(_blocks(read, bands, words), "parity-blocks")
     total = blocks.agg(F.sum(F.length("keys"))).head()[0] or 0
