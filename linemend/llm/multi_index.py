@@ -127,7 +127,7 @@ def nearest(
     rows = index.join(plan, "cell").select("cell", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"), "id", "x")
     queries = (
         visits.join(asked.withColumnRenamed("id", "q").dropDuplicates(["q", "x"]), "q").join(plan, "cell")
-        .select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("q"), "q_parts").cast("int").alias("q_part"), F.col("q").alias("id"), "x")
+        .select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("q"), "q_parts").cast("int").alias("q_part"), F.col("q").alias("asker"), F.col("x").alias("qx"))
     )
 
     def ranked(theirs: pa.Table, asking: pa.Table) -> pa.Table:
@@ -135,7 +135,7 @@ def nearest(
         if theirs.num_rows and asking.num_rows:
             ids = theirs.column("id").to_numpy()
             m = np.frombuffer(b"".join(theirs.column("x").to_pylist()), np.float64).reshape(len(ids), -1)
-            for q, raw in zip(asking.column("id").to_pylist(), asking.column("x").to_pylist(), strict=True):
+            for q, raw in zip(asking.column("asker").to_pylist(), asking.column("qx").to_pylist(), strict=True):
                 d = np.sqrt(((m - np.frombuffer(raw, np.float64)) ** 2).sum(1))
                 d[ids == q] = np.inf
                 best = np.lexsort((ids, d))[:k]
