@@ -15,12 +15,15 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
-def once(key: Any, build: Callable[[], Any]) -> Any:
-    """Per-process memo, so that a Python worker builds an object once and not
-    once a task.  It keeps the last few objects only."""
+def once(key: tuple, build: Callable[[], Any]) -> Any:
+    """Per-process memo, so that a Python worker builds an object once and not once a
+    task.  ``key[0]`` names the operator: when another operator's object is built, the
+    former ones go, so a worker never holds the caches of several operators."""
     if key not in _built:
-        while len(_built) >= 8:
-            _built.pop(next(iter(_built)))
+        for k in [k for k in _built if k[0] != key[0]]:
+            del _built[k]
+        while len(_built) >= 4:
+            del _built[next(iter(_built))]
         _built[key] = build()
     return _built[key]
 
@@ -40,7 +43,7 @@ def file_bytes(path: str) -> bytes:
 
 
 #: Arrow batches of long texts: bytes and rows, held by the JVM and the worker at once.
-BATCH_BYTES, BATCH_ROWS = 8 << 20, 2000
+BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
 
 
 def small_batches(spark: SparkSession) -> None:

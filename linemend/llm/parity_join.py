@@ -19,8 +19,10 @@ Steps, none of which holds more than one block of documents or a slice of keys:
 2. Words occurring once can't join.  Blocks send sorted 32-bit fingerprints of
    their words to slices, which answer with a bit for each: seen elsewhere or not.
    Only words that are seen twice become rows (word, set).
-3. The sets of a word are compared with its smallest set (linear in the group);
-   exact sets decide.  Components of the links are formed.
+3. The sets of a word are compared with its smallest set (linear in the group): first
+   by bit sketches, in which each shingle flips one bit, so that a Hamming distance
+   above the bound rules a pair out; then exact sets decide.  Components of the links
+   are formed.
 4. Where a word still holds several components, sets of different components are
    compared, so no link between different components is missed.  Components again.
 
@@ -43,13 +45,13 @@ import xxhash
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, drop_table, small_batches, table
+from linemend.llm.base import cut_table, drop_table, once, small_batches, table
 from linemend.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
 BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS = 512, 4 << 20, 2_000_000, 128
-WORD_CACHE, SEEN = 250_000, 200_000
+WORD_CACHE, SEEN = 150_000, 200_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
@@ -72,15 +74,13 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
 def shingles(text: str | None, words: int = WORDS) -> np.ndarray:
     """Ascending hashes of the distinct shingles of a text."""
     found = (text or "").encode().lower().split()  # bytes: lowers A-Z, splits at 20 and 09-0D
     if not found:
         return np.empty(0, np.uint64)
-    h = np.fromiter(map(_hashes.__getitem__, found), np.uint64, len(found))
+    hashes = once(("parity", "words"), _Hashes)
+    h = np.fromiter(map(hashes.__getitem__, found), np.uint64, len(found))
     size = min(words, len(h))
     acc = h[: len(h) - size + 1].copy()
     for j in range(1, size):
@@ -139,6 +139,23 @@ class Bands:
         return [c for c in out if self.words(c)[1]]
 
 
+def bit_sketch(s: np.ndarray) -> np.ndarray:
+    """Parity bits of a set, 2 to 4 for each shingle, packed; a power of two of them."""
+    bits = 1 << max(6, int(len(s) * 2 - 1).bit_length())
+    times = np.bincount((mixed(s ^ _M2) & np.uint64(bits - 1)).astype(np.int64), minlength=bits)
+    return np.packbits((times & 1).astype(bool))
+
+
+def least_apart(a: np.ndarray, b: np.ndarray) -> int:
+    """Lower bound of the symmetric difference of two sets, from their bit sketches;
+    the longer one is folded to the length of the shorter."""
+    if len(a) < len(b):
+        a, b = b, a
+    while len(a) > len(b):
+        a = a[: len(a) // 2] ^ a[len(a) // 2 :]
+    return int(np.bitwise_count(a ^ b).sum())
+
+
 class Sketcher:
     def __init__(self, bands: Bands):
         self._bands, self._plan = bands, {}
@@ -164,18 +181,19 @@ class Sketcher:
 
 
 def _blocks(docs: DataFrame, bands: Bands, words: int) -> DataFrame:
-    """One row per block: block, doc_ids, sets (null: no shingle), sizes, n_keys, keys."""
+    """One row per block: block, doc_ids, sets (null: no shingle), sizes, n_keys, keys,
+    and the bit sketch of each set that has keys here."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         from pyspark import TaskContext
 
         task, count, sketch, seen = TaskContext.get().partitionId(), 0, Sketcher(bands), set()
-        ids, sets, sizes, n_keys, keys, held = [], [], [], [], [], 0
+        ids, sets, sizes, n_keys, keys, bits, held = [], [], [], [], [], [], 0
 
         def block() -> pa.RecordBatch:
             return pa.RecordBatch.from_pydict({
                 "block": pa.array([(task << 32) + count], pa.int64()), "doc_ids": pa.array([ids], pa.list_(pa.int64())), "sets": pa.array([sets], pa.list_(pa.int64())),
-                "sizes": pa.array([sizes], pa.list_(pa.int64())), "n_keys": pa.array([n_keys], pa.list_(pa.int32())), "keys": pa.array([b"".join(keys)], pa.binary()),
+                "sizes": pa.array([sizes], pa.list_(pa.int64())), "n_keys": pa.array([n_keys], pa.list_(pa.int32())), "keys": pa.array([b"".join(keys)], pa.binary()), "bits": pa.array([bits], pa.list_(pa.binary())),
             })
 
         for batch in batches:
@@ -183,26 +201,28 @@ def _blocks(docs: DataFrame, bands: Bands, words: int) -> DataFrame:
                 raw = text.as_py()
                 s = shingles(raw, words)
                 own = set_id(s) if len(s) else None
-                found = np.empty(0, np.uint64)
+                found, sketched = np.empty(0, np.uint64), None
                 if own is not None and own not in seen:  # a set met before in this task has its keys already
                     if len(seen) >= SEEN:
                         seen.clear()
                     seen.add(own)
-                    found = sketch.keys(s)
+                    found, sketched = sketch.keys(s), bit_sketch(s).tobytes()
                 ids.append(doc_id)
                 sets.append(own)
                 sizes.append(len(s))
                 n_keys.append(len(found))
                 keys.append(found.tobytes())
+                bits.append(sketched)
                 held += len(raw or "")
                 if len(ids) >= BLOCK_DOCS or held >= BLOCK_BYTES:
                     yield block()
                     count += 1
-                    ids, sets, sizes, n_keys, keys, held = [], [], [], [], [], 0
+                    ids, sets, sizes, n_keys, keys, bits, held = [], [], [], [], [], [], 0
         if ids:
             yield block()
+        pa.default_memory_pool().release_unused()
 
-    return docs.mapInArrow(made, "block bigint, doc_ids array<bigint>, sets array<bigint>, sizes array<bigint>, n_keys array<int>, keys binary")
+    return docs.mapInArrow(made, "block bigint, doc_ids array<bigint>, sets array<bigint>, sizes array<bigint>, n_keys array<int>, keys binary, bits array<binary>")
 
 
 def _sliced(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
@@ -271,6 +291,24 @@ def _id_filter(ids: DataFrame, n: int) -> tuple[int, bytes]:
     return bits, out.tobytes()
 
 
+def _possible(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs (a < b) whose bit sketches do not rule them out."""
+
+    def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            n = (batch.column(3).to_numpy() + batch.column(5).to_numpy()).tolist()
+            near = [
+                least_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= bands.most_apart(total)
+                for x, y, total in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), n, strict=True)
+            ]
+            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+
+    one = lambda key, mark: sketches.select(F.col("v").alias(key), F.col("bits").alias(f"bits_{mark}"), F.col("n").alias(f"n_{mark}"))
+    sized = pairs.join(one("a", "a"), "a").join(one("b", "b"), "b")
+    fits = (F.least("n_a", "n_b") * bands.den >= F.greatest("n_a", "n_b") * bands.num)
+    return cut_table(sized.where(fits).select("a", "b", "bits_a", "n_a", "bits_b", "n_b").mapInArrow(thinned, "a bigint, b bigint"), "parity-possible")
+
+
 def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands, words: int) -> DataFrame:
     """Those of the distinct pairs (a < b) of set ids that reach the threshold."""
     spark = docs.sparkSession
@@ -335,12 +373,17 @@ def jaccard_join(
         blocks.select(F.explode(F.arrays_zip("doc_ids", "sets", "sizes")).alias("x")).select(F.col("x.doc_ids").alias("id"), F.col("x.sets").alias("v"), F.col("x.sizes").alias("n")),
         "parity-members",
     )
+    sketches = cut_table(
+        blocks.select(F.explode(F.arrays_zip("sets", "bits", "sizes")).alias("x")).where("x.bits is not null")
+        .groupBy(F.col("x.sets").alias("v")).agg(F.first("x.bits").alias("bits"), F.first("x.sizes").alias("n")),
+        "parity-sketches",
+    )
     drop_table(blocks)
     known = members.where("v is not null")
 
     leaders = keys.groupBy("key").agg(F.min("v").alias("a"), F.max("v").alias("last")).where("a < last").select("key", "a")
     stars = cut_table(keys.join(leaders, "key").where("v <> a").select("a", F.col("v").alias("b")).distinct(), "parity-stars")
-    links = _linked(read, known, stars, bands, words)
+    links = _linked(read, known, _possible(stars, sketches, bands), bands, words)
     first = components(links)
 
     labelled = keys.join(first, "v", "left").select("key", "v", F.coalesce("root", "v").alias("c"))
@@ -349,6 +392,7 @@ def jaccard_join(
     other = open_rows.select("key", F.col("v").alias("b"), F.col("c").alias("cb"))
     crossing = open_rows.select("key", F.col("v").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca <> cb").select("a", "b").distinct()
     rest = cut_table(crossing.join(stars, ["a", "b"], "left_anti"), "parity-rest")
+    rest = _possible(rest, sketches, bands)
     if not rest.isEmpty():
         more = _linked(read, known, rest, bands, words)
         first = components(links.union(more))
