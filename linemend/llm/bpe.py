@@ -36,12 +36,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import file_bytes, once, table, tokenizer_file
+from linemend.llm.base import file_bytes, once, small_batches, table, tokenizer_file
 
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies of this family.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a worker keeps of encoded words and of transition rows, and the longest word kept.
-WORD_CACHE, ARC_CACHE, LONGEST_KEPT = 800_000, 1_000_000, 48
+WORD_CACHE, ARC_CACHE, LONGEST_KEPT = 600_000, 600_000, 48
 BASE, NEVER = -1, 1 << 60
 ROWS_OUT = 256
 
@@ -232,6 +232,7 @@ def bpe_encode(
     ``with_text`` leave the large columns out.  See the module for edge cases.
     """
     spark = docs.sparkSession
+    small_batches(spark)
     data = file_bytes(definition or tokenizer_file("byte_bpe_50k.json"))
     key, shared = ("bpe", hashlib.sha256(data).hexdigest()), spark.sparkContext.broadcast(data)
     keep = [n for n in OUT.names if not (n == "token_ids" and not with_ids or n == "decoded" and not with_text)]

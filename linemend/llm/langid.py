@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import once, table
+from linemend.llm.base import once, small_batches, table
 
 MAX_DOCS, WINDOW, HIDDEN, EMBED = 2_000, 32, 16, 12
 STEPS, BATCH, RATE, SEED = 1_200, 384, 0.01, 7
@@ -232,6 +232,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", tex
 
 def predict(docs: DataFrame, net: BiGRU | None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, lang_pred, score."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast(None if net is None else (net.langs, net.p))
     key = None if net is None else ("bigru", tuple(net.langs), zlib.crc32(b"".join(net.p[k].tobytes() for k in sorted(net.p))))
 

@@ -3,14 +3,18 @@
 The two halves of a vector are quantised apart, by K centroids each, so a pair of
 centroids names one of K * K cells.  A query takes its distances to the
 centroids of either half and walks the pairs in the order of their sum with a
-heap, until the cells passed hold ``candidates`` rows; the rows of these cells
+heap, until the cells passed hold the wanted share of all rows; the rows of these cells
 are then ranked by their exact distance.
 
-Centroids are fitted by k-means on at most ``sample`` rows (a documented bound);
-every row is indexed.  K follows the number of rows, so that cells keep about
-``OCCUPANCY`` rows, up to ``MOST_CENTROIDS``; only centroids and cell counts reach
-the driver (K * K numbers).  A cell's rows and the queries that visit it are split
-into bounded parts, so a crowded cell is many tasks.
+Centroids are fitted by k-means on at most ``sample`` rows (a documented bound); every
+row is indexed.  The share is calibrated on the same sample: the smallest at which
+``aim`` of the sample's own nearest neighbours are passed.  Vectors with structure need
+few cells; for vectors without any, most neighbours lie in cells far down the
+order, the share nears a third of all rows and the search nears a blockwise scan.
+
+Only centroids and cell counts reach the driver (K * K numbers, K at most
+``MOST_CENTROIDS``).  Neighbouring cells form blocks of about ``PART_ROWS`` rows; a
+crowded cell and the queries that visit a block are split, so tasks stay bounded.
 
 Results: for each query the ``k`` nearest found, ties by id; all candidates if
 there are fewer.  Rows whose vector is null, empty, zero or holds null or
@@ -31,7 +35,8 @@ from pyspark.sql import functions as F
 from linemend.llm.base import cut_table, table
 from linemend.llm.vectors import bounded_sample, matrix, valid
 
-K_NEAREST, CANDIDATES, SAMPLE, OCCUPANCY, MOST_CENTROIDS, ROUNDS, SEED = 10, 4096, 8192, 64, 256, 12, 5
+K_NEAREST, AIM, SAMPLE, OCCUPANCY, MOST_CENTROIDS, ROUNDS, SEED = 10, 0.96, 8192, 4, 128, 10, 5
+TRIALS = 256
 PART_ROWS, PART_QUERIES = 4096, 1024
 
 
@@ -73,22 +78,54 @@ def centroids_for(rows: int) -> int:
     return int(min(MOST_CENTROIDS, max(4, round((rows / OCCUPANCY) ** 0.5))))
 
 
+def calibrated_share(points: np.ndarray, left: np.ndarray, right: np.ndarray, k: int, aim: float, trials: int = TRIALS) -> float:
+    """Share of rows to pass so that ``aim`` of the k nearest of sample rows, among the
+    sample, are passed."""
+    if len(points) < 2:
+        return 1.0
+    half, reached = left.shape[1], []
+    to_left, to_right = distances(points[:, :half], left).argmin(1), distances(points[:, half:], right).argmin(1)
+    for q in range(0, len(points), max(1, len(points) // trials)):
+        x = points[q : q + 1]
+        d = ((points - x) ** 2).sum(1)
+        d[q] = np.inf
+        order = distances(x[:, :half], left)[0][to_left] + distances(x[:, half:], right)[0][to_right]
+        near = np.argsort(d, kind="stable")[: min(k, len(points) - 1)]
+        reached += [(order < order[n]).mean() for n in near]
+    return float(min(1.0, np.quantile(reached, aim) + 0.02))
+
+
+def blocks_of(counts: dict[int, int], rows: int = PART_ROWS) -> dict[int, tuple[int, int]]:
+    """Cell -> (block, parts): runs of neighbouring cells, crowded ones by themselves."""
+    out, block, held = {}, 0, 0
+    for cell in sorted(counts):
+        n = counts[cell]
+        if held and held + n > rows:
+            block, held = block + 1, 0
+        out[cell] = (block, max(1, -(-n // rows)))
+        held += n
+    return out
+
+
 def nearest(
-    vectors: DataFrame, is_query: Column, k: int = K_NEAREST, candidates: int = CANDIDATES, sample: int = SAMPLE, id_col: str = "vec_id", vector_col: str = "embedding"
+    vectors: DataFrame, is_query: Column, k: int = K_NEAREST, aim: float = AIM, sample: int = SAMPLE, share: float | None = None, id_col: str = "vec_id", vector_col: str = "embedding"
 ) -> DataFrame:
     """query_id, rank, vec_id, score (Euclidean distance).  ``is_query`` is a
-    condition on the input's columns."""
+    condition on the input's columns; ``share`` overrides the calibration."""
     spark = vectors.sparkSession
     read = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), F.coalesce(is_query, F.lit(False)).alias("asks"))
     good = read.where(valid(F.col("x")) & F.col("id").isNotNull())
     points = bounded_sample(good, "id", "x", sample)
     dim = points.shape[1]
     good = good.where(F.size("x") == dim)
-    many = centroids_for(good.count())
+    rows_held = good.count()
+    many = centroids_for(rows_held)
     half = (dim + 1) // 2
     left = kmeans(points[:, :half], many) if dim else np.zeros((1, 0))
     right = kmeans(points[:, half:], many) if dim > 1 else np.zeros((1, dim - half))
-    width = len(right)
+    if share is None:
+        share = calibrated_share(points, left, right, k, aim)
+    width, wanted = len(right), max(k + 1, share * rows_held)
     shared = spark.sparkContext.broadcast((left, right))
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -101,51 +138,59 @@ def nearest(
                 yield pa.RecordBatch.from_arrays([pa.array(cell, pa.int32()), batch.column(0), pa.array([x.tobytes() for x in m], pa.binary()), batch.column(2)], names=["cell", "id", "x", "asks"])
 
     index = cut_table(good.mapInArrow(indexed, "cell int, id bigint, x binary, asks boolean"), "multi-index")
-    held = {r.cell: r.n for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
-    full = spark.sparkContext.broadcast(held)
+    counts = {r.cell: r.n for r in index.groupBy("cell").agg(F.count(F.lit(1)).alias("n")).collect()}
+    placed = spark.sparkContext.broadcast((counts, blocks_of(counts)))
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        (a, b), counts = shared.value, full.value
+        (a, b), (held, where) = shared.value, placed.value
         for batch in batches:
             for q, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 x = np.frombuffer(raw, np.float64)[None]
-                got, passed = 0, []
+                got, passed = 0, {}
                 for i, j in cells_in_order(distances(x[:, :half], a)[0], distances(x[:, half:], b)[0]):
-                    if n := counts.get(i * width + j, 0):
-                        passed.append(i * width + j)
+                    if n := held.get(i * width + j, 0):
+                        block, parts = where[i * width + j]
+                        for part in range(parts):
+                            passed.setdefault((block, part), []).append(i * width + j)
                         got += n
-                        if got > candidates:
+                        if got > wanted:
                             break
-                yield pa.RecordBatch.from_pydict({"cell": pa.array(passed, pa.int32()), "q": pa.array([q] * len(passed), pa.int64())})
-
-    asked = index.where("asks").select("id", "x")
-    visits = cut_table(asked.mapInArrow(walked, "cell int, q bigint"), "multi-visits")
-    parts = index.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_ROWS).cast("int").alias("parts"))
-    q_parts = visits.groupBy("cell").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("q_parts"))
-    plan = parts.join(q_parts, "cell")  # one row a cell at most: MOST_CENTROIDS squared
-    plan = F.broadcast(plan)
-    rows = index.join(plan, "cell").select("cell", F.pmod(F.xxhash64("id"), "parts").cast("int").alias("part"), F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"), "id", "x")
-    queries = (
-        visits.join(asked.withColumnRenamed("id", "q").dropDuplicates(["q", "x"]), "q").join(plan, "cell")
-        .select("cell", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.pmod(F.xxhash64("q"), "q_parts").cast("int").alias("q_part"), F.col("q").alias("asker"), F.col("x").alias("qx"))
+                yield pa.RecordBatch.from_pydict({
+                    "block": pa.array([x for x, _ in passed], pa.int32()), "part": pa.array([x for _, x in passed], pa.int32()), "asker": pa.array([q] * len(passed), pa.int64()),
+                    "qx": pa.array([raw] * len(passed), pa.binary()), "cells": pa.array([np.array(c, np.int32).tobytes() for c in passed.values()], pa.binary()),
+                })
+
+    plan = spark.createDataFrame([(c, b, p) for c, (b, p) in blocks_of(counts).items()], "cell int, block int, parts int")
+    asked = index.where("asks").select("id", "x").dropDuplicates(["id", "x"])
+    visits = cut_table(asked.mapInArrow(walked, "block int, part int, asker bigint, qx binary, cells binary"), "multi-visits")
+    q_parts = visits.groupBy("block", "part").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("q_parts"))
+    # plan: a row for each cell; q_parts: a row for each block at most
+    rows = (
+        index.join(F.broadcast(plan), "cell").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
+        .join(F.broadcast(q_parts), ["block", "part"])
+        .select("block", "part", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"), "cell", "id", "x")
     )
+    queries = visits.join(F.broadcast(q_parts), ["block", "part"]).select("block", "part", F.pmod(F.xxhash64("asker"), "q_parts").cast("int").alias("q_part"), "asker", "qx", "cells")
 
     def ranked(theirs: pa.Table, asking: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}
         if theirs.num_rows and asking.num_rows:
-            ids = theirs.column("id").to_numpy()
+            cells, ids = theirs.column("cell").to_numpy(), theirs.column("id").to_numpy()
             m = np.frombuffer(b"".join(theirs.column("x").to_pylist()), np.float64).reshape(len(ids), -1)
-            for q, raw in zip(asking.column("asker").to_pylist(), asking.column("qx").to_pylist(), strict=True):
-                d = np.sqrt(((m - np.frombuffer(raw, np.float64)) ** 2).sum(1))
-                d[ids == q] = np.inf
-                best = np.lexsort((ids, d))[:k]
-                best = best[np.isfinite(d[best])]
+            names, cell_at = np.unique(cells, return_inverse=True)
+            for q, raw, passed in zip(asking.column("asker").to_pylist(), asking.column("qx").to_pylist(), asking.column("cells").to_pylist(), strict=True):
+                take = np.flatnonzero(np.isin(names, np.frombuffer(passed, np.int32))[cell_at] & (ids != q))
+                d = np.sqrt(((m[take] - np.frombuffer(raw, np.float64)) ** 2).sum(1))
+                if len(d) > k:  # ties at the k-th stay for the order by id
+                    near = d <= np.partition(d, k - 1)[k - 1]
+                    take, d = take[near], d[near]
+                best = np.lexsort((ids[take], d))[:k]
                 out["query_id"] += [q] * len(best)
-                out["vec_id"] += ids[best].tolist()
+                out["vec_id"] += ids[take[best]].tolist()
                 out["score"] += d[best].tolist()
         return pa.table({"query_id": pa.array(out["query_id"], pa.int64()), "vec_id": pa.array(out["vec_id"], pa.int64()), "score": pa.array(out["score"], pa.float64())})
 
-    keys = ["cell", "part", "q_part"]
+    keys = ["block", "part", "q_part"]
     found = rows.groupBy(*keys).cogroup(queries.groupBy(*keys)).applyInArrow(ranked, "query_id bigint, vec_id bigint, score double")
     order = Window.partitionBy("query_id").orderBy("score", "vec_id")
     return found.withColumn("rank", F.row_number().over(order)).where(F.col("rank") <= k).select("query_id", "rank", "vec_id", "score")

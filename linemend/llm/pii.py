@@ -30,7 +30,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import table
+from linemend.llm.base import small_batches, table
 
 #: For tests and the driver's query; production passes a secret key of its own.
 DEMO_KEY = b"linemend demonstration key, replace me"
@@ -248,6 +248,7 @@ class Pseudonyms:
 
 def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text") -> DataFrame:
     """The same rows and columns with personal data replaced in ``text_col``."""
+    small_batches(docs.sparkSession)
     at = docs.columns.index(text_col)
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -264,6 +265,7 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text")
 def pii_spans(docs: DataFrame, key: bytes = DEMO_KEY, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """Per row: doc_id, text (pseudonymised), n_values, values (kind, start and end
     in the original, in code points)."""
+    small_batches(docs.sparkSession)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         names = Pseudonyms(key)

@@ -28,14 +28,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import once, table
+from linemend.llm.base import once, small_batches, table
 
 BITS = 20
-MAX_ROWS, EPOCHS = 12_000, 3
-ALPHA, BETA, L1, L2 = 0.08, 1.0, 1.5, 1.0
+MAX_ROWS, EPOCHS = 12_000, 16
+ALPHA, BETA, L1, L2, TOXIC_WEIGHT = 1.0, 1.0, 60.0, 0.0, 5.0
 CUT = 0.7
 HELD_OUT_OF, HELD_OUT = 3, 1
-WORD_CACHE = 800_000
+WORD_CACHE = 400_000
 # Odd multipliers that spread pairs of word hashes over 64 bits (any odd numbers do).
 FIRST, SECOND, STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _find = re.compile(r"[^\W_]+").findall
@@ -51,13 +51,11 @@ class _Hashes(dict):
         return h
 
 
-_hashes = _Hashes()
-
-
 def features(text: str | None) -> np.ndarray:
     """Distinct coordinates of a text, ascending; coordinate 0 is the constant."""
     words = _find((text or "").lower())
-    h = np.fromiter(map(_hashes.__getitem__, words), np.uint64, len(words))
+    hashes = once(("ftrl", "words"), _Hashes)
+    h = np.fromiter(map(hashes.__getitem__, words), np.uint64, len(words))
     shift = np.uint64(64 - BITS)
     parts = [np.zeros(1, np.int32), ((h * np.uint64(FIRST)) >> shift).astype(np.int32)]
     for gap in (1, 2, 3):
@@ -80,8 +78,9 @@ class Weights:
         return out
 
 
-def fit(rows: Iterable[tuple[np.ndarray, int]], epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2) -> Weights:
-    """FTRL-proximal over rows of (coordinates, 0 or 1), in the given order."""
+def fit(rows: Iterable[tuple[np.ndarray, int]], epochs: int = EPOCHS, alpha: float = ALPHA, beta: float = BETA, l1: float = L1, l2: float = L2, toxic_weight: float = TOXIC_WEIGHT) -> Weights:
+    """FTRL-proximal over rows of (coordinates, 0 or 1), in the given order; a toxic row
+    counts ``toxic_weight`` times."""
     rows = list(rows)
     z, n = np.zeros(1 << BITS), np.zeros(1 << BITS)
 
@@ -92,7 +91,7 @@ def fit(rows: Iterable[tuple[np.ndarray, int]], epochs: int = EPOCHS, alpha: flo
         for x, y in rows:
             zi, ni = z[x], n[x]
             w = weight(zi, ni)
-            g = 1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y
+            g = (1.0 / (1.0 + np.exp(-np.clip(w.sum(), -35, 35))) - y) * (toxic_weight if y else 1.0)
             more = ni + g * g
             z[x] = zi + g - (np.sqrt(more) - np.sqrt(ni)) / alpha * w
             n[x] = more
@@ -134,6 +133,7 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
 def toxicity(docs: DataFrame, weights: Weights, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
     """Per row: doc_id, score, predicted.  ``carry`` returns the row's own columns
     instead, of the rows that are not predicted toxic."""
+    small_batches(docs.sparkSession)
     shared = docs.sparkSession.sparkContext.broadcast((weights.at, weights.value))
     key = ("ftrl", hash((weights.at.tobytes(), weights.value.tobytes())))
 
