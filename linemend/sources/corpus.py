@@ -26,7 +26,7 @@ def planted(doc: Column, para: Column, line: Column, token: Column) -> Column:
     word = token.rlike(f"^[{LETTERS}]+$")
     size = F.char_length(token)
     return (
-        F.when(h.isin(0, 1, 2) & word & (size >= 6), "split").when(h == 3, "spur").when((h == 4) & token.endswith("n"), "misread")
+        F.when(token.isNull(), None).when(h.isin(0, 1, 2) & word & (size >= 6), "split").when(h == 3, "spur").when((h == 4) & token.endswith("n"), "misread")
         .when((h == 5) & word & (size >= 5), "nohy").when((h == 6) & (size >= 4), "trunc")
     )
 
