@@ -23,8 +23,10 @@ Steps, none of which holds more than one block of documents or a slice of keys:
    by bit sketches, in which each shingle flips one bit, so that a Hamming distance
    above the bound rules a pair out; then exact sets decide.  Components of the links
    are formed.
-4. Where a word still holds several components, sets of different components are
-   compared, so no link between different components is missed.  Components again.
+4. Where a word still holds several components, the bit sketches of its sets are
+   compared with each other, in blocks inside a task; only pairs of different
+   components that sketches do not rule out leave it, so no link between components
+   is missed and no pairs of unlike sets become rows.  Components again.
 
 Comparisons are grouped by the smaller set, salted to a bounded number of partners.
 
@@ -50,7 +52,7 @@ from linemend.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
-BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS = 512, 4 << 20, 2_000_000, 128
+BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS, BLOCK_SETS = 512, 4 << 20, 2_000_000, 128, 512
 WORD_CACHE, SEEN = 150_000, 200_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -309,6 +311,60 @@ def _possible(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     return cut_table(sized.where(fits).select("a", "b", "bits_a", "n_a", "bits_b", "n_b").mapInArrow(thinned, "a bigint, b bigint"), "parity-possible")
 
 
+def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
+    """Pairs (a < b) of sets that share a key, differ in component and are not ruled
+    out by sketches.  ``rows``: key, v, c.  A key's sets fall into blocks of at most
+    ``BLOCK_SETS``; two blocks of a key meet in one place each."""
+    parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("parts"))
+    placed = rows.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("v"), "parts").cast("int"))
+    meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("p"), F.greatest(o, F.col("own")).alias("q")))
+    sent = placed.withColumn("pq", F.explode(meet)).select("key", "pq.p", "pq.q", "own", "v", "c").join(sketches, "v")
+    dealt = sent.select("key", "p", "q", "own", "v", "c", "n", "bits").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
+
+    def pairs(group: list[tuple]) -> Iterator[tuple[int, int]]:
+        own, v, c, n = (np.array([r[i] for r in group]) for i in (3, 4, 5, 6))
+        size = min(len(r[7]) for r in group)
+        folded = np.zeros((len(group), -(-size // 8) * 8), np.uint8)
+        for i, r in enumerate(group):
+            x = np.frombuffer(r[7], np.uint8)
+            while len(x) > size:
+                x = x[: len(x) // 2] ^ x[len(x) // 2 :]
+            folded[i, :size] = x
+        words = folded.view(np.uint64)
+        split = group[0][1] != group[0][2]
+        for i in range(len(group) - 1):
+            rest = slice(i + 1, None)
+            apart = np.bitwise_count(words[i] ^ words[rest]).sum(1)
+            near = (c[rest] != c[i]) & (apart * (bands.den + bands.num) <= (n[rest] + n[i]) * (bands.den - bands.num)) & (np.minimum(n[rest], n[i]) * bands.den >= np.maximum(n[rest], n[i]) * bands.num)
+            if split:
+                near &= own[rest] != own[i]
+            for j in np.flatnonzero(near):
+                x, y = int(v[i]), int(v[i + 1 + j])
+                yield (x, y) if x < y else (y, x)
+
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        def groups() -> Iterator[list[tuple]]:
+            now: list[tuple] = []
+            for batch in batches:
+                for row in zip(*(x.to_pylist() for x in batch.columns), strict=True):
+                    if now and row[:3] != now[0][:3]:
+                        yield now
+                        now = []
+                    now.append(row)
+            if now:
+                yield now
+
+        found: set[tuple[int, int]] = set()
+        for group in groups():
+            found.update(pairs(group))
+            if len(found) >= 50_000:
+                yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+                found.clear()
+        yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
+
+    return dealt.mapInArrow(compared, "a bigint, b bigint").distinct()
+
+
 def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands, words: int) -> DataFrame:
     """Those of the distinct pairs (a < b) of set ids that reach the threshold."""
     spark = docs.sparkSession
@@ -388,11 +444,8 @@ def jaccard_join(
 
     labelled = keys.join(first, "v", "left").select("key", "v", F.coalesce("root", "v").alias("c"))
     open_keys = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_rows = cut_table(labelled.join(open_keys, "key", "left_semi"), "parity-open")
-    other = open_rows.select("key", F.col("v").alias("b"), F.col("c").alias("cb"))
-    crossing = open_rows.select("key", F.col("v").alias("a"), F.col("c").alias("ca")).join(other, "key").where("a < b and ca <> cb").select("a", "b").distinct()
-    rest = cut_table(crossing.join(stars, ["a", "b"], "left_anti"), "parity-rest")
-    rest = _possible(rest, sketches, bands)
+    open_rows = labelled.join(open_keys, "key", "left_semi").select("key", "v", "c")
+    rest = cut_table(_crossing(open_rows, sketches, bands).join(stars, ["a", "b"], "left_anti"), "parity-rest")
     if not rest.isEmpty():
         more = _linked(read, known, rest, bands, words)
         first = components(links.union(more))
