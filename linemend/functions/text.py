@@ -35,7 +35,7 @@ def first(arr: Column) -> Column:
 
 
 def without_last(text: Column) -> Column:
-    return F.expr("1") if text is None else F.substring(text, F.lit(1), F.greatest(F.char_length(text) - 1, F.lit(0)))
+    return F.substring(text, F.lit(1), F.greatest(F.char_length(text) - 1, F.lit(0)))
 
 
 def interior(toks: Column) -> Column:

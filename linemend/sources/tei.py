@@ -24,7 +24,7 @@ HEAD_BYTES = 262_144
 def read_files(spark: SparkSession, folder: str, first: int | None = None) -> DataFrame:
     """(file, xml) of a folder, the first n by name if asked.  Raises if there is none."""
     files = spark.read.format("binaryFile").option("pathGlobFilter", "*.xml").load(folder)
-    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.decode("content", F.lit("UTF-8")).alias("xml"))
+    named = files.select(F.element_at(F.split("path", "/"), -1).alias("file"), F.decode("content", "UTF-8").alias("xml"))
     if first is not None:
         chosen = named.select("file").orderBy("file").limit(first)
         named = named.join(F.broadcast(chosen), "file", "left_semi")  # at most ``first`` names
