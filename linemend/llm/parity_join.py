@@ -24,16 +24,19 @@ Steps, none of which holds more than one block of documents or a slice of keys:
    above the bound rules a pair out; then exact sets decide.  Components of the links
    are formed.
 4. Where a word still holds several components, the bit sketches of its sets are
-   compared with each other, in blocks inside a task; only pairs of different
-   components that sketches do not rule out leave it, so no link between components
-   is missed and no pairs of unlike sets become rows.  Components again.
+   compared with each other, in blocks inside a task.  Pairs of different components
+   that sketches do not rule out form clusters; a task returns a spanning forest of
+   them, never the pairs.  The sets of a cluster then meet in blocks, each pair in one
+   place, where exact intersections are counted by matrix products; again only a
+   spanning forest of the links leaves the task.  So no link between different
+   components is missed, and rows stay linear in sets and keys.  Components again.
 
 Comparisons are grouped by the smaller set, salted to a bounded number of partners.
 
 Results: one row per input row.  Null or blank texts have no shingle, link with
-nothing and are their own component.  A null id takes part as a text but is no
-component's smallest id; its component is null if it has no other member.  Extra
-columns are not carried.
+nothing and are their own component.  A row with a null id belongs to the component of
+its equal sets, but is no component's smallest id; a set that only such rows hold is
+linked with no other set, and its component is null.  Extra columns are not carried.
 """
 
 from __future__ import annotations
@@ -52,7 +55,7 @@ from linemend.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
-BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS, BLOCK_SETS = 512, 4 << 20, 2_000_000, 128, 512
+BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS, BLOCK_SETS, CLUSTER_SETS = 512, 4 << 20, 2_000_000, 128, 512, 256
 WORD_CACHE, SEEN = 150_000, 200_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -311,9 +314,39 @@ def _possible(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     return cut_table(sized.where(fits).select("a", "b", "bits_a", "n_a", "bits_b", "n_b").mapInArrow(thinned, "a bigint, b bigint"), "parity-possible")
 
 
+def spanning(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
+    """(smallest id of the part, id) for the other members of each connected part of
+    a symmetric relation."""
+    best = ids.copy()
+    while True:
+        new = np.minimum(best, np.where(linked, best[None, :], np.iinfo(np.int64).max).min(axis=1))
+        if (new == best).all():
+            return [(int(a), int(b)) for a, b in zip(best, ids, strict=True) if a != b]
+        best = new
+
+
+def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
+    """Exact intersection sizes of all pairs of a block: products of 0/1 matrices over
+    the shingles that occur twice, some columns at a time."""
+    flat = np.concatenate(sets)
+    row = np.repeat(np.arange(len(sets)), [len(s) for s in sets])
+    _, at, times = np.unique(flat, return_inverse=True, return_counts=True)
+    twice = times[at] > 1
+    row, at = row[twice], (np.cumsum(times > 1) - 1)[at[twice]]
+    order = np.argsort(at, kind="stable")
+    row, at = row[order], at[order]
+    out = np.zeros((len(sets), len(sets)), np.float32)
+    for low in range(0, int(at[-1]) + 1 if len(at) else 0, columns):
+        a, b = np.searchsorted(at, (low, low + columns))
+        held = np.zeros((len(sets), columns), np.float32)
+        held[row[a:b], at[a:b] - low] = 1
+        out += held @ held.T
+    return out.astype(np.int64)
+
+
 def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs (a < b) of sets that share a key, differ in component and are not ruled
-    out by sketches.  ``rows``: key, v, c.  A key's sets fall into blocks of at most
+    """Spanning edges (a, b) of the sets that share a key, differ in component and are not
+    ruled out by sketches.  ``rows``: key, v, c.  A key's sets fall into blocks of at most
     ``BLOCK_SETS``; two blocks of a key meet in one place each."""
     parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("parts"))
     placed = rows.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("v"), "parts").cast("int"))
@@ -321,7 +354,7 @@ def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     sent = placed.withColumn("pq", F.explode(meet)).select("key", "pq.p", "pq.q", "own", "v", "c").join(sketches, "v")
     dealt = sent.select("key", "p", "q", "own", "v", "c", "n", "bits").repartition("key", "p", "q").sortWithinPartitions("key", "p", "q")
 
-    def pairs(group: list[tuple]) -> Iterator[tuple[int, int]]:
+    def forest(group: list[tuple]) -> list[tuple[int, int]]:
         own, v, c, n = (np.array([r[i] for r in group]) for i in (3, 4, 5, 6))
         size = min(len(r[7]) for r in group)
         folded = np.zeros((len(group), -(-size // 8) * 8), np.uint8)
@@ -331,16 +364,14 @@ def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
                 x = x[: len(x) // 2] ^ x[len(x) // 2 :]
             folded[i, :size] = x
         words = folded.view(np.uint64)
-        split = group[0][1] != group[0][2]
+        near = np.zeros((len(group), len(group)), bool)
         for i in range(len(group) - 1):
             rest = slice(i + 1, None)
             apart = np.bitwise_count(words[i] ^ words[rest]).sum(1)
-            near = (c[rest] != c[i]) & (apart * (bands.den + bands.num) <= (n[rest] + n[i]) * (bands.den - bands.num)) & (np.minimum(n[rest], n[i]) * bands.den >= np.maximum(n[rest], n[i]) * bands.num)
-            if split:
-                near &= own[rest] != own[i]
-            for j in np.flatnonzero(near):
-                x, y = int(v[i]), int(v[i + 1 + j])
-                yield (x, y) if x < y else (y, x)
+            near[i, rest] = (c[rest] != c[i]) & (apart * (bands.den + bands.num) <= (n[rest] + n[i]) * (bands.den - bands.num)) & (np.minimum(n[rest], n[i]) * bands.den >= np.maximum(n[rest], n[i]) * bands.num)
+        if group[0][1] != group[0][2]:
+            near &= own[:, None] != own[None, :]
+        return spanning(near | near.T, v) if near.any() else []
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         def groups() -> Iterator[list[tuple]]:
@@ -356,7 +387,7 @@ def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
 
         found: set[tuple[int, int]] = set()
         for group in groups():
-            found.update(pairs(group))
+            found.update(forest(group))
             if len(found) >= 50_000:
                 yield pa.RecordBatch.from_pydict({"a": pa.array([a for a, _ in found], pa.int64()), "b": pa.array([b for _, b in found], pa.int64())})
                 found.clear()
@@ -365,13 +396,9 @@ def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     return dealt.mapInArrow(compared, "a bigint, b bigint").distinct()
 
 
-def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands, words: int) -> DataFrame:
-    """Those of the distinct pairs (a < b) of set ids that reach the threshold."""
+def _sets(docs: DataFrame, members: DataFrame, ends: DataFrame, words: int) -> DataFrame:
+    """(v, s): the shingles of the sets with ids ``ends`` (distinct v)."""
     spark = docs.sparkSession
-    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
-    tasks = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("v"))
-    tasks = tasks.union(salts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("v")))
-    ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
     # a document for each set, and its text: the scan is thinned by a small bit table first
     reps = cut_table(members.join(ends, "v").groupBy("v").agg(F.min("id").alias("id")), "parity-reps")
     bits, filled = _id_filter(reps.where("id is not null"), reps.count())
@@ -392,11 +419,23 @@ def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands,
                 right = [len(s) > 0 and set_id(s) == v for s, v in zip(found, batch.column(0).to_pylist(), strict=True)]
                 yield pa.RecordBatch.from_arrays([batch.column(0), pa.array([s.tobytes() for s in found], pa.binary())], names=["v", "s"]).filter(pa.array(right, pa.bool_()))
 
+    place = F.shiftrightunsigned(F.xxhash64("id"), 64 - bits)
+    texts = docs.where("id is not null").select("id", "text", place.alias("place")).mapInArrow(thinned, schema)
+    return texts.join(reps, "id").select("v", "text").mapInArrow(sets, "v bigint, s binary")
+
+
+def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands, words: int) -> DataFrame:
+    """Those of the distinct pairs (a < b) of set ids that reach the threshold."""
+    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    tasks = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("v"))
+    tasks = tasks.union(salts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("v")))
+    ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
+
     def decided(rows: pa.Table) -> pa.Table:
         a = rows.column("a")[0].as_py()
         held = dict(zip(rows.column("v").to_pylist(), rows.column("s").to_pylist(), strict=True))
-        first, out = np.frombuffer(held.pop(a), np.uint64), []
-        for v, raw in held.items():
+        first, out = np.frombuffer(held.pop(a, b""), np.uint64), []
+        for v, raw in held.items() if len(first) else ():
             other = np.frombuffer(raw, np.uint64)
             at = np.searchsorted(first, other)
             at[at == len(first)] = 0
@@ -405,13 +444,36 @@ def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands,
                 out.append(v)
         return pa.table({"a": pa.array([a] * len(out), pa.int64()), "b": pa.array(out, pa.int64())})
 
-    place = F.shiftrightunsigned(F.xxhash64("id"), 64 - bits)
-    texts = docs.where("id is not null").select("id", "text", place.alias("place")).mapInArrow(thinned, schema)
-    vectors = texts.join(reps, "id").select("v", "text").mapInArrow(sets, "v bigint, s binary")
+    vectors = _sets(docs, members, ends, words)
     sent = vectors.join(tasks, "v").select("a", "part", "v", "s")
     return cut_table(sent.groupBy("a", "part").applyInArrow(decided, "a bigint, b bigint"), "parity-links")
 
 
+def _linked_clusters(docs: DataFrame, members: DataFrame, edges: DataFrame, bands: Bands, words: int) -> DataFrame:
+    """Spanning edges (a, b) of the links inside the clusters that ``edges`` connect.
+
+    A cluster's sets fall into blocks of ``CLUSTER_SETS``; two blocks meet in one place."""
+    labels = components(edges)
+    roots = labels.select(F.col("root").alias("v"), "root").distinct()
+    placed = cut_table(labels.union(roots), "parity-clusters")
+    parts = placed.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_SETS).cast("int").alias("parts"))
+    own = placed.join(parts, "root").withColumn("own", F.pmod(F.xxhash64("v"), "parts").cast("int"))
+    meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("p"), F.greatest(o, F.col("own")).alias("q")))
+    tasks = own.withColumn("pq", F.explode(meet)).select("root", "pq.p", "pq.q", "v")
+
+    def decided(rows: pa.Table) -> pa.Table:
+        ids = rows.column("v").to_numpy()
+        found = [np.frombuffer(x, np.uint64) for x in rows.column("s").to_pylist()]
+        size = np.array([len(x) for x in found])
+        common = common_counts(found)
+        linked = bands.den * common >= bands.num * (size[:, None] + size[None, :] - common)
+        out = spanning(linked, ids)
+        return pa.table({"a": pa.array([a for a, _ in out], pa.int64()), "b": pa.array([b for _, b in out], pa.int64())})
+
+    sent = _sets(docs, members, placed.select("v").distinct(), words).join(tasks, "v").select("root", "p", "q", "v", "s")
+    return cut_table(sent.groupBy("root", "p", "q").applyInArrow(decided, "a bigint, b bigint"), "parity-cluster-links")
+
+
 def jaccard_join(
     docs: DataFrame, words: int = WORDS, num: int = NUMERATOR, den: int = DENOMINATOR, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
@@ -445,10 +507,9 @@ def jaccard_join(
     labelled = keys.join(first, "v", "left").select("key", "v", F.coalesce("root", "v").alias("c"))
     open_keys = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
     open_rows = labelled.join(open_keys, "key", "left_semi").select("key", "v", "c")
-    rest = cut_table(_crossing(open_rows, sketches, bands).join(stars, ["a", "b"], "left_anti"), "parity-rest")
-    if not rest.isEmpty():
-        more = _linked(read, known, rest, bands, words)
-        first = components(links.union(more))
+    near = cut_table(_crossing(open_rows, sketches, bands), "parity-near")
+    if not near.isEmpty():
+        first = components(links.union(_linked_clusters(read, known, near, bands, words)))
 
     labelled = members.join(first, "v", "left").select("id", "n", "v", F.coalesce("root", "v").alias("c"))
     smallest = cut_table(labelled.where("c is not null").groupBy("c").agg(F.min("id").alias("component_id")), "parity-smallest")
