@@ -238,3 +238,24 @@ def break_margins(occ: DataFrame, uni: DataFrame, big: DataFrame, total: DataFra
 
 def top_by(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
     return df.withColumn("rank", F.row_number().over(Window.partitionBy(*keys).orderBy(*order))).where(F.col("rank") <= k)
+
+
+def gold_from_interior(tokens_inside: DataFrame, uni: DataFrame) -> DataFrame:
+    """Interior occurrences as labelled line ends: (position, k, w, prev_w, next_w, cand,
+    ord), the true word among its substitutions.  No line break touched them."""
+    frequent = uni.where((F.col("c") >= C.AMBIGUOUS_AT) & (F.char_length("w") >= C.AMBIGUOUS_MIN_LENGTH)).select("w")
+    others = final_variants(frequent, uni, C.MIN_CANDIDATE).select("w", "cand", "ord")
+    own = others.select("w").distinct().select("w", F.col("w").alias("cand"), F.lit(-1).alias("ord"))
+    inside = tokens_inside.where(is_word(F.col("w")) & is_word(F.col("prev_w")) & is_word(F.col("next_w"))).select("file", "para", "pos", "k", "w", "prev_w", "next_w")
+    return inside.join(others.union(own), "w")
+
+
+def evaluated(gold: DataFrame, uni: DataFrame, big: DataFrame, total: DataFrame) -> DataFrame:
+    """(w, n, correct, majority): per true word, how often the model and the commonest
+    reading pick it."""
+    df = with_counts(gold, uni, big, {"c_prev": "prev_w", "c_cand": "cand", "c_next": "next_w"}, {"b_before": ("prev_w", "cand"), "b_after": ("cand", "next_w")}).crossJoin(F.broadcast(total))
+    v, n = F.col("v"), F.col("n")
+    value = logp(F.col("c_prev"), F.col("b_before"), F.col("c_cand"), v, n) + logp(F.col("c_cand"), F.col("b_after"), F.col("c_next"), v, n)
+    scored_ = df.select("file", "para", "pos", "k", "w", "cand", "ord", F.round(value, 9).alias("value"), "c_cand")
+    best = scored_.groupBy("file", "para", "pos", "k", "w").agg(F.max_by("cand", F.struct("value", -F.col("ord"))).alias("best"), F.max_by("cand", F.struct("c_cand", -F.col("ord"))).alias("common"))
+    return best.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("best") == F.col("w"), 1)).alias("correct"), F.count(F.when(F.col("common") == F.col("w"), 1)).alias("majority"))

@@ -21,8 +21,9 @@ from linemend.operators import correction as K
 from linemend.operators import lexicon as L
 from linemend.operators import lineends as E
 from linemend.operators import replies as R
+from linemend.operators import steps as P
 from linemend.operators import stores as S
-from linemend.plans.oracles import over
+from linemend.plans.oracles import GOLD, over, over_gold
 from linemend.sources import corpus as D
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -745,3 +746,69 @@ def planted_recall(c: Corpus) -> DataFrame:
     labels = c.paragraphs.select("file", "para", F.posexplode("labels").alias("p", "label")).where(F.col("label").isin("spur", "nohy", "split")).select("file", "para", F.col("p").cast("long").alias("pos"), "label")
     judged = labels.join(c.breaks.select("file", "para", "pos", "left", "right"), ["file", "para", "pos"], "left").join(c.verdicts.select("left", "right", "verdict"), ["left", "right"], "left")
     return judged.groupBy("label").agg(count("planted"), F.count(F.when(F.col("verdict").isin("FALSE_POSITIVE", "FALSE_NEGATIVE"), 1)).alias("flagged"))
+
+
+@query(
+    over_gold(
+        f"""SELECT w, count(*) AS n, count(*) FILTER (best = w) AS correct, count(*) FILTER (common = w) AS majority FROM (SELECT file, para, pos, k, w, max(cand) FILTER (r1 = 1) AS best, max(cand) FILTER (r2 = 1) AS common FROM (
+    SELECT *, row_number() OVER (PARTITION BY file, para, pos, k ORDER BY value DESC, ord) AS r1, row_number() OVER (PARTITION BY file, para, pos, k ORDER BY cc DESC, ord) AS r2 FROM {GOLD}) GROUP BY file, para, pos, k, w) GROUP BY w"""
+    ),
+    plain=True,
+)
+def line_end_eval(c: Corpus) -> DataFrame:
+    return E.evaluated(E.gold_from_interior(L.interior_tokens(c.lines), c.uni), c.uni, c.big, c.totals)
+
+
+@query(
+    """SELECT form AS expected, said AS form, count(*) AS n, form = said AS "right" FROM (SELECT form, CASE WHEN regexp_matches("right", '^\\p{Ll}') AND "right" NOT IN ('und', 'oder') THEN 'join' WHEN regexp_matches("right", '^\\p{Lu}') THEN 'hyphen' ELSE 'skip' END AS said
+    FROM vd WHERE verdict <> 'REVIEW' AND form IN ('join', 'hyphen', 'period', 'comma', 'split')) GROUP BY ALL"""
+)
+def benchmark_scores(c: Corpus) -> DataFrame:
+    """The stand-in judge against the confident pairs."""
+    sure = c.verdicts.where((F.col("verdict") != "REVIEW") & F.col("form").isin("join", "hyphen", "period", "comma", "split")).select("left", "right", F.col("form").alias("expected"))
+    return R.confusion(R.adjudicate(sure).join(sure, ["left", "right"]))
+
+
+@query(
+    """SELECT "left", "right", 'Left: ' || "left" || chr(10) || 'Right: ' || "right" || chr(10) || 'Readings: join=' || "left" || "right" || '; hyphen=' || "left" || '-' || "right" || '; period=' || rtrim("left", '.,') || '. ' || "right"
+    || '; comma=' || rtrim("left", '.,') || ', ' || "right" || '; split=' || "left" || ' ' || "right" || chr(10) || 'Why asked: ' || reason AS prompt FROM vd WHERE verdict = 'REVIEW'"""
+)
+def review_prompts(c: Corpus) -> DataFrame:
+    return c.verdicts.where("verdict = 'REVIEW'").withColumn("candidates", B.candidate_spellings()).select("left", "right", R.pair_prompt().alias("prompt"))
+
+
+_POLYGONS = (("r1", "0,0 900,0 900,200 0,200", 100, 870), ("r2", "0,0 100,0 0,100", 50, 31), ("r3", "0,0 5,0 5,5", 99, 2))
+
+
+@query("SELECT * FROM (VALUES ('r1', CAST(30 AS INTEGER)), ('r2', 19), ('r3', 3)) AS t(region, gap_px)", plain=True)
+def truncation_gaps(c: Corpus) -> DataFrame:
+    """Distance from a line's end to the region's right edge at its height."""
+    rows = c.spark.createDataFrame(list(_POLYGONS), "region string, points string, y long, x_max long")
+    gap = F.bround(K.polygon_right_edge(F.col("points"), F.col("y").cast("double")) - F.col("x_max"), 0)
+    return rows.select("region", gap.cast("int").alias("gap_px"))
+
+
+_VERSIONS = (("a", "2.0"), ("b", "1.10"), ("c", "1.8"), ("d", "x.1"), ("e", None))
+
+
+@query("SELECT * FROM (VALUES ('a'), ('b')) AS t(file)", plain=True)
+def current_issues(c: Corpus) -> DataFrame:
+    return c.spark.createDataFrame(list(_VERSIONS), "file string, version string").where(S.up_to_date(F.col("version"), "1.9")).select("file")
+
+
+_STEPS = ((1, "read", None, True), (2, "correct", "fix", True), (3, "mark", "marks", True), (4, "review", None, False))
+
+
+@query("SELECT * FROM (VALUES ('mark'), ('review')) AS t(name)", plain=True)
+def steps_after(c: Corpus) -> DataFrame:
+    return P.steps_after(P.step_table(c.spark, list(_STEPS)), "correct").select("name")
+
+
+@query(f"""SELECT count(DISTINCT ("left", "right")) AS pairs, count(*) FILTER (form NOT IN ('skip', 'context')) AS acting FROM {_OLD}""", plain=True)
+def store_metrics(c: Corpus) -> DataFrame:
+    return _old(c).agg(F.countDistinct("left", "right").alias("pairs"), F.count(F.when(~F.col("form").isin("skip", "context"), 1)).alias("acting"))
+
+
+@query()
+def correction_outcomes(c: Corpus) -> DataFrame:
+    return K.paragraph_corrections(c.paragraphs, list(RULES)).groupBy("outcome").agg(count())

@@ -205,3 +205,18 @@ _FILLED = (
 def over(select: str) -> str:
     """A query over the layers."""
     return f"WITH {_FILLED.strip()}\n{select}"
+
+
+#: Labelled line ends from interior tokens, with the counts their score needs.
+GOLD = f"""(SELECT g.file, g.para, g.pos, g.k, g.w, c.cand, c.ord, uc.c AS cc, round({_logp('cp', 'bpc', 'uc.c')} + {_logp('uc.c', 'bcn', 'cn')}, 9) AS value FROM (
+  SELECT a.file, a.para, a.pos, a.k, a.w, b.w AS pw, a.next_w AS nw FROM it a JOIN it b ON b.file = a.file AND b.para = a.para AND b.pos = a.pos AND b.k = a.k - 1
+    WHERE regexp_matches(a.w, '{_W}') AND regexp_matches(b.w, '{_W}') AND regexp_matches(a.next_w, '{_W}')) g
+  JOIN (SELECT * FROM goldcand UNION ALL SELECT DISTINCT w, w, -1 FROM goldcand) c ON c.w = g.w CROSS JOIN tot JOIN uni uc ON uc.w = c.cand,
+  LATERAL (SELECT coalesce((SELECT u.c FROM uni u WHERE u.w = g.pw), 0) AS cp, coalesce((SELECT u.c FROM uni u WHERE u.w = g.nw), 0) AS cn) l1,
+  LATERAL (SELECT coalesce((SELECT x.plain FROM big x WHERE x.a = g.pw AND x.b = c.cand), 0) AS bpc, coalesce((SELECT x.plain FROM big x WHERE x.a = c.cand AND x.b = g.nw), 0) AS bcn) l2)"""
+_GOLD_WORDS = f""",
+goldcand AS MATERIALIZED (SELECT a.w, u.w AS cand, ord FROM (SELECT w FROM uni WHERE c >= 20 AND length(w) >= 2) a, {_letters_table()} JOIN uni u ON u.w = left(a.w, length(a.w) - 1) || ch WHERE ch <> lower(right(a.w, 1)) AND u.c >= 20)"""
+
+
+def over_gold(select: str) -> str:
+    return f"WITH {_FILLED.strip()}{_GOLD_WORDS}\n{select}"
