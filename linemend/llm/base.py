@@ -20,14 +20,30 @@ def once(key: tuple, build: Callable[[], Any]) -> Any:
     task.  ``key[0]`` names the operator: when another operator's object is built, the
     former ones go, so a worker never holds the caches of several operators."""
     if key not in _built:
-        for k in [k for k in _built if k[0] != key[0]]:
-            del _built[k]
+        if former := [k for k in _built if k[0] != key[0]]:
+            for k in former:
+                del _built[k]
+            give_back()
         while len(_built) >= 4:
             del _built[next(iter(_built))]
         _built[key] = build()
     return _built[key]
 
 
+def give_back() -> None:
+    """Returns freed memory to the system, where the C library can."""
+    import ctypes
+    import gc
+
+    import pyarrow as pa
+
+    gc.collect()
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim is not None:
+        trim(0)
+
+
 def tokenizer_file(name: str) -> str:
     """Default place of a public vocabulary file; every caller may pass another."""
     import public_tokenizers

@@ -41,7 +41,7 @@ from linemend.llm.base import file_bytes, once, small_batches, table, tokenizer_
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies of this family.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a worker keeps of encoded words and of transition rows, and the longest word kept.
-WORD_CACHE, ARC_CACHE, LONGEST_KEPT = 600_000, 600_000, 48
+WORD_CACHE, ARC_CACHE, LONGEST_KEPT = 350_000, 300_000, 48
 BASE, NEVER = -1, 1 << 60
 ROWS_OUT = 256
 

@@ -120,33 +120,79 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
     return joined.withColumn("_n", F.col("_offset") + F.col("_k") - 1).drop("_h", "_range", "_s", "_r", "_offset", "_k")
 
 
-def mix(
-    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source"
-) -> DataFrame:
-    """Every row with block, slot and position; see the module."""
-    spark = docs.sparkSession
-    docs = docs.drop(*[c for c in docs.columns if c in ("block", "slot", "position")])
+def _plan(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None, block_rows: int, source_col: str) -> DataFrame:
+    """The schedule as a table: some rows for each source and phase."""
     counts = {r.s: r.n for r in docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
     if weights is None:
         weights = {s: math.sqrt(n) for s, n in counts.items()}
     weights = {s: w for s, w in weights.items() if w is not None and math.isfinite(w) and w > 0}
-    plan = spark.createDataFrame(
+    return spark.createDataFrame(
         [(p.source, p.first, p.last, p.start, p.period, p.slots) for p in schedule(blocks, weights)],
         "_ps string, _first long, _last long, _start long, _period long, _slots array<int>",
     )
-    rows = numbered(docs, id_col, source_col).withColumn("block", F.floor(F.col("_n") / block_rows))
+
+
+def _placed(rows: DataFrame, plan: DataFrame, block_rows: int, source_col: str) -> DataFrame:
+    """Rows with ``_n`` get block, slot and position."""
+    rows = rows.withColumn("block", F.floor(F.col("_n") / block_rows))
+    # some rows for each source and phase
     placed = rows.join(F.broadcast(plan), F.col(source_col).cast("string").eqNullSafe(F.col("_ps")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_last")))
-    at = F.col("block") - F.col("_first")
-    share = F.size("_slots")
+    at, share = F.col("block") - F.col("_first"), F.size("_slots")
     slot = F.col("_start") + F.floor(at / share) * F.col("_period") + F.element_at("_slots", (at % share + 1).cast("int"))
-    return (
-        placed.withColumn("slot", slot)
-        .withColumn("position", F.col("slot") * block_rows + F.col("_n") % block_rows)
-        .select(*docs.columns, "block", "slot", "position")
+    placed = placed.withColumn("slot", slot).withColumn("position", F.col("slot") * block_rows + F.col("_n") % block_rows)
+    return placed.drop("_ps", "_first", "_last", "_start", "_period", "_slots")
+
+
+def _without_new(docs: DataFrame) -> DataFrame:
+    return docs.drop(*[c for c in docs.columns if c in ("block", "slot", "position")])
+
+
+def mix(
+    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source"
+) -> DataFrame:
+    """Every row with block, slot and position, in no order; see the module."""
+    docs = _without_new(docs)
+    plan = _plan(docs.sparkSession, docs, weights, block_rows, source_col)
+    return _placed(numbered(docs, id_col, source_col), plan, block_rows, source_col).select(*docs.columns, "block", "slot", "position")
+
+
+def mix_in_order(
+    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source"
+) -> DataFrame:
+    """As ``mix``, with the rows in the order of ``position``, and the wide columns
+    shuffled once.
+
+    Positions are found from ids and sources alone.  Along a source they rise with the
+    hash of the id, so each slice of positions is a range of hashes for each source; these
+    ranges (sources times partitions) are broadcast and send a row to its slice, where
+    rows are numbered again and sorted."""
+    docs = _without_new(docs)
+    spark, narrow = docs.sparkSession, docs.select(id_col, source_col)
+    plan = _plan(spark, narrow, weights, block_rows, source_col)
+    hashed = lambda df: df.withColumn("_h", F.xxhash64(F.col(id_col).cast("string")))
+    by_order = F.pmod(F.shiftright("_h", 40), F.lit(RANGES)).cast("int")  # ``numbered`` orders by this, then by hash
+    ranked = hashed(_placed(numbered(narrow, id_col, source_col), plan, block_rows, source_col)).withColumn("_r", by_order)
+    # rows of one hash (repeated ids) go to one slice: where the first of them stands
+    found = ranked.groupBy(source_col, "_r", "_h").agg(F.min("_n").alias("_n"), F.min("position").alias("position"))
+    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    total = (ranked.agg(F.max("position")).head()[0] or 0) + 1
+    slice_ = F.floor(F.col("position") * slices / total).cast("int")
+    edge = Window.partitionBy("_es").orderBy("_slice")
+    edges = (
+        found.groupBy(F.col(source_col).alias("_es"), slice_.alias("_slice")).agg(F.min(F.struct("_r", "_h")).alias("_low"), F.min("_n").alias("_base"))
+        .withColumn("_high", F.lead("_low").over(edge)).withColumn("_low", F.when(F.row_number().over(edge) > 1, F.col("_low")))
     )
+    key = F.struct(F.col("_r"), F.col("_h"))
+    inside = F.col(source_col).eqNullSafe(F.col("_es")) & (F.col("_low").isNull() | (key >= F.col("_low"))) & (F.col("_high").isNull() | (key < F.col("_high")))
+    # edges: sources times partitions
+    sent = hashed(docs).withColumn("_r", by_order).join(F.broadcast(edges), inside).repartitionByRange(slices, "_slice")
+    within = Window.partitionBy("_slice", source_col).orderBy("_r", "_h", id_col)
+    again = sent.withColumn("_n", F.col("_base") + F.row_number().over(within) - 1)
+    out = _placed(again.select(*docs.columns, "_n"), plan, block_rows, source_col)
+    return out.select(*docs.columns, "block", "slot", "position").sortWithinPartitions("position")
 
 
 def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "source")
-    return mix(docs).repartitionByRange("position").sortWithinPartitions("position")
+    return mix_in_order(docs)

@@ -56,7 +56,7 @@ from linemend.llm.components import components
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
 BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS, BLOCK_SETS, CLUSTER_SETS = 512, 4 << 20, 2_000_000, 128, 512, 256
-WORD_CACHE, SEEN = 150_000, 200_000
+WORD_CACHE, SEEN = 120_000, 100_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)

@@ -3,7 +3,7 @@ import math
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linemend.llm.mixing import mix, one_period, schedule, shares
+from linemend.llm.mixing import mix, mix_in_order, one_period, schedule, shares
 
 
 @settings(max_examples=60, deadline=None)
@@ -66,6 +66,13 @@ def test_operator(spark):
     for blocks in by.values():
         assert blocks == sorted(blocks) and set(blocks) == set(range(math.ceil(len(blocks) / 8)))
     assert [r.position for r in mix(df, block_rows=8).orderBy("position").collect()] == [r.position for r in out]
+    many = spark.createDataFrame([(i % 40, "hot" if i % 4 else "s", "x", 1) for i in range(400)], df.schema)
+    again = mix_in_order(many, block_rows=8).collect()
+    assert sorted(r.position for r in again) == sorted(r.position for r in mix(many, block_rows=8).collect())
+    ordered = mix_in_order(df, block_rows=8).collect()
+    assert [r.position for r in ordered] == sorted(r.position for r in ordered)
+    assert sorted(map(tuple, ordered), key=str) == sorted(map(tuple, out), key=str)
+    assert mix_in_order(df.limit(0)).count() == 0
     given_ = mix(df, {"hot": 1.0, "s0": float("nan"), None: None}, block_rows=8).collect()
     assert len(given_) == len(rows) and max(r.slot for r in given_ if r.source == "hot") < min(r.slot for r in given_ if r.source != "hot")
     assert mix(df.limit(0)).count() == 0
