@@ -40,8 +40,7 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """All documents, in the order of the schedule."""
-    mixed = mixing.mix(docs)
-    return mixed.repartitionByRange("position").sortWithinPartitions("position").select(docs.columns)
+    return mixing.mix_in_order(docs).select(docs.columns)
 
 
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
