@@ -59,7 +59,7 @@ def file_bytes(path: str) -> bytes:
 
 
 #: Arrow batches of long texts: bytes and rows, held by the JVM and the worker at once.
-BATCH_BYTES, BATCH_ROWS = 4 << 20, 1000
+BATCH_BYTES, BATCH_ROWS = 2 << 20, 500
 
 
 def small_batches(spark: SparkSession) -> None:

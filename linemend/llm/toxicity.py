@@ -35,7 +35,7 @@ MAX_ROWS, EPOCHS = 12_000, 16
 ALPHA, BETA, L1, L2, TOXIC_WEIGHT = 1.0, 1.0, 60.0, 0.0, 5.0
 CUT = 0.7
 HELD_OUT_OF, HELD_OUT = 3, 1
-WORD_CACHE = 200_000
+WORD_CACHE = 100_000
 # Odd multipliers that spread pairs of word hashes over 64 bits (any odd numbers do).
 FIRST, SECOND, STEP = 0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9
 _find = re.compile(r"[^\W_]+").findall
