@@ -1,14 +1,17 @@
 """Operator 10: mixing sources to target weights by Pfair scheduling.
 
-Rows of a source form blocks of ``block_rows``.  Weights become whole shares e of
-a period of W slots; block k of a source may run from slot ``floor(k W / e)`` and
-must by ``ceil((k + 1) W / e)``.  Earliest deadline first places one block a
-slot; as the shares fill the period, every window is met, and at any slot each
-source has run within one block of its share.  The schedule repeats after W
-slots, so one period is laid out on the driver (its size depends on the number of
-sources, not on the rows) and later periods follow by arithmetic.  When a
-source runs out, its share falls to the others in proportion and a new phase
-begins, one phase a source at most.  No row is dropped or repeated.
+Rows of a source form blocks of ``block_rows``.  With w a source's exact (rational)
+part of the weights, its block k may run from slot ``floor(k / w)`` and must by
+``ceil((k + 1) / w)``.  Earliest deadline first places one block a slot; as the parts
+add up to 1, every window is met, and at any slot each source has run within one block
+of its target.  Weights are not rounded: a decimal number is taken as written.  Where
+they have a short period (their common denominator), the schedule repeats after it and
+one period is laid out; else the whole phase is.  When a source runs out, its part
+falls to the others in proportion and a new phase begins, one phase a source at most.
+No row is dropped or repeated.
+
+The schedule is laid out on the driver, slot by slot, and broadcast: at most one
+number for each block, so 4 bytes for ``block_rows`` rows.
 
 Rows are numbered within a source by a hash of the id, without gathering a source
 in one task: hash ranges are counted, the counts summed up to offsets, and only
@@ -29,18 +32,22 @@ from __future__ import annotations
 import heapq
 import math
 from bisect import bisect_left
+from collections.abc import Sequence
 from dataclasses import dataclass
+from decimal import Decimal
+from fractions import Fraction
 
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linemend.llm.base import table
 
-BLOCK_ROWS, LEAST_PERIOD, RANGES = 16, 1000, 4096
+BLOCK_ROWS, RANGES, PIECE = 16, 4096, 1024
 
 
 def shares(weights: list[float], period: int) -> list[int]:
-    """Whole shares of ``period`` by largest remainder, at least 1 each."""
+    """Whole shares of ``period`` by largest remainder, at least 1 each: rounded, so
+    ``schedule`` takes ``exact_shares``."""
     total, spare = sum(weights), period - len(weights)
     exact = [w / total * spare for w in weights]
     out = [1 + math.floor(x) for x in exact]
@@ -50,20 +57,34 @@ def shares(weights: list[float], period: int) -> list[int]:
     return out
 
 
-def one_period(share: list[int]) -> list[list[int]]:
+def exact_shares(weights: Sequence[float | Decimal | Fraction]) -> list[int]:
+    """The least whole shares in exactly the ratio of the weights, all above 0."""
+    exact = [Fraction(w) if isinstance(w, (int, Decimal, Fraction)) else Fraction(repr(float(w))) for w in weights]
+    common = math.lcm(*(w.denominator for w in exact))
+    whole = [int(w * common) for w in exact]
+    by = math.gcd(*whole)
+    return [w // by for w in whole]
+
+
+def one_period(share: list[int], most: list[int] | None = None) -> list[list[int]]:
     """Slots of each source's blocks in one period: earliest deadline first
-    among released blocks."""
+    among released blocks.  With ``most``, blocks there are of each source, it ends
+    early after the slot in which a source runs out."""
     period = sum(share)
     slots: list[list[int]] = [[] for _ in share]
     waiting = [(0, i, 0) for i in range(len(share))]  # (release, source, block)
     heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []  # (deadline, source, block)
-    for slot in range(period):
+    slot = 0
+    while slot < period:
         while waiting and waiting[0][0] <= slot:
             _, i, k = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(k + 1) * period // share[i]), i, k))
         _, i, k = heapq.heappop(ready)
         slots[i].append(slot)
+        slot += 1
+        if most is not None and k + 1 == most[i]:
+            break
         if k + 1 < share[i]:
             heapq.heappush(waiting, ((k + 1) * period // share[i], i, k + 1))
     return slots
@@ -92,12 +113,15 @@ def schedule(blocks: dict[str | None, int], weights: dict[str | None, float]) ->
             aim = [float(weights[s]) for s in active]
         else:
             active, aim = order, [math.sqrt(left[s]) for s in order]
-        period = max(LEAST_PERIOD, 4 * len(active))
-        share = shares(aim, period)
-        slots = one_period(share)
-        length = min((left[s] - 1) // e * period + at[(left[s] - 1) % e] + 1 for s, e, at in zip(active, share, slots, strict=True))
-        for s, e, at in zip(active, share, slots, strict=True):
-            ran = length // period * e + bisect_left(at, length % period)
+        share = exact_shares(aim)
+        slots = one_period(share, [left[s] for s in active])
+        period = sum(len(at) for at in slots)
+        if period == sum(share):
+            length = min((left[s] - 1) // e * period + at[(left[s] - 1) % e] + 1 for s, e, at in zip(active, share, slots, strict=True))
+        else:  # a source ran out within the period
+            length = period
+        for s, at in zip(active, slots, strict=True):
+            ran = length // period * len(at) + bisect_left(at, length % period)
             if ran:
                 out.append(Phase(s, done[s], done[s] + ran, start, period, at))
             done[s] += ran
@@ -120,28 +144,34 @@ def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
     return joined.withColumn("_n", F.col("_offset") + F.col("_k") - 1).drop("_h", "_range", "_s", "_r", "_offset", "_k")
 
 
-def _plan(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None, block_rows: int, source_col: str) -> DataFrame:
-    """The schedule as a table: some rows for each source and phase."""
+def _plan(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None, block_rows: int, source_col: str) -> tuple[DataFrame, DataFrame]:
+    """The schedule as two tables: a row for each source and phase, and their slots in
+    pieces."""
     counts = {r.s: r.n for r in docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
     blocks = {s: -(-n // block_rows) for s, n in counts.items()}
     if weights is None:
         weights = {s: math.sqrt(n) for s, n in counts.items()}
     weights = {s: w for s, w in weights.items() if w is not None and math.isfinite(w) and w > 0}
-    return spark.createDataFrame(
-        [(p.source, p.first, p.last, p.start, p.period, p.slots) for p in schedule(blocks, weights)],
-        "_ps string, _first long, _last long, _start long, _period long, _slots array<int>",
+    phases = schedule(blocks, weights)
+    heads = spark.createDataFrame(
+        [(p.source, i, p.first, p.last, p.start, p.period, len(p.slots)) for i, p in enumerate(phases)],
+        "_ps string, _phase int, _first long, _last long, _start long, _period long, _share int",
     )
+    pieces = [(i, k // PIECE, p.slots[k : k + PIECE]) for i, p in enumerate(phases) for k in range(0, len(p.slots), PIECE)]
+    return heads, spark.createDataFrame(pieces, "_pp int, _piece int, _slots array<int>")
 
 
-def _placed(rows: DataFrame, plan: DataFrame, block_rows: int, source_col: str) -> DataFrame:
+def _placed(rows: DataFrame, plan: tuple[DataFrame, DataFrame], block_rows: int, source_col: str) -> DataFrame:
     """Rows with ``_n`` get block, slot and position."""
+    heads, pieces = plan
     rows = rows.withColumn("block", F.floor(F.col("_n") / block_rows))
-    # some rows for each source and phase
-    placed = rows.join(F.broadcast(plan), F.col(source_col).cast("string").eqNullSafe(F.col("_ps")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_last")))
-    at, share = F.col("block") - F.col("_first"), F.size("_slots")
-    slot = F.col("_start") + F.floor(at / share) * F.col("_period") + F.element_at("_slots", (at % share + 1).cast("int"))
+    # heads: one row for each source and phase; pieces: at most one number for each block
+    placed = rows.join(F.broadcast(heads), F.col(source_col).cast("string").eqNullSafe(F.col("_ps")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_last")))
+    placed = placed.withColumn("_at", F.col("block") - F.col("_first")).withColumn("_in", (F.col("_at") % F.col("_share")).cast("int"))
+    placed = placed.join(F.broadcast(pieces), (F.col("_phase") == F.col("_pp")) & (F.floor(F.col("_in") / PIECE).cast("int") == F.col("_piece")))
+    slot = F.col("_start") + F.floor(F.col("_at") / F.col("_share")) * F.col("_period") + F.element_at("_slots", F.col("_in") % PIECE + 1)
     placed = placed.withColumn("slot", slot).withColumn("position", F.col("slot") * block_rows + F.col("_n") % block_rows)
-    return placed.drop("_ps", "_first", "_last", "_start", "_period", "_slots")
+    return placed.drop("_ps", "_phase", "_first", "_last", "_start", "_period", "_share", "_at", "_in", "_pp", "_piece", "_slots")
 
 
 def _without_new(docs: DataFrame) -> DataFrame:

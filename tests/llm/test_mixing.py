@@ -1,9 +1,11 @@
 import math
+from collections import Counter
+from fractions import Fraction
 
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linemend.llm.mixing import mix, mix_in_order, one_period, schedule, shares
+from linemend.llm.mixing import PIECE, mix, mix_in_order, one_period, schedule, shares
 
 
 @settings(max_examples=60, deadline=None)
@@ -76,3 +78,34 @@ def test_operator(spark):
     given_ = mix(df, {"hot": 1.0, "s0": float("nan"), None: None}, block_rows=8).collect()
     assert len(given_) == len(rows) and max(r.slot for r in given_ if r.source == "hot") < min(r.slot for r in given_ if r.source != "hot")
     assert mix(df.limit(0)).count() == 0
+
+
+def test_target_weights_within_one_block_over_the_whole_run():
+    """The bound holds against the weights given, and does not grow with t."""
+    cases = [
+        ([1.0, 1.0, 1.0], [30000] * 3),
+        ([0.5, 0.3, 0.1, 0.06, 0.04], [30000, 18000, 6000, 3600, 2400]),
+        ([0.9999, 0.0001], [30000, 30000]),
+        ([math.sqrt(n) for n in (40000, 9001, 777, 35)], [2500, 563, 49, 3]),
+    ]
+    for weights, blocks in cases:
+        names = [f"s{i}" for i in range(len(weights))]
+        out = slow(dict(zip(names, blocks)), dict(zip(names, weights)))
+        assert sorted(out) == list(range(sum(blocks)))
+        exact = [Fraction(repr(w)) for w in weights]
+        part = {s: w / sum(exact) for s, w in zip(names, exact)}
+        left, count = dict(zip(names, blocks)), dict.fromkeys(names, 0)
+        for t in range(sum(blocks)):
+            count[out[t][0]] += 1
+            for s in names:
+                assert abs(count[s] * part[s].denominator - (t + 1) * part[s].numerator) < part[s].denominator, (weights, t)
+            if count[out[t][0]] == left[out[t][0]]:
+                break
+
+
+def test_slots_in_pieces(spark):
+    df = spark.range(6000).selectExpr("id doc_id", "if(id % 7 < 5, 'a', 'b') source")
+    weights = {"a": math.sqrt(5), "b": math.sqrt(2)}
+    out = mix(df, weights, block_rows=1).collect()
+    want = slow(dict(Counter(r.source for r in out)), weights)
+    assert {r.slot: (r.source, r.block) for r in out} == want and max(r.block for r in out) > 2 * PIECE
