@@ -7,6 +7,8 @@ return the columns of ``documents``.
 
 from __future__ import annotations
 
+import itertools
+
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -39,13 +41,31 @@ def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame
 
 
 def mix_sources(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, in the order of the schedule."""
+    """All documents, in the order of the schedule: within each part and from part to
+    part.  Readers deal parts anew, so ``in_written_order`` recovers it."""
     return mixing.mix_in_order(docs).select(docs.columns)
 
 
+def in_written_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
+    """Adds ``position``: the place, from 0, of a row in a table as it was written, by
+    the number of its part file and the row within; however the parts are read.  What
+    is no table as read is written out first."""
+    if docs._jdf.queryExecution().analyzed().getClass().getSimpleName() != "LogicalRelation":
+        docs = cut_table(docs, "pipeline-ordered")
+    path = F.col("_metadata.file_path")
+    # one row for each part file, whose footers hold the counts
+    parts = docs.groupBy(path.alias("_path")).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.element_at(F.split("_path", "/"), -1))
+    found = sorted(parts.withColumn("part", F.regexp_extract("name", r"^part-(\d+)", 1)).collect(), key=lambda r: (int(r.part or 0), r.name))
+    ends = list(itertools.accumulate((r.n for r in found), initial=0))
+    starts = spark.createDataFrame([(r._path, k) for r, k in zip(found, ends)], "_path string, _start long")
+    placed = docs.select(*docs.columns, path.alias("_path"), F.col("_metadata.row_index").alias("_row")).join(F.broadcast(starts), "_path")
+    return placed.select(*docs.columns, (F.col("_start") + F.col("_row")).alias("position"))
+
+
 def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Token ids of every document, with digests of ids and decoded text."""
-    return bpe.bpe_encode(docs, with_text=False)
+    """Token ids of every document, with digests of ids and decoded text, and its
+    ``position`` in the mixed order."""
+    return bpe.bpe_encode(in_written_order(spark, docs), with_text=False, place_col="position")
 
 
 STAGES = [

@@ -223,9 +223,10 @@ OUT = pa.schema([("doc_id", pa.int64()), ("n_tokens", pa.int64()), ("token_ids",
 
 
 def bpe_encode(
-    docs: DataFrame, definition: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True
+    docs: DataFrame, definition: str | None = None, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = True, with_text: bool = True, place_col: str | None = None
 ) -> DataFrame:
-    """Per row: doc_id, n_tokens, token_ids, ids_sha256, decoded_sha256, decoded.
+    """Per row: doc_id, n_tokens, token_ids, ids_sha256, decoded_sha256, decoded, and
+    position where ``place_col`` names a column (whole numbers) to carry.
 
     ``definition``: path of a tokenizer definition (JSON, byte-level BPE); its
     bytes are broadcast (size fixed by the vocabulary).  ``with_ids`` and
@@ -236,7 +237,11 @@ def bpe_encode(
     data = file_bytes(definition or tokenizer_file("byte_bpe_50k.json"))
     key, shared = ("bpe", hashlib.sha256(data).hexdigest()), spark.sparkContext.broadcast(data)
     keep = [n for n in OUT.names if not (n == "token_ids" and not with_ids or n == "decoded" and not with_text)]
-    schema = pa.schema([OUT.field(n) for n in keep])
+    fields = [OUT.field(n) for n in keep]
+    if place_col is not None:
+        keep.append("position")
+        fields.append(pa.field("position", pa.int64()))
+    schema = pa.schema(fields)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         bpe = once(key, lambda: ByteBPE(shared.value))
@@ -252,11 +257,13 @@ def bpe_encode(
                     "ids_sha256": [hashlib.sha256(x).hexdigest() for x in packed],
                     "decoded_sha256": [hashlib.sha256(x.encode()).hexdigest() for x in decoded],
                     "decoded": decoded,
+                    "position": batch.column(2) if place_col is not None else None,
                 }
                 yield pa.RecordBatch.from_pydict({n: cols[n] for n in keep}, schema=schema)
 
-    sql = {"doc_id": "bigint", "n_tokens": "bigint", "token_ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "string"}
-    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
+    sql = {"doc_id": "bigint", "n_tokens": "bigint", "token_ids": "array<int>", "ids_sha256": "string", "decoded_sha256": "string", "decoded": "string", "position": "bigint"}
+    place = [] if place_col is None else [F.col(place_col).cast("long").alias("position")]
+    read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"), *place)
     return read.mapInArrow(encoded, ", ".join(f"{n} {sql[n]}" for n in keep))
 
 

@@ -3,6 +3,7 @@ import re
 from tokenizers import Tokenizer
 
 import corpus_pipeline as C
+from linemend.llm import mixing
 from linemend.llm import toxicity as T
 from linemend.llm.base import table, tokenizer_file
 from linemend.llm.pii import Pseudonyms
@@ -54,3 +55,18 @@ def test_odd_rows(spark, sf_dir):
     for _, stage in C.STAGES:
         empty = stage(spark, empty, sf_dir)
     assert empty.count() == 0
+
+
+def test_schedule_reaches_the_result(spark, sf_dir, tmp_path):
+    """Position survives part files that are dealt anew when they are read."""
+    rows = [(i, f"t{i} " * (1 + i % 5 * 400), "en", "ab"[i % 7 > 4], 3) for i in range(900)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = [r.doc_id for r in mixing.mix(docs).orderBy("position").collect()]
+    C.mix_sources(spark, docs, sf_dir).write.parquet(str(tmp_path / "mixed"))
+    files = list((tmp_path / "mixed").glob("part-*"))
+    assert len(files) > 1
+    out = C.encode(spark, spark.read.parquet(str(tmp_path / "mixed")), sf_dir).collect()
+    assert [r.doc_id for r in sorted(out, key=lambda r: r.position)] == want
+    assert sorted(r.position for r in out) == list(range(len(rows)))
+    direct = C.encode(spark, C.mix_sources(spark, docs, sf_dir), sf_dir).collect()
+    assert [r.doc_id for r in sorted(direct, key=lambda r: r.position)] == want
