@@ -15,6 +15,9 @@ from pyspark.sql import functions as F
 from linemend.llm import bpe, mixing, parity_join, pii, toxicity
 from linemend.llm.base import cut_table, table
 
+#: Near copies in the pipeline: shingles of five words, Jaccard at least 80 : 100.
+NEAR = (5, 80, 100)
+
 
 def reject_toxic(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents predicted toxic go; the classifier learns from ``labels``."""
@@ -27,7 +30,7 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
 
     Rows with a null id stay, as no group can be told from them.  Rows that
     repeat an id and its text count as copies of each other."""
-    joined = cut_table(parity_join.jaccard_join(docs).select("doc_id", "component_id"), "pipeline-groups")
+    joined = cut_table(parity_join.jaccard_join(docs, *NEAR).select("doc_id", "component_id"), "pipeline-groups")
     first = joined.where("doc_id = component_id").groupBy("doc_id").count()
     kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
     if not first.where("count > 1").isEmpty():

@@ -70,3 +70,14 @@ def test_schedule_reaches_the_result(spark, sf_dir, tmp_path):
     assert sorted(r.position for r in out) == list(range(len(rows)))
     direct = C.encode(spark, C.mix_sources(spark, docs, sf_dir), sf_dir).collect()
     assert [r.doc_id for r in sorted(direct, key=lambda r: r.position)] == want
+
+
+def test_near_copies_by_five_words_and_four_fifths(spark, sf_dir):
+    """Copies at 0.80-0.85 of five-word shingles go; below 0.80 they stay."""
+    base = [f"w{i}" for i in range(300)]
+    edits = lambda at: [f"z{i}" if i in at else w for i, w in enumerate(base)]
+    texts = [base, base[:273] + [f"y{i}" for i in range(27)], [f"u{i}" for i in range(1000)], [f"x{i}" if i % 45 == 20 else f"u{i}" for i in range(1000)], edits(range(50, 300, 20))]
+    rows = [(i, " ".join(t), "en", "s", 1) for i, t in enumerate(texts)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    want = {d for d, _, c in brute([r[:2] for r in rows], 80, 100, 5) if d == c}
+    assert want == {0, 2, 4} and {r.doc_id for r in C.one_of_each_group(spark, docs, sf_dir).collect()} == want
