@@ -9,7 +9,7 @@ from __future__ import annotations
 
 import itertools
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linemend.llm import bpe, mixing, parity_join, pii, toxicity
@@ -29,13 +29,24 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     """Of each group of near copies the document with the smallest id stays.
 
     Rows with a null id stay, as no group can be told from them.  Rows that
-    repeat an id and its text count as copies of each other."""
-    joined = cut_table(parity_join.jaccard_join(docs, *NEAR).select("doc_id", "component_id"), "pipeline-groups")
-    first = joined.where("doc_id = component_id").groupBy("doc_id").count()
-    kept = docs.join(first.select("doc_id"), "doc_id", "left_semi")
-    if not first.where("count > 1").isEmpty():
-        kept = kept.dropDuplicates(["doc_id", "text"])
-    return kept.select(docs.columns).unionByName(docs.where(F.col("doc_id").isNull()))
+    repeat an id and its text count as copies of each other.  Where an id repeats with
+    different texts, each row goes by its own group; of several rows of one id in a
+    group the first by text stays."""
+    joined = cut_table(parity_join.jaccard_join(docs, *NEAR).select("doc_id", "component_id", "links_to", "set_id"), "pipeline-groups")
+    named = docs.where(F.col("doc_id").isNotNull())
+    by_id = joined.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("heads"))
+    by_id = cut_table(by_id, "pipeline-ids")
+    kept = named.join(by_id.where("rows = 1 and heads").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    repeated = by_id.where("rows > 1").select("doc_id")
+    if not repeated.isEmpty():
+        heads = joined.where("doc_id = component_id").join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_set"), "links_to").distinct()
+        several = parity_join.with_set_id(named.join(repeated, "doc_id", "left_semi"), NEAR[0])
+        several = several.join(heads, (F.col("doc_id") == F.col("_id")) & F.col("set_id").eqNullSafe(F.col("_set")))
+        # texts without shingles are in no group: only equal ones are copies
+        group = [F.col("doc_id"), F.col("links_to"), F.when(F.col("links_to").isNull(), F.coalesce(F.concat(F.lit("t"), "text"), F.lit("")))]
+        first = F.row_number().over(Window.partitionBy(*group).orderBy("text"))
+        kept = kept.unionByName(several.withColumn("_k", first).where("_k = 1").select(docs.columns))
+    return kept.unionByName(docs.where(F.col("doc_id").isNull()))
 
 
 def pseudonymise(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

@@ -45,6 +45,7 @@ from collections.abc import Iterator
 from dataclasses import dataclass
 
 import numpy as np
+import pandas as pd
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame, SparkSession
@@ -478,7 +479,8 @@ def jaccard_join(
     docs: DataFrame, words: int = WORDS, num: int = NUMERATOR, den: int = DENOMINATOR, id_col: str = "doc_id", text_col: str = "text"
 ) -> DataFrame:
     """Per row: doc_id, n_shingles, component_id, links_to (the smallest set id of
-    the component, for joining members).  See the module for edge cases."""
+    the component, for joining members), set_id (the row's own).  See the module for
+    edge cases."""
     bands = Bands(num, den)
     small_batches(docs.sparkSession)
     read = docs.select(F.col(id_col).cast("long").alias("id"), F.col(text_col).cast("string").alias("text"))
@@ -514,9 +516,21 @@ def jaccard_join(
     labelled = members.join(first, "v", "left").select("id", "n", "v", F.coalesce("root", "v").alias("c"))
     smallest = cut_table(labelled.where("c is not null").groupBy("c").agg(F.min("id").alias("component_id")), "parity-smallest")
     return labelled.join(smallest, "c", "left").select(
-        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.col("c").alias("links_to")
+        F.col("id").alias("doc_id"), F.col("n").alias("n_shingles"), F.when(F.col("c").isNull(), F.col("id")).otherwise(F.col("component_id")).alias("component_id"), F.col("c").alias("links_to"), F.col("v").alias("set_id")
     )
 
 
+def with_set_id(docs: DataFrame, words: int = WORDS, text_col: str = "text") -> DataFrame:
+    """Adds ``set_id``, as ``jaccard_join`` gives it, null without shingles."""
+
+    @F.pandas_udf("bigint")
+    def own(texts: pd.Series) -> pd.Series:
+        sets = (shingles(t, words) for t in texts)
+        return pd.Series([set_id(s) if len(s) else None for s in sets], dtype="Int64")
+
+    small_batches(docs.sparkSession)
+    return docs.withColumn("set_id", own(F.col(text_col).cast("string")))
+
+
 def op4_parity_jaccard(spark: SparkSession, sf_dir: str) -> DataFrame:
     return jaccard_join(table(spark, sf_dir, "documents")).select("doc_id", "n_shingles", "component_id")

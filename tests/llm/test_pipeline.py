@@ -81,3 +81,12 @@ def test_near_copies_by_five_words_and_four_fifths(spark, sf_dir):
     docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
     want = {d for d, _, c in brute([r[:2] for r in rows], 80, 100, 5) if d == c}
     assert want == {0, 2, 4} and {r.doc_id for r in C.one_of_each_group(spark, docs, sf_dir).collect()} == want
+
+
+def test_repeated_ids_go_by_their_own_group(spark, sf_dir):
+    """An id that repeats with different texts: only the row that heads its group stays."""
+    text = lambda p, n=40: " ".join(f"{p}{i}" for i in range(n))
+    rows = [(1, text("a")), (2, text("a") + " end"), (2, text("b")), (3, text("b") + " end"), (4, text("c")), (4, text("c") + " end"), (5, ""), (5, text("a")), (5, None), (5, ""), (6, text("d")), (None, text("a"))]
+    docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    out = sorted(((r.doc_id, r.text) for r in C.one_of_each_group(spark, docs, sf_dir).collect()), key=str)
+    assert out == sorted([(1, text("a")), (2, text("b")), (4, text("c")), (5, ""), (5, None), (6, text("d")), (None, text("a"))], key=str)
