@@ -9,6 +9,11 @@ so that a low score at an edge loses no paragraph.  Of the region, the parts tha
 article (menus, headers, footers, sidebars, notices, adverts, forms, scripts, styles,
 comments of readers) are left out; the rest is returned block by block.
 
+Classes, ids and roles mark a part by whole names: one of ``APART_WORDS``, alone or with
+words of place (``site-header``), but not ``no-comments`` or ``entry-header``.  They do
+not mark an article outside other articles, nor the element that holds the best run
+of the page without such marks, if the marks leave little beside it.
+
 Text: character references are decoded after tags are found, white space inside a
 block becomes one space, blocks are trimmed and joined by a line feed.  ``br``
 counts as white space.  A null or empty page, or one without words, gives an empty
@@ -23,7 +28,7 @@ import html
 import math
 import re
 from collections import Counter
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 
 import pyarrow as pa
@@ -53,9 +58,13 @@ APART_WORDS = frozenset(
     discussion reply replies respond share sharing social related recommended newsletter subscribe subscription signup login popup modal overlay widget
     widgets toolbar pagination pager search complementary contentinfo dialog disclaimer legal copyright""".split()
 )
+#: Words beside them that only say where or of what kind: ``site-header``, ``comment-list``.
+PLACE_WORDS = frozenset("site page global top bottom left right primary secondary area bar box block list item links buttons form section container wrapper inner".split())
 LASTING = frozenset(("comment", "comments", "commentlist", "disqus", "discussion", "reply", "replies", "respond"))
 ROOTS = frozenset(("html", "body", "article", "main"))
-WORD_OF = re.compile(r"[a-z]+")
+NAME_OF, WORD_OF = re.compile(r"\S+"), re.compile(r"[a-z]+")
+#: Marks by class give way to the element with the best run if they leave less than this part of its score.
+LEFT_BESIDE = 0.25
 
 # Labelled pages: content stands between the two marks.  They cover the usual
 # shapes: semantic tags, plain divisions, tables, link lists, comment threads.
@@ -88,31 +97,38 @@ class Page:
     #: (name, first token, token after the last) of every element that can hold content
     spans: list[tuple[str, int, int]] = field(default_factory=list)
     marks: list[tuple[int, bool]] = field(default_factory=list)
+    #: (place in the source, lasting, first token, token after the last) of elements that attributes name as apart
+    named: list[tuple[int, bool, int, int]] = field(default_factory=list)
 
 
-def _is_apart(name: str, attrs: str) -> tuple[bool, bool]:
-    """Whether an element is no part of an article, and whether it ends only with its tag."""
+def _is_apart(name: str, attrs: str) -> tuple[bool, bool, bool]:
+    """Whether an element is no part of an article, whether only class, id or role
+    say so, and whether it ends only with its tag."""
     if name in APART:
-        return True, False
+        return True, False, False
     if not attrs.strip() or name in ("html", "body"):
-        return False, False
-    words: set[str] = set()
+        return False, False, False
+    found: set[str] = set()
     for m in ATTR.finditer(attrs):
         key, value = m.group(1).lower(), (m.group(2) or "").strip("\"'").lower()
         if key == "hidden" or key == "aria-hidden" and value == "true" or key == "style" and re.search(r"display\s*:\s*none|visibility\s*:\s*hidden", value):
-            return True, False
+            return True, False, False
         if key in ("class", "id", "role"):
-            words.update(WORD_OF.findall(value))
+            for whole in NAME_OF.findall(value):
+                words = set(WORD_OF.findall(whole))
+                if words & APART_WORDS and words <= APART_WORDS | PLACE_WORDS:
+                    found |= words & APART_WORDS
     if name in INLINE and name != "span" or name == "main":
-        return False, False
-    found = words & APART_WORDS
-    return bool(found), bool(found & LASTING)
+        return False, False, False
+    return bool(found), bool(found), bool(found & LASTING)
 
 
-def tokenise(source: str | None) -> Page:
+def tokenise(source: str | None, wrappers: frozenset[int] | None = frozenset()) -> Page:
+    """Elements that begin at the places ``wrappers`` (None: everywhere) are not marked
+    by class, id and role."""
     page, at = Page(), 0
     source = source or ""
-    stack: list[tuple[str, int, bool, bool]] = []  # name, first token, apart, lasting
+    stack: list[tuple[str, int, bool, bool, int | None]] = []  # name, first token, apart, lasting, place if named apart
     links = apart = 0
 
     def put(kind: str, size: int, text: str | None, block: bool) -> None:
@@ -129,10 +145,12 @@ def tokenise(source: str | None) -> Page:
 
     def pop() -> None:
         nonlocal links, apart
-        name, first, is_apart, _ = stack.pop()
+        name, first, is_apart, lasting, place = stack.pop()
         links -= name == "a"
         apart -= is_apart
         page.spans.append((name, first, len(page.kind)))
+        if place is not None:
+            page.named.append((place, lasting, first, len(page.kind)))
 
     for m in TOKEN.finditer(source):
         if at < m.start():
@@ -155,8 +173,12 @@ def tokenise(source: str | None) -> Page:
             else:
                 put(name, 1, None, name not in INLINE)
             continue
-        is_apart, lasting = _is_apart(name, attrs)
-        if name in ("article", "main") and not is_apart and apart and not any(x[3] for x in stack):
+        is_apart, named, lasting = _is_apart(name, attrs)
+        if named and name == "article" and not lasting and not any(x[0] == "article" for x in stack):
+            is_apart = named = False
+        if named and (wrappers is None or m.start() in wrappers):
+            is_apart = False
+        if name in ("article", "main") and not is_apart and apart and not any(x[2] and x[3] for x in stack):
             while apart:  # an unclosed part that is no article ends here
                 pop()
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):  # ends an open one of its kind
@@ -174,7 +196,7 @@ def tokenise(source: str | None) -> Page:
                 put(name, 1, None, name not in INLINE)
             continue
         put(name, 1, None, name not in INLINE)
-        stack.append((name, len(page.kind) - 1, is_apart, lasting))
+        stack.append((name, len(page.kind) - 1, is_apart, lasting, m.start() if named else None))
         links += name == "a"
         apart += is_apart
         page.apart[-1] = apart > 0
@@ -213,10 +235,33 @@ def best_run(scores: list[float]) -> tuple[int, int]:
     return found
 
 
+def _wrappers(source: str, marked: float, scores: Callable[[Page], list[float]]) -> frozenset[int]:
+    """Places of the elements named apart that hold the best run of the page without
+    such names (most of its words do if an article or headline stands in them), if it
+    scores far above the ``marked`` one.  Threads of comments without one are no wrappers."""
+    page = tokenise(source, None)
+    found = scores(page)
+    first, last = best_run(found)
+    if marked >= LEFT_BESIDE * sum(found[first:last]):
+        return frozenset()
+    words = lambda a, b: sum(x for x in found[max(a, first) : min(b, last)] if x > 0)
+    out = set()
+    for place, lasting, a, b in page.named:
+        headed = any(k in ("article", "main", "h1") for k in page.kind[a + 1 : b])
+        if headed and 2 * words(a, b) > words(first, last) or not lasting and a <= first and b >= last:
+            out.add(place)
+    return frozenset(out)
+
+
 def extract(source: str | None, weights: dict[str, float]) -> str:
-    page = tokenise(source)
     unseen = min((v for k, v in weights.items() if k[:2] != "w:"), default=-1.0) / 2
-    first, last = best_run([weights.get(k, unseen) * n for k, n in zip(page.kind, page.size, strict=True)])
+    scores = lambda page: [weights.get(k, unseen) * n for k, n in zip(page.kind, page.size, strict=True)]
+    page = tokenise(source)
+    found = scores(page)
+    first, last = best_run(found)
+    if page.named and (wrappers := _wrappers(source or "", sum(found[first:last]), scores)):
+        page = tokenise(source, wrappers)
+        first, last = best_run(scores(page))
     if last == 0:  # all words stand in links or apart
         first, last = 0, len(page.kind)
     around = [s for s in page.spans if s[1] <= first and s[2] >= last and s[0] not in INLINE]

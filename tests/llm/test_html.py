@@ -61,3 +61,20 @@ def test_operator(spark):
     out = main_text(spark.createDataFrame(rows, "page_id long, url string, html string, text string")).collect()
     assert sorted(((r.page_id, r.text, r.n_chars) for r in out), key=str) == sorted([(1, TEXT, len(TEXT))] * 2 + [(2, "", 0), (3, "", 0), (None, "words", 5)], key=str)
     assert main_text(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
+
+
+def test_names_around_the_story_do_not_drop_it():
+    for wrap in ("article class='post no-comments'", "article class='hentry has-sidebar'", "div class='content with-sidebar'", "article class='promo'", "div class='content sidebar'", "div id=modal", "section class='search content'"):
+        whole = f"<{wrap}>{BODY}</{wrap.split()[0]}>"
+        for other in ("", "<footer>&copy; all rights of this site</footer>", "<div class='site-footer'>Some few words</div>"):
+            assert extract(page(whole, after=other), W) == TEXT, (wrap, other)
+    assert extract(page(f"<article><div class='entry-header'>{BODY.replace('</h1>', '</h1></div>', 1)}</article>"), W) == TEXT
+
+
+def test_compound_names_of_boilerplate_still_go():
+    for name in ("site-header", "sidebar-left", "comment-list", "footer_widgets", "comments-area"):
+        part = f"<div class='{name}'><p>Words that are no part of it</p></div>"
+        for wrap in ("article", "main", "div"):
+            assert extract(page(f"<{wrap}>{BODY}{part}</{wrap}>"), W) == TEXT, name
+    thread = "<div id=comments>" + "<p>I liked this story so very much indeed and say so</p>" * 40 + "</div>"
+    assert extract(page(f"<div>{BODY}</div>", after=thread), W) == TEXT
