@@ -12,14 +12,19 @@ the last token read, and what it lacks is known from when things were made:
 * an arc made at merge j is missing wherever the arc of its left part was
   missing at j, or goes at j itself (``a + a``: the leftmost pair merges first).
 
-So state ``t`` lacks arc ``u`` iff some gadget (y, b) exists with y on the right
-spine of t, b on the left spine of u, and the gadget older than the spine node
-above y and no younger than the one above b.  The gadget table and the two spines are the
-compiled automaton (linear in the merges); rows of the transition table are
-filled on demand and kept.  A word is encoded by running its byte trie against
-that table: longest arc first, falling back from positions that turn out dead;
-each prefix has one accepted path only, so a dead position is never tried twice
-and the run is linear in the word.  Decoding emits the arc labels (bytes).
+So the gadget ``(y, b)`` number k takes from every state with y on its right spine
+(made there after k) the arc b and the arcs with b on their left spine (made there at
+k or later).  Tokens are ordered so that these are neighbours: after the tree of left
+parts, children by the merge that makes them, parents last.  One gadget then takes one
+interval of arcs, and a state's row of the transition table is a short ascending list of
+interval bounds; states with equal rows share one.  The driver compiles the
+table once (2.5 MB for 50,000 merges) and broadcasts it as flat arrays; a transition is
+one binary search in a row.
+
+A word is encoded by running its arcs against the table: longest arc first, falling back
+from positions that turn out dead; each prefix has one accepted path only, so a dead
+position is never tried twice and the run is linear in the word.  Decoding emits the arc
+labels (bytes).
 
 Results: a null text counts as empty; a text without tokens has no ids; extra
 columns are not carried; rows are not merged (repeated rows give repeated rows).
@@ -29,7 +34,11 @@ from __future__ import annotations
 
 import hashlib
 import json
+from array import array
+from bisect import bisect_left, bisect_right
 from collections.abc import Iterator
+from dataclasses import dataclass
+from itertools import accumulate
 
 import pyarrow as pa
 import regex
@@ -40,8 +49,8 @@ from linemend.llm.base import file_bytes, once, small_batches, table, tokenizer_
 
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies of this family.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
-#: Entries that a worker keeps of encoded words and of transition rows, and the longest word kept.
-WORD_CACHE, ARC_CACHE, LONGEST_KEPT = 350_000, 300_000, 48
+#: Entries that a worker keeps of encoded words, and the longest word kept.
+WORD_CACHE, LONGEST_KEPT = 120_000, 48
 BASE, NEVER = -1, 1 << 60
 ROWS_OUT = 256
 
@@ -54,82 +63,120 @@ def byte_letters() -> dict[str, int]:
     return {chr(b if b in plain else next(spare)): b for b in range(256)}
 
 
+@dataclass
+class Compiled:
+    """The automaton as flat arrays.  ``labels`` and ``ends``: the labels of all tokens,
+    one after the other; ``alive``: tokens that are arcs; ``place``: their order; a state's
+    row is ``bounds[starts[row[state]] : starts[row[state] + 1]]``."""
+
+    labels: bytes
+    ends: array
+    alive: bytes
+    place: array
+    row: array
+    starts: array
+    bounds: array
+
+
+def compiled(vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]]) -> Compiled:
+    """Applies the merge gadgets one after the other and lays the table out."""
+    size = max(vocab.values(), default=-1) + 1
+    made, parts = [BASE] * size, [None] * size
+    gadgets: list[list[tuple[int, int]]] = [[] for _ in range(size)]  # by state: (merge, arc)
+    number: dict[int, int] = {}
+    children: list[list[int]] = [[] for _ in range(size)]  # by left part, in order of the merges
+    alive = bytearray(size)
+    for label, t in vocab.items():
+        alive[t] = len(label) == 1
+
+    def spine(token: int, side: int) -> Iterator[tuple[int, int]]:
+        """(node, merge that made the node above it) down one side."""
+        above = NEVER
+        while True:
+            yield token, above
+            if parts[token] is None:
+                return
+            above, token = made[token], parts[token][side]
+
+    def has(state: int, arc: int) -> bool:
+        return not any((k := number.get(y * size + b, NEVER)) < since and k <= until for y, since in spine(state, 1) for b, until in spine(arc, 0))
+
+    for k, (x, y) in enumerate(merges):
+        a, b, c = vocab[x], vocab[y], vocab[x + y]
+        if parts[c] is not None or c in (a, b):
+            continue
+        alive[c] |= alive[a] and alive[b] and has(a, b)  # else the path a b is gone, and no arc c arises
+        if number.setdefault(a * size + b, k) == k:
+            gadgets[a].append((k, b))
+        parts[c], made[c] = (a, b), k
+        children[a].append(c)
+
+    place, first, at = array("I", bytes(4 * size)), [0] * size, 0
+    for root in range(size):
+        stack = [(root, 0)] if parts[root] is None else []
+        while stack:
+            t, i = stack.pop()
+            if i == 0:
+                first[t] = at
+            if i < len(children[t]):
+                stack += [(t, i + 1), (children[t][i], 0)]
+            else:
+                place[t] = at
+                at += 1
+
+    def interval(b: int, k: int) -> tuple[int, int]:
+        late = bisect_left(children[b], k, key=made.__getitem__)
+        return first[children[b][late]] if late < len(children[b]) else place[b], place[b] + 1
+
+    taken = [[(k, *interval(b, k)) for k, b in own] for own in gadgets]
+    rows: dict[bytes, int] = {}
+    row, starts, bounds = array("I", bytes(4 * size)), array("I", [0]), array("I")
+    for t in range(size):
+        found = sorted((low, high) for y, since in spine(t, 1) for k, low, high in taken[y] if k < since)
+        out = array("I")
+        for low, high in found:
+            if out and low <= out[-1]:
+                out[-1] = max(high, out[-1])
+            else:
+                out.extend((low, high))
+        key = out.tobytes()
+        if key not in rows:
+            rows[key] = len(rows)
+            bounds.extend(out)
+            starts.append(len(bounds))
+        row[t] = rows[key]
+    labels = [b""] * size
+    for label, t in vocab.items():
+        labels[t] = label
+    return Compiled(b"".join(labels), array("I", accumulate(map(len, labels))), bytes(alive), place, row, starts, bounds)
+
+
 class MergeAutomaton:
-    """The compiled automaton: states and arcs are token ids."""
-
-    def __init__(self, vocab: dict[bytes, int], merges: list[tuple[bytes, bytes]]):
-        size = max(vocab.values(), default=-1) + 1
-        self.labels: list[bytes] = [b""] * size
-        for label, token in vocab.items():
-            self.labels[token] = label
-        self.size = size
-        self._made = [BASE] * size  # number of the gadget that made an arc
-        self._parts: list[tuple[int, int] | None] = [None] * size
-        self._gadgets: dict[int, int] = {}
-        self._left: dict[int, list[tuple[int, int]]] = {}
-        self._right: dict[int, list[tuple[int, int]]] = {}
-        self._rows: dict[int, bool] = {}
-        alive = {t for label, t in vocab.items() if len(label) == 1}
-        for k, (x, y) in enumerate(merges):
-            self._gadget(k, vocab[x], vocab[y], vocab[x + y], alive)
-        self._trie: dict = {}
-        for t in alive:
-            node = self._trie
-            for byte in self.labels[t]:
-                node = node.setdefault(byte, {})
-            node[BASE] = t
-
-    def _gadget(self, k: int, a: int, b: int, c: int, alive: set[int]) -> None:
-        """One merge gadget.  Where the path ``a b`` is already gone, no arc c arises."""
-        if self._parts[c] is not None or c == a or c == b:
-            return
-        whole = a in alive and b in alive and self._has(a, b)
-        self._gadgets.setdefault(a * self.size + b, k)
-        self._parts[c], self._made[c] = (a, b), k
-        if whole:
-            alive.add(c)
-
-    def _spine(self, token: int, side: int) -> list[tuple[int, int]]:
-        """(node, number of the gadget that made the node above it) down one side."""
-        known = self._right if side else self._left
-        if (found := known.get(token)) is None:
-            found, above = [], NEVER
-            node = token
-            while True:
-                found.append((node, above))
-                if (parts := self._parts[node]) is None:
-                    break
-                above, node = self._made[node], parts[side]
-            known[token] = found
-        return found
-
-    def _has(self, state: int, arc: int) -> bool:
-        get, size = self._gadgets.get, self.size
-        for y, since in self._spine(state, 1):
-            for b, until in self._spine(arc, 0):
-                k = get(y * size + b)
-                if k is not None and k < since and k <= until:
-                    return False
-        return True
+    """Runs a compiled automaton: states and arcs are token ids."""
+
+    def __init__(self, table: Compiled):
+        self.labels = [table.labels[a:b] for a, b in zip([0, *table.ends], table.ends, strict=False)]
+        self._place, self._row, self._starts, self._bounds = table.place, table.row, table.starts, table.bounds
+        self._token = {x: t for t, x in enumerate(self.labels) if table.alive[t]}
+        lengths: dict[bytes, set[int]] = {}
+        for x in self._token:
+            lengths.setdefault(x[:2], set()).add(len(x))
+        #: lengths of the labels that begin with two bytes, ascending; one byte is a label of its own
+        self._lengths = {x: sorted(n | ({1} if x[:1] in self._token else set())) for x, n in lengths.items()}
 
     def step(self, state: int, arc: int) -> bool:
         """Whether the state reached by token ``state`` has the arc ``arc``."""
-        key = state * self.size + arc
-        if (known := self._rows.get(key)) is None:
-            if len(self._rows) >= ARC_CACHE:
-                self._rows.clear()
-            known = self._rows[key] = self._has(state, arc)
-        return known
+        row, starts = self._row[state], self._starts
+        low = starts[row]
+        return not (bisect_right(self._bounds, self._place[arc], low, starts[row + 1]) - low) & 1
 
     def _arcs(self, word: bytes, at: int) -> list[tuple[int, int]]:
         """(end, token) of every arc whose label stands at a position, longest last."""
-        node, out, end = self._trie, [], at
-        for byte in word[at:] if at else word:
-            if (node := node.get(byte)) is None:
-                break
-            end += 1
-            if BASE in node:
-                out.append((end, node[BASE]))
+        token, head = self._token, word[at : at + 2]
+        out = []
+        for n in self._lengths.get(head) or self._lengths.get(head[:1], ()):
+            if (t := token.get(word[at : at + n])) is not None and at + n <= len(word):
+                out.append((at + n, t))
         return out
 
     def encode(self, word: bytes) -> list[int]:
@@ -178,22 +225,36 @@ class _Words(dict):
         return packed
 
 
+@dataclass
+class Definition:
+    """What a tokenizer definition says: the compiled merges, special tokens (text to id),
+    and whether a space goes in front."""
+
+    table: Compiled
+    special: dict[str, int]
+    prefix: bool
+
+
+def definition_of(raw_json: bytes) -> Definition:
+    spec = json.loads(raw_json)
+    letters = byte_letters()
+    raw = lambda token: bytes(letters[ch] for ch in token)
+    model, pre = spec["model"], spec.get("pre_tokenizer") or {}
+    if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or spec.get("normalizer") or not pre.get("use_regex", True):
+        raise ValueError("not a byte-level BPE vocabulary")
+    pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
+    special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
+    vocab = {raw(t): i for t, i in model["vocab"].items() if t not in special}
+    return Definition(compiled(vocab, [(raw(a), raw(b)) for a, b in pairs]), special, bool(pre.get("add_prefix_space")))
+
+
 class ByteBPE:
     """Splitting by special tokens and words around the automaton."""
 
-    def __init__(self, definition: bytes):
-        spec = json.loads(definition)
-        letters = byte_letters()
-        raw = lambda token: bytes(letters[ch] for ch in token)
-        model, pre = spec["model"], spec.get("pre_tokenizer") or {}
-        if model["type"] != "BPE" or pre.get("type") != "ByteLevel" or spec.get("normalizer") or not pre.get("use_regex", True):
-            raise ValueError("not a byte-level BPE vocabulary")
-        pairs = [tuple(m.split(" ")) if isinstance(m, str) else tuple(m) for m in model["merges"]]
-        self.special = {x["content"]: x["id"] for x in spec.get("added_tokens", [])}
-        vocab = {raw(t): i for t, i in model["vocab"].items() if t not in self.special}
-        self.automaton = MergeAutomaton(vocab, [(raw(a), raw(b)) for a, b in pairs])
+    def __init__(self, definition: Definition):
+        self.special, self._prefix = definition.special, definition.prefix
+        self.automaton = MergeAutomaton(definition.table)
         self._labels = dict(enumerate(self.automaton.labels)) | {i: t.encode() for t, i in self.special.items()}
-        self._prefix = bool(pre.get("add_prefix_space"))
         self._words = _Words(self.automaton)
         self._find = regex.compile(WORDS).findall
         longest_first = sorted(self.special, key=len, reverse=True)
@@ -229,13 +290,14 @@ def bpe_encode(
     position where ``place_col`` names a column (whole numbers) to carry.
 
     ``definition``: path of a tokenizer definition (JSON, byte-level BPE); its
-    bytes are broadcast (size fixed by the vocabulary).  ``with_ids`` and
+    compiled table is broadcast (size fixed by the vocabulary).  ``with_ids`` and
     ``with_text`` leave the large columns out.  See the module for edge cases.
     """
     spark = docs.sparkSession
     small_batches(spark)
     data = file_bytes(definition or tokenizer_file("byte_bpe_50k.json"))
-    key, shared = ("bpe", hashlib.sha256(data).hexdigest()), spark.sparkContext.broadcast(data)
+    key = ("bpe", hashlib.sha256(data).hexdigest())
+    shared = spark.sparkContext.broadcast(once(key, lambda: definition_of(data)))
     keep = [n for n in OUT.names if not (n == "token_ids" and not with_ids or n == "decoded" and not with_text)]
     fields = [OUT.field(n) for n in keep]
     if place_col is not None:
@@ -244,7 +306,7 @@ def bpe_encode(
     schema = pa.schema(fields)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = once(key, lambda: ByteBPE(shared.value))
+        bpe = once(("bpe", "words", key[1]), lambda: ByteBPE(shared.value))
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS_OUT):
                 batch = whole.slice(k, ROWS_OUT)

@@ -1,18 +1,19 @@
 import hashlib
 import json
+import random
 
 import pytest
 from tokenizers import Tokenizer
 
 from linemend.llm.base import file_bytes, tokenizer_file
-from linemend.llm.bpe import ByteBPE, MergeAutomaton, bpe_encode
+from linemend.llm.bpe import ByteBPE, MergeAutomaton, bpe_encode, compiled, definition_of
 
 TEXTS = ["", " ", "  a  b   ", "it's I'LL don't", "<|endoftext|>x<|endoftext|>", "日本語 テスト 😀", "***** ****", "-" * 700, "a" * 3000, "été ção\r\n\t x", "\x00é", "don't<|endoftext", "12345 6.7"]
 
 
 @pytest.fixture(scope="module")
 def bpe():
-    return ByteBPE(file_bytes(tokenizer_file("byte_bpe_50k.json")))
+    return ByteBPE(definition_of(file_bytes(tokenizer_file("byte_bpe_50k.json"))))
 
 
 @pytest.fixture(scope="module")
@@ -51,7 +52,7 @@ def test_automaton_accepts_exactly_the_merged_sequence():
     vocab = {bytes([b]): i for i, b in enumerate(b"abc")}
     for x, y in merges:
         vocab[x + y] = len(vocab)
-    automaton, ranks = MergeAutomaton(vocab, merges), {m: i for i, m in enumerate(merges)}
+    automaton, ranks = MergeAutomaton(compiled(vocab, merges)), {m: i for i, m in enumerate(merges)}
     words = [b""]
     for _ in range(7):
         words = [w + bytes([c]) for w in words for c in b"abc"]
@@ -81,4 +82,17 @@ def test_empty_table_and_null_id(spark):
 
 def test_refuses_other_vocabularies():
     with pytest.raises(ValueError):
-        ByteBPE(json.dumps({"model": {"type": "WordPiece"}}).encode())
+        definition_of(json.dumps({"model": {"type": "WordPiece"}}).encode())
+
+
+def test_very_long_word_and_text(bpe, library):
+    """One word of 400,000 letters, and a text of as many words; linear, so seconds at most."""
+    for t in ("abcdefghij" * 40_000, "ab" * 200_000 + "é", "one two " * 200_000):
+        assert ids(bpe.encode_packed(t)) == library.encode(t, add_special_tokens=False).ids
+
+
+def test_random_strings(bpe, library):
+    rng = random.Random(3)
+    for _ in range(1500):
+        t = "".join(rng.choice(["a", "b", "e", "th", "er", " ", "  ", "\n", "é", "ß", "'s", "9", "==", "ing", "日", "😀"]) for _ in range(rng.randrange(1, 40)))
+        assert ids(bpe.encode_packed(t)) == library.encode(t, add_special_tokens=False).ids
