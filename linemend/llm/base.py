@@ -2,11 +2,11 @@
 
 from __future__ import annotations
 
-import zlib
 from collections.abc import Callable
 from typing import Any
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 _built: dict[Any, Any] = {}
 
@@ -69,8 +69,15 @@ def small_batches(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
 
 
-def crc(value: Any) -> int:
-    return zlib.crc32(str(value).encode())
+def hash_share(df: DataFrame, key: Column, rows: int) -> DataFrame:
+    """Rows of about ``rows`` distinct hashes, chosen by the hash of ``key``; all rows of a
+    table with fewer.  A filter, so that what follows it (an order, a limit) handles
+    a bounded sample and not the best rows of every partition."""
+    total = df.count()
+    if total <= rows:
+        return df
+    of = 1 << 40
+    return df.where(F.pmod(F.xxhash64(key), F.lit(of)) < max(1, of * rows // total))
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> None:

@@ -4,7 +4,7 @@ A subword vocabulary whose pieces hold a space only at their front never merges
 across the gap before a space, so a text falls into pre-tokens (a run of spaces
 with what follows) that are counted one by one; a line feed that no piece holds
 splits further.  Tier one is a compact table of the most frequent pre-tokens and
-their lengths, gathered from a bounded sample of documents and broadcast.  Tier
+their lengths, counted map-side in a bounded sample of documents and broadcast.  Tier
 two is a bounded cache in each Python worker, which asks the library on a miss.
 No pre-token is ever shuffled; the plan is one map over the documents.
 
@@ -25,11 +25,13 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import file_bytes, once, table, tokenizer_file
+from linemend.llm.base import file_bytes, hash_share, once, table, tokenizer_file
 
 LIMIT = 4096
 #: Documents sampled for tier one, its entries, and the most entries of both tiers in a worker.
-SAMPLE_DOCS, TABLE_SIZE, CACHE = 2_000, 50_000, 800_000
+SAMPLE_DOCS, TABLE_SIZE, CACHE = 2_000, 50_000, 400_000
+#: Of one task: bytes of texts counted for tier one, and entries sent.
+SAMPLE_BYTES, TASK_TABLE = 16 << 20, 4_000
 LONGEST_KEPT = 64
 GAP = "▁"
 
@@ -97,19 +99,29 @@ def unpack(packed: tuple[bytes, bytes, bytes]) -> dict[str, int]:
 
 
 def frequent_lengths(docs: DataFrame, model: bytes, sample_docs: int = SAMPLE_DOCS, size: int = TABLE_SIZE) -> list[tuple[str, int]]:
-    """The most frequent pre-tokens of a bounded sample, counted in one task and
-    returned with their lengths; at most ``size`` short entries."""
+    """The most frequent pre-tokens of a bounded sample with their lengths; at most
+    ``size`` short entries.  ``docs``: id, text.
 
-    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        counts, seen = once(("pieces", hashlib.sha256(model).hexdigest()), lambda: Counts(model)), Counter()
-        for batch in batches:
-            for text in batch.column(0):
-                seen.update(w for w in counts.find(" " + (text.as_py() or "").replace(GAP, " ")) if len(w) <= LONGEST_KEPT)
-        top = [w for w, n in seen.most_common(size) if n > 1]
-        yield pa.RecordBatch.from_pydict({"word": pa.array(top, pa.string()), "n": pa.array([counts[w] for w in top], pa.int64())})
+    Documents are chosen by a hash of the id where they lie; each task counts at most
+    ``sample_docs`` of them, up to ``SAMPLE_BYTES``, and sends its ``TASK_TABLE`` most
+    frequent pre-tokens to the driver, which adds them up: no text leaves its task."""
 
-    some = docs.where(F.col("text").isNotNull()).limit(sample_docs).coalesce(1)
-    return [(r.word, r.n) for r in some.mapInArrow(count, "word string, n long").collect()]
+    def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        counts, seen, docs_left, bytes_left = once(("pieces", hashlib.sha256(model).hexdigest()), lambda: Counts(model)), Counter(), sample_docs, SAMPLE_BYTES
+        for text in (t.as_py() or "" for batch in batches for t in batch.column(0)):
+            seen.update(w for w in counts.find(" " + text.replace(GAP, " ")) if len(w) <= LONGEST_KEPT)
+            docs_left, bytes_left = docs_left - 1, bytes_left - len(text)
+            if docs_left <= 0 or bytes_left <= 0:
+                break
+        top = seen.most_common(TASK_TABLE)
+        yield pa.RecordBatch.from_pydict({"word": pa.array([w for w, _ in top], pa.string()), "n": pa.array([counts[w] for w, _ in top], pa.int64()), "times": pa.array([n for _, n in top], pa.int64())})
+
+    some = hash_share(docs.where(F.col("text").isNotNull()), F.col("id"), sample_docs)
+    times, length = Counter(), {}
+    for r in some.select("text").mapInArrow(count, "word string, n long, times long").toLocalIterator():
+        times[r.word] += r.times
+        length[r.word] = r.n
+    return [(w, length[w]) for w, n in times.most_common(size) if n > 1]
 
 
 def token_counts(
@@ -119,7 +131,7 @@ def token_counts(
     spark = docs.sparkSession
     data = file_bytes(model_file or tokenizer_file("piece_bpe_32k.model"))
     read = docs.select(F.col(id_col).cast("long").alias("doc_id"), F.col(text_col).cast("string").alias("text"))
-    frequent = pack(frequent_lengths(read.select("text"), data, sample_docs))
+    frequent = pack(frequent_lengths(read.select(F.col("doc_id").alias("id"), "text"), data, sample_docs))
     key = ("pieces", hashlib.sha256(data).hexdigest(), hashlib.sha256(frequent[0]).hexdigest())
     shared = spark.sparkContext.broadcast((data, frequent))
 
