@@ -7,12 +7,12 @@ labels every byte position, and a document pools the log probabilities of all it
 positions.  The network is written and trained in numpy: backpropagation through
 time over batches of runs, Adam, languages drawn evenly.
 
-State starts anew at each run, so a run's summed log probabilities depend on
-the run alone; workers keep them in a bounded cache and run the network on new
-runs only, many at a time.
+State starts anew at each run: what surrounds a word does not enter, only its bytes do.
+So a run's summed log probabilities depend on the run alone; workers keep them in a
+bounded cache and run the network on new runs only, many at a time.
 
-Fitting uses at most ``max_docs`` documents (a documented bound), chosen by a
-hash of the id.
+Fitting uses at most ``max_docs`` documents, chosen by a hash of the id (of a repeated
+id one row), and ``DOC_WINDOWS`` windows of each (documented bounds).
 
 Results: ``und`` with score 0 for a text that is null or has no letter, and for
 every text when there is nothing to learn from.  Ties go to the first language
@@ -22,26 +22,36 @@ in alphabetical order.  Extra columns are not carried.
 from __future__ import annotations
 
 import re
+import sys
+import unicodedata
 import zlib
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
+from functools import cache
 
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import once, small_batches, table
+from linemend.llm.base import hash_share, once, small_batches, table
 
-MAX_DOCS, WINDOW, HIDDEN, EMBED = 2_000, 32, 16, 12
+MAX_DOCS, DOC_WINDOWS, WINDOW, HIDDEN, EMBED = 2_000, 2_000, 32, 16, 12
 STEPS, BATCH, RATE, SEED = 1_200, 384, 0.01, 7
 HELD_OUT_OF, HELD_OUT = 5, 0
-RUN_CACHE, LONGEST_KEPT, AT_ONCE = 500_000, 48, 4096
+RUN_CACHE, LONGEST_KEPT, AT_ONCE = 300_000, 48, 4096
 PAD, MARK = 256, 257
-_runs = re.compile(r"[^\W\d_]+").findall
+
+
+@cache
+def _runs() -> Callable[[str], list[str]]:
+    """Finds runs of letters (Unicode category L): of what the pattern language calls
+    alphanumeric, all but numbers of any kind."""
+    numbers = "".join(re.escape(c) for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not unicodedata.category(c).startswith("L"))
+    return re.compile(rf"[^\W\d_{numbers}]+").findall
 
 
 def letter_runs(text: str | None) -> list[str]:
-    return _runs((text or "").lower())
+    return _runs()((text or "").lower())
 
 
 def windows(run: str) -> list[bytes]:
@@ -212,19 +222,25 @@ def held_out(id_col: str) -> F.Column:
 
 
 def train(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", text_col: str = "text", lang_col: str = "lang", steps: int = STEPS) -> BiGRU | None:
-    """Fits on documents that are not held out and have a language; None without any."""
-    ids = (
-        docs.select(F.col(id_col).alias("id"), F.col(lang_col).alias("lang"))
-        .where(F.col("lang").isNotNull() & F.col("id").isNotNull()).where(~held_out("id"))
-        .orderBy(F.xxhash64("id"), "id").limit(max_docs).select("id").distinct()
-    )
-    rows = (
-        docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"), F.col(lang_col).alias("lang"))
-        .where(F.col("lang").isNotNull()).join(F.broadcast(ids), "id", "left_semi").collect()
-    )
-    rows.sort(key=lambda r: (zlib.crc32(str(r.id).encode()), r.id, r.lang, r.text or ""))
+    """Fits on documents that are not held out and have a language; None without any.
+    Runs are cut on the executors; the driver gets at most ``DOC_WINDOWS`` windows of
+    each chosen document, evenly spread over it."""
+    known = docs.select(F.col(id_col).alias("id"), F.col(text_col).cast("string").alias("text"), F.col(lang_col).cast("string").alias("lang"))
+    known = known.where(F.col("lang").isNotNull() & F.col("id").isNotNull()).where(~held_out("id"))
+    ids = hash_share(known.select("id"), F.col("id"), 4 * max_docs).distinct().orderBy(F.xxhash64("id"), "id").limit(max_docs)
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            found = [[w for run in letter_runs(t.as_py()) for w in windows(run)] for t in batch.column(2)]
+            some = [[ws[i * len(ws) // DOC_WINDOWS] for i in range(DOC_WINDOWS)] if len(ws) > DOC_WINDOWS else ws for ws in found]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(some, pa.list_(pa.binary()))], names=["id", "lang", "runs"])
+
+    chosen = known.join(F.broadcast(ids), "id", "left_semi").select(F.col("id").cast("string").alias("id"), "lang", "text")
+    # of a repeated id one row; ids: max_docs at most
+    rows = chosen.mapInArrow(cut, "id string, lang string, runs array<binary>").groupBy("id").agg(F.min(F.struct("lang", "runs")).alias("x")).select("id", "x.*").collect()
+    rows.sort(key=lambda r: (zlib.crc32(r.id.encode()), r.id))
     langs = sorted({r.lang for r in rows})
-    pools = [[w for r in rows if r.lang == x for run in letter_runs(r.text) for w in windows(run)] for x in langs]
+    pools = [[bytes(w) for r in rows if r.lang == x for w in r.runs] for x in langs]
     if not any(pools):
         return None
     return BiGRU(langs).fit(pools, steps=steps)

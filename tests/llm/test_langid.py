@@ -60,3 +60,14 @@ def test_cache_gives_the_same():
         one.learn([t])
         a, b = one.pooled(t), many.pooled(t)
         assert a[0] == b[0] and abs(a[1] - b[1]) < 1e-5
+
+
+def test_letters_are_unicode_letters():
+    assert G.letter_runs("² ½ Ⅷ ٣ _ 12") == [] and G.letter_runs("a²b ªß 東京9") == ["a", "b", "ªß", "東京"]
+
+
+def test_a_repeated_id_and_a_huge_text_teach_once(spark):
+    d = docs(spark, 60).select("doc_id", "text", "lang")
+    more = spark.createDataFrame([(1, "ka lo mi " * 40_000, "aa")] * 20, "doc_id long, text string, lang string")
+    net = G.train(d.union(more), max_docs=50, steps=20)
+    assert net.langs == ["aa", "bb", "cc"]
