@@ -6,8 +6,8 @@ coordinates.  FTRL-proximal learns with a rate per coordinate; its L1 term keeps
 most coordinates at exactly zero, so the model is a short list of coordinates
 and weights, which is broadcast to score every document in one map.
 
-Fitting uses at most ``max_rows`` labelled rows (a documented bound), chosen by
-a hash of the id, so the sample is the same at every run.  Features of those
+Fitting uses at most ``max_rows`` labelled rows with ``max_bytes`` of features
+(documented bounds), chosen by a hash of the id, so the sample is the same at every run.  Features of those
 rows are made on the executors; the driver receives only their hashes.
 
 Results: a null or empty text has no feature but the constant one; its score is
@@ -28,10 +28,10 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import once, small_batches, table
+from linemend.llm.base import cut_table, drop_table, hash_share, once, small_batches, table
 
 BITS = 20
-MAX_ROWS, EPOCHS = 12_000, 16
+MAX_ROWS, MAX_BYTES, EPOCHS = 12_000, 256 << 20, 16
 ALPHA, BETA, L1, L2, TOXIC_WEIGHT = 1.0, 1.0, 60.0, 0.0, 5.0
 CUT = 0.7
 HELD_OUT_OF, HELD_OUT = 3, 1
@@ -108,15 +108,13 @@ def held_out(id_col: str) -> F.Column:
     return F.crc32(F.col(id_col).cast("string").cast("binary")) % HELD_OUT_OF == HELD_OUT
 
 
-def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic") -> Weights:
-    """Fits on labelled documents that are not held out, ``max_rows`` at most."""
-    chosen = (
-        labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y"))
-        .where(F.col("id").isNotNull() & F.col("y").isin(0, 1))
-        .groupBy("id").agg(F.max("y").alias("y"))
-        .where(~held_out("id"))
-        .orderBy(F.xxhash64("id"), "id").limit(max_rows)
-    )
+def train(
+    docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, max_bytes: int = MAX_BYTES, id_col: str = "doc_id", text_col: str = "text", label_col: str = "toxic"
+) -> Weights:
+    """Fits on labelled documents that are not held out, ``max_rows`` and ``max_bytes``
+    of features at most."""
+    known = labels.select(F.col(id_col).alias("id"), F.col(label_col).cast("int").alias("y")).where(F.col("id").isNotNull() & F.col("y").isin(0, 1)).where(~held_out("id"))
+    chosen = hash_share(known, F.col("id"), 4 * max_rows).groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -124,10 +122,18 @@ def train(docs: DataFrame, labels: DataFrame, max_rows: int = MAX_ROWS, id_col:
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["id", "y", "x"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
-    # ``chosen`` has at most max_rows rows of two numbers
-    rows = texts.join(F.broadcast(chosen), "id").select("id", "y", "text").mapInArrow(made, "id bigint, y int, x binary").collect()
-    rows.sort(key=lambda r: (zlib.crc32(str(r.id).encode()), r.id, r.x))
-    return fit((np.frombuffer(r.x, np.int32), r.y) for r in rows)
+    # ``chosen`` has at most max_rows rows of two numbers; of a repeated id one row stays
+    rows = texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("string").alias("id"), "y", "text").mapInArrow(made, "id string, y int, x binary")
+    rows = stored = cut_table(rows.groupBy("id", "y").agg(F.min("x").alias("x")), "toxicity-rows")
+    order = lambda r: (zlib.crc32(r.id.encode()), r.id)
+    sizes = sorted(rows.select("id", F.length("x").alias("n")).collect(), key=order)
+    ends = np.cumsum([r.n for r in sizes])
+    kept = [r.id for r, end in zip(sizes, ends, strict=True) if end <= max_bytes]
+    if len(kept) < len(sizes):
+        rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in kept], "id string")), "id")
+    found = sorted(rows.collect(), key=order)
+    drop_table(stored)
+    return fit((np.frombuffer(r.x, np.int32), r.y) for r in found)
 
 
 def toxicity(docs: DataFrame, weights: Weights, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:
