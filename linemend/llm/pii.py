@@ -5,10 +5,12 @@ counts).  A valid value is written as a number in the finite domain of its kind
 and permuted there by a keyed Feistel network with cycle walking; the result is
 written back in the same format: same separators, letter case and length, check
 digits made valid again.  A permutation keeps equal values equal and different values
-different, in all documents and in every notation of a kind, and the key's
-holder can undo it.
+different, in all documents and in every notation of a kind: a date, a card or IBAN with
+and without separators, hex digits and mail addresses in either case, a phone number
+with any separators and, for country code 1, with or without it.  The key's holder can
+undo it.
 
-Kinds: card (13-19 digits, Luhn), iban (mod 97), ssn, phone (international or
+Kinds: card (13-19 digits, an issuer's prefix, which stays, and Luhn), iban (mod 97), ssn, phone (international or
 bracketed forms, 10-15 digits), ip (four octets), email (local part; the domain
 stays), date (ISO, day.month.year, month/day/year; 1900-2099), secret (keys with a
 known prefix, and runs of 32, 40 or 64 hex digits).
@@ -54,6 +56,16 @@ PATTERN = re.compile(
 )
 #: No kind matches without one of these.
 HINT = re.compile(r"[0-9@_]|sk-|xox|AKIA|ASIA|[a-f]{32}")
+# Country calling codes of one and two digits; all others have three.
+CALLING = re.compile(r"[17]|2[07]|3[0-469]|4[013-9]|5[1-8]|6[0-6]|8[1246]|9[0-58]|\d{3}")
+# Issuer prefixes of card numbers (of 16 digits if not said otherwise).
+ISSUERS = (
+    (r"4", (13, 16, 19)), (r"5[1-5]|222[1-9]|22[3-9]\d|2[3-6]\d\d|27[01]\d|2720", (16,)), (r"3[47]", (15,)), (r"30[0-5]|36|38", (14,)),
+    (r"35", (16,)), (r"6011|64[4-9]|65|62", (16, 17, 18, 19)),
+)
+ISSUERS = tuple((re.compile(pattern), lengths) for pattern, lengths in ISSUERS)
+#: Words before four numbers that make them a version and no address.
+VERSION = re.compile(r"(?:\bv|\b(?:version|ver|release|build|firmware|section|chapter|clause)s?)[.:]?\s*\Z", re.IGNORECASE)
 #: Prefixes of secrets, which stay.
 PREFIX = re.compile(r"AKIA|ASIA|gh[pousr]_|sk[-_](?:live_|test_|proj-)?|xox[abpr]-|AIza")
 
@@ -147,7 +159,10 @@ class Pseudonyms:
         digits = re.sub(r"\D", "", text)
         if not luhn_ok(digits) or len(set(digits)) == 1:
             return None
-        body = self._digits(digits[:-1], "card")
+        head = next((m.group() for issuer, lengths in ISSUERS if len(digits) in lengths and (m := issuer.match(digits))), None)
+        if head is None:
+            return None
+        body = head + self._digits(digits[len(head) : -1], "card" + head)
         return refill(text, body + luhn_digit(body))
 
     def _iban(self, text: str) -> str | None:
@@ -171,13 +186,15 @@ class Pseudonyms:
         return f"{area + (area >= 666):03d}-{group + 1:02d}-{serial + 1:04d}"
 
     def _phone(self, text: str) -> str | None:
-        country = re.match(r"\+\d{1,3}(?=\D)|\+\d", text)
-        head = country.group() if country else ""
-        rest = text[len(head) :]
-        digits = re.sub(r"\D", "", rest)
-        if not 10 <= len(digits) + len(head[1:]) <= 15 or len(digits) < 6:
+        digits = re.sub(r"\D", "", text)
+        if text[0] != "+" and len(digits) == 10:  # as written within the countries of code 1
+            digits = "1" + digits
+        code = m.group() if (m := CALLING.match(digits)) else ""
+        rest = digits[len(code) :]
+        if not 10 <= len(digits) <= 15 or len(rest) < 6:
             return None
-        return head + refill(rest, self._digits(digits, "phone"))
+        new = self._digits(rest, "phone" + code)
+        return refill(text, (code + new)[-sum(c.isdigit() for c in text) :])
 
     def _ip(self, text: str) -> str | None:
         octets = text.split(".")
@@ -188,7 +205,8 @@ class Pseudonyms:
 
     def _email(self, text: str) -> str | None:
         local, _, domain = text.partition("@")
-        return f"{self._letters(local, 'email')}@{domain}"
+        new = self._letters(local.lower(), "email")
+        return "".join(n.upper() if c.isupper() else n for n, c in zip(new, local, strict=True)) + "@" + domain
 
     def _date(self, text: str) -> str | None:
         parts = re.split(r"([-./])", text)
@@ -231,7 +249,7 @@ class Pseudonyms:
         out, spans, done, at = [], [], 0, 0
         while (m := PATTERN.search(text, at)) is not None:
             kind = m.lastgroup
-            new = self.value(kind, m.group())
+            new = None if kind == "ip" and VERSION.search(text, max(0, m.start() - 16), m.start()) else self.value(kind, m.group())
             if new is None:
                 # not valid: what starts later inside it may be
                 at = m.start() + 1
