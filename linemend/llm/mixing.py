@@ -4,18 +4,18 @@ Rows of a source form blocks of ``block_rows``.  With w a source's exact (ration
 part of the weights, its block k may run from slot ``floor(k / w)`` and must by
 ``ceil((k + 1) / w)``.  Earliest deadline first places one block a slot; as the parts
 add up to 1, every window is met, and at any slot each source has run within one block
-of its target.  Weights are not rounded: a decimal number is taken as written.  Where
-they have a short period (their common denominator), the schedule repeats after it and
-one period is laid out; else the whole phase is.  When a source runs out, its part
-falls to the others in proportion and a new phase begins, one phase a source at most.
-No row is dropped or repeated.
+of its target.  Weights are not rounded: a decimal number is taken as written.  When a
+source runs out, its part falls to the others in proportion and a new phase begins, one
+phase a source at most.  No row is dropped or repeated.
 
-The schedule is laid out on the driver, slot by slot, and broadcast: at most one
-number for each block, so 4 bytes for ``block_rows`` rows.
+The schedule is laid out on the driver, one number for each block, and broadcast.  Its
+size is bounded: without a given ``block_rows`` a block has ``BLOCK_ROWS`` rows, or as many
+as make ``MOST_BLOCKS`` blocks of the whole table; a smaller one may be given up to 16 times
+as many blocks, beyond which ``mix`` refuses it, as it does more than ``MOST_SOURCES`` sources.
 
 Rows are numbered within a source by a hash of the id, without gathering a source
-in one task: hash ranges are counted, the counts summed up to offsets, and only
-rows of one source and range are ordered together.
+in one task: ranges of hashes are counted (``MOST_CELLS`` sources and ranges at most), the
+counts summed up to offsets, and only rows of one source and range are ordered together.
 
 Results: ``block`` and ``slot`` count from 0; ``position = slot * block_rows +
 index in block`` orders all rows (a source's last block may be short).  A null
@@ -24,16 +24,14 @@ root of a source's rows.  A source without a given weight (or with one that is
 null, not finite or below 0) counts as weight 0 and follows when all others have run
 out, again by square roots.  Ties in deadline go to the source first in order,
 nulls last; repeated rows are placed one by one.  Columns named like the new ones
-are replaced.
+are replaced; no other name clashes.
 """
 
 from __future__ import annotations
 
 import heapq
 import math
-from bisect import bisect_left
 from collections.abc import Sequence
-from dataclasses import dataclass
 from decimal import Decimal
 from fractions import Fraction
 
@@ -42,19 +40,8 @@ from pyspark.sql import functions as F
 
 from linemend.llm.base import table
 
-BLOCK_ROWS, RANGES, PIECE = 16, 4096, 1024
-
-
-def shares(weights: list[float], period: int) -> list[int]:
-    """Whole shares of ``period`` by largest remainder, at least 1 each: rounded, so
-    ``schedule`` takes ``exact_shares``."""
-    total, spare = sum(weights), period - len(weights)
-    exact = [w / total * spare for w in weights]
-    out = [1 + math.floor(x) for x in exact]
-    by_rest = sorted(range(len(weights)), key=lambda i: (math.floor(exact[i]) - exact[i], i))
-    for i in by_rest[: period - sum(out)]:
-        out[i] += 1
-    return out
+BLOCK_ROWS, MOST_BLOCKS, MOST_SOURCES = 16, 1 << 18, 10_000
+RANGE_ROWS, MOST_CELLS, PIECE = 4096, 1 << 20, 1024
 
 
 def exact_shares(weights: Sequence[float | Decimal | Fraction]) -> list[int]:
@@ -66,161 +53,148 @@ def exact_shares(weights: Sequence[float | Decimal | Fraction]) -> list[int]:
     return [w // by for w in whole]
 
 
-def one_period(share: list[int], most: list[int] | None = None) -> list[list[int]]:
-    """Slots of each source's blocks in one period: earliest deadline first
-    among released blocks.  With ``most``, blocks there are of each source, it ends
-    early after the slot in which a source runs out."""
+def phase(share: list[int], most: list[int]) -> list[list[int]]:
+    """Slots, from 0, of each source's blocks until the first source has run its ``most``
+    blocks: earliest deadline first among released blocks."""
     period = sum(share)
     slots: list[list[int]] = [[] for _ in share]
     waiting = [(0, i, 0) for i in range(len(share))]  # (release, source, block)
-    heapq.heapify(waiting)
     ready: list[tuple[int, int, int]] = []  # (deadline, source, block)
     slot = 0
-    while slot < period:
+    while True:
         while waiting and waiting[0][0] <= slot:
             _, i, k = heapq.heappop(waiting)
             heapq.heappush(ready, (-(-(k + 1) * period // share[i]), i, k))
         _, i, k = heapq.heappop(ready)
         slots[i].append(slot)
         slot += 1
-        if most is not None and k + 1 == most[i]:
-            break
-        if k + 1 < share[i]:
-            heapq.heappush(waiting, ((k + 1) * period // share[i], i, k + 1))
-    return slots
-
-
-@dataclass
-class Phase:
-    """Blocks ``first <= k < last`` of a source: block k runs in slot
-    ``start + (k - first) div len(slots) * period + slots[(k - first) mod len(slots)]``."""
-
-    source: str | None
-    first: int
-    last: int
-    start: int
-    period: int
-    slots: list[int]
+        if k + 1 == most[i]:
+            return slots
+        heapq.heappush(waiting, ((k + 1) * period // share[i], i, k + 1))
 
 
-def schedule(blocks: dict[str | None, int], weights: dict[str | None, float]) -> list[Phase]:
-    """The whole schedule in at most one phase for each source."""
+def schedule(blocks: dict[str | None, int], weights: dict[str | None, float]) -> dict[str | None, list[int]]:
+    """The slot of every block of each source."""
     order = sorted((s for s in blocks if blocks[s] > 0), key=lambda s: (s is None, s or ""))
-    left, done, start, out = dict(blocks), dict.fromkeys(blocks, 0), 0, []
+    out: dict[str | None, list[int]] = {s: [] for s in order}
+    start = 0
     while order:
         active = [s for s in order if weights.get(s, 0) > 0]
-        if active:
-            aim = [float(weights[s]) for s in active]
-        else:
+        left = {s: blocks[s] - len(out[s]) for s in order}
+        aim = [weights[s] for s in active]
+        if not active:
             active, aim = order, [math.sqrt(left[s]) for s in order]
-        share = exact_shares(aim)
-        slots = one_period(share, [left[s] for s in active])
-        period = sum(len(at) for at in slots)
-        if period == sum(share):
-            length = min((left[s] - 1) // e * period + at[(left[s] - 1) % e] + 1 for s, e, at in zip(active, share, slots, strict=True))
-        else:  # a source ran out within the period
-            length = period
-        for s, at in zip(active, slots, strict=True):
-            ran = length // period * len(at) + bisect_left(at, length % period)
-            if ran:
-                out.append(Phase(s, done[s], done[s] + ran, start, period, at))
-            done[s] += ran
-            left[s] -= ran
-        start += length
-        order = [s for s in order if left[s]]
+        ran = phase(exact_shares(aim), [left[s] for s in active])
+        for s, at in zip(active, ran, strict=True):
+            out[s] += [start + x for x in at]
+        start += sum(map(len, ran))
+        order = [s for s in order if len(out[s]) < blocks[s]]
     return out
 
 
-def numbered(docs: DataFrame, id_col: str, source_col: str) -> DataFrame:
-    """Adds ``_n``: from 0 within a source, by a hash of the id."""
-    keyed = docs.withColumn("_h", F.xxhash64(F.col(id_col).cast("string"))).withColumn("_range", F.pmod(F.shiftright("_h", 40), F.lit(RANGES)).cast("int"))
-    counts = keyed.groupBy(F.col(source_col).alias("_s"), F.col("_range").alias("_r")).agg(F.count(F.lit(1)).alias("_rows"))
-    before = Window.partitionBy("_s").orderBy("_r").rowsBetween(Window.unboundedPreceding, -1)
-    offsets = counts.select("_s", "_r", F.coalesce(F.sum("_rows").over(before), F.lit(0)).alias("_offset"))
-    within = Window.partitionBy(source_col, "_range").orderBy("_h", id_col)
-    ranked = keyed.withColumn("_k", F.row_number().over(within))
-    # one row for each source and hash range: bounded by sources * RANGES
-    joined = ranked.join(F.broadcast(offsets), F.col(source_col).eqNullSafe(F.col("_s")) & (F.col("_range") == F.col("_r")), "left")
-    return joined.withColumn("_n", F.col("_offset") + F.col("_k") - 1).drop("_h", "_range", "_s", "_r", "_offset", "_k")
-
-
-def _plan(spark: SparkSession, docs: DataFrame, weights: dict[str | None, float] | None, block_rows: int, source_col: str) -> tuple[DataFrame, DataFrame]:
-    """The schedule as two tables: a row for each source and phase, and their slots in
-    pieces."""
-    counts = {r.s: r.n for r in docs.groupBy(F.col(source_col).alias("s")).agg(F.count(F.lit(1)).alias("n")).collect()}
-    blocks = {s: -(-n // block_rows) for s, n in counts.items()}
-    if weights is None:
-        weights = {s: math.sqrt(n) for s, n in counts.items()}
-    weights = {s: w for s, w in weights.items() if w is not None and math.isfinite(w) and w > 0}
-    phases = schedule(blocks, weights)
-    heads = spark.createDataFrame(
-        [(p.source, i, p.first, p.last, p.start, p.period, len(p.slots)) for i, p in enumerate(phases)],
-        "_ps string, _phase int, _first long, _last long, _start long, _period long, _share int",
-    )
-    pieces = [(i, k // PIECE, p.slots[k : k + PIECE]) for i, p in enumerate(phases) for k in range(0, len(p.slots), PIECE)]
-    return heads, spark.createDataFrame(pieces, "_pp int, _piece int, _slots array<int>")
-
-
-def _placed(rows: DataFrame, plan: tuple[DataFrame, DataFrame], block_rows: int, source_col: str) -> DataFrame:
-    """Rows with ``_n`` get block, slot and position."""
-    heads, pieces = plan
-    rows = rows.withColumn("block", F.floor(F.col("_n") / block_rows))
-    # heads: one row for each source and phase; pieces: at most one number for each block
-    placed = rows.join(F.broadcast(heads), F.col(source_col).cast("string").eqNullSafe(F.col("_ps")) & (F.col("block") >= F.col("_first")) & (F.col("block") < F.col("_last")))
-    placed = placed.withColumn("_at", F.col("block") - F.col("_first")).withColumn("_in", (F.col("_at") % F.col("_share")).cast("int"))
-    placed = placed.join(F.broadcast(pieces), (F.col("_phase") == F.col("_pp")) & (F.floor(F.col("_in") / PIECE).cast("int") == F.col("_piece")))
-    slot = F.col("_start") + F.floor(F.col("_at") / F.col("_share")) * F.col("_period") + F.element_at("_slots", F.col("_in") % PIECE + 1)
-    placed = placed.withColumn("slot", slot).withColumn("position", F.col("slot") * block_rows + F.col("_n") % block_rows)
-    return placed.drop("_ps", "_phase", "_first", "_last", "_start", "_period", "_share", "_at", "_in", "_pp", "_piece", "_slots")
-
-
-def _without_new(docs: DataFrame) -> DataFrame:
-    return docs.drop(*[c for c in docs.columns if c in ("block", "slot", "position")])
+class Mixer:
+    """The plan of one table: its schedule and the hash ranges of its sources.  Works on
+    rows (row, id, source), so that no column of theirs clashes."""
+
+    def __init__(self, narrow: DataFrame, weights: dict[str | None, float] | None, block_rows: int | None):
+        """``narrow``: id, source."""
+        self.spark = narrow.sparkSession
+        self.counts = {r.source: r.n for r in narrow.groupBy("source").agg(F.count(F.lit(1)).alias("n")).limit(MOST_SOURCES + 1).collect()}
+        rows = sum(self.counts.values())
+        self.block_rows = block_rows or max(BLOCK_ROWS, -(-rows // MOST_BLOCKS))
+        blocks = {s: -(-n // self.block_rows) for s, n in self.counts.items()}
+        if len(blocks) > MOST_SOURCES or sum(blocks.values()) > 16 * MOST_BLOCKS + MOST_SOURCES:
+            raise ValueError("too many sources, or blocks too small, to lay the schedule out")
+        if weights is None:
+            weights = {s: math.sqrt(n) for s, n in self.counts.items()}
+        weights = {s: w for s, w in weights.items() if w is not None and math.isfinite(w) and w > 0}
+        self.slots = schedule(blocks, weights)
+        self.last = max((at[-1] for at in self.slots.values()), default=-1)
+        most = max(1, MOST_CELLS // max(1, len(self.counts)))
+        wanted = max(self.counts.values(), default=1) // RANGE_ROWS
+        self._bits = max(1, min(wanted.bit_length(), most.bit_length() - 1))
+        pieces = [(s, k // PIECE, at[k : k + PIECE]) for s, at in self.slots.items() for k in range(0, len(at), PIECE)]
+        self._pieces = self.spark.createDataFrame(pieces, "p_source string, piece long, slots array<int>")
+
+    def hashed(self, rows: DataFrame) -> DataFrame:
+        """Adds ``h`` and its range ``r``: the order within a source is (r, h, id)."""
+        return rows.withColumn("h", F.xxhash64(F.col("id").cast("string"))).withColumn("r", F.shiftrightunsigned("h", 64 - self._bits).cast("int"))
+
+    def cells(self, rows: DataFrame) -> DataFrame:
+        """(c_source, c_r, offset): rows of a source in lower ranges; ``MOST_CELLS`` rows at most."""
+        counts = self.hashed(rows.select("id", "source")).groupBy(F.col("source").alias("c_source"), F.col("r").alias("c_r")).agg(F.count(F.lit(1)).alias("n"))
+        before = Window.partitionBy("c_source").orderBy("c_r").rowsBetween(Window.unboundedPreceding, -1)
+        return counts.select("c_source", "c_r", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("offset"))
+
+    def numbered(self, rows: DataFrame) -> DataFrame:
+        """Adds ``n``: from 0 within a source."""
+        within = Window.partitionBy("source", "r").orderBy("h", "id")
+        ranked = self.hashed(rows).withColumn("k", F.row_number().over(within))
+        joined = ranked.join(F.broadcast(self.cells(rows)), F.col("source").eqNullSafe(F.col("c_source")) & (F.col("r") == F.col("c_r")))
+        return joined.withColumn("n", F.col("offset") + F.col("k") - 1).drop("c_source", "c_r", "offset", "k")
+
+    def placed(self, rows: DataFrame) -> DataFrame:
+        """Rows with ``n`` get block, slot and position."""
+        rows = rows.withColumn("block", F.floor(F.col("n") / self.block_rows))
+        # a number for each block: bounded, see the module
+        found = rows.join(F.broadcast(self._pieces), F.col("source").cast("string").eqNullSafe(F.col("p_source")) & (F.floor(F.col("block") / PIECE) == F.col("piece")))
+        found = found.withColumn("slot", F.element_at("slots", (F.col("block") % PIECE + 1).cast("int")).cast("long"))
+        return found.withColumn("position", F.col("slot") * self.block_rows + F.col("n") % self.block_rows).drop("p_source", "piece", "slots")
+
+    def slices(self, narrow: DataFrame, parts: int) -> DataFrame:
+        """(c_source, c_r, starts): which slice of positions the rows of a source and range
+        fall into, as (hash from which, slice, number of the slice's first row), ascending.
+
+        Along a source positions rise with the hash, so a slice begins at one hash."""
+        ranked = self.placed(self.numbered(narrow))
+        # rows of one hash (repeated ids) go to one slice: where the first of them stands
+        found = ranked.groupBy("source", "r", "h").agg(F.min("n").alias("n"), F.min("position").alias("position"))
+        slice_ = F.floor(F.col("position") * parts / ((self.last + 1) * self.block_rows)).cast("int")
+        edges = found.groupBy("source", slice_.alias("slice")).agg(F.min(F.struct("r", "h")).alias("low"), F.min("n").alias("base"))
+        inside = edges.groupBy(F.col("source").alias("e_source"), F.col("low.r").alias("e_r")).agg(F.sort_array(F.collect_list(F.struct(F.col("low.h").alias("h"), "slice", "base"))).alias("own"))
+        both = self.cells(narrow).join(inside, F.col("c_source").eqNullSafe(F.col("e_source")) & (F.col("c_r") == F.col("e_r")), "left")
+        before = Window.partitionBy("c_source").orderBy("c_r").rowsBetween(Window.unboundedPreceding, -1)
+        carried = F.last(F.element_at("own", -1), ignorenulls=True).over(before)
+        first = F.struct(F.lit(-(1 << 63)).alias("h"), carried["slice"].alias("slice"), carried["base"].alias("base"))
+        none = F.expr("cast(array() as array<struct<h: bigint, slice: int, base: bigint>>)")
+        return both.select("c_source", "c_r", F.concat(F.when(carried.isNotNull(), F.array(first)).otherwise(none), F.coalesce("own", none)).alias("starts"))
+
+
+def _read(docs: DataFrame, id_col: str, source_col: str) -> tuple[list[str], DataFrame]:
+    columns = [c for c in docs.columns if c not in ("block", "slot", "position")]
+    return columns, docs.select(F.struct(*[F.col(f"`{c}`") for c in columns]).alias("row"), F.col(id_col).alias("id"), F.col(source_col).alias("source"))
 
 
 def mix(
-    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source"
+    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int | None = None, id_col: str = "doc_id", source_col: str = "source"
 ) -> DataFrame:
     """Every row with block, slot and position, in no order; see the module."""
-    docs = _without_new(docs)
-    plan = _plan(docs.sparkSession, docs, weights, block_rows, source_col)
-    return _placed(numbered(docs, id_col, source_col), plan, block_rows, source_col).select(*docs.columns, "block", "slot", "position")
+    _, rows = _read(docs, id_col, source_col)
+    mixer = Mixer(rows.select("id", "source"), weights, block_rows)
+    return mixer.placed(mixer.numbered(rows)).select("row.*", "block", "slot", "position")
 
 
 def mix_in_order(
-    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int = BLOCK_ROWS, id_col: str = "doc_id", source_col: str = "source"
+    docs: DataFrame, weights: dict[str | None, float] | None = None, block_rows: int | None = None, id_col: str = "doc_id", source_col: str = "source"
 ) -> DataFrame:
-    """As ``mix``, with the rows in the order of ``position``, and the wide columns
-    shuffled once.
-
-    Positions are found from ids and sources alone.  Along a source they rise with the
-    hash of the id, so each slice of positions is a range of hashes for each source; these
-    ranges (sources times partitions) are broadcast and send a row to its slice, where
-    rows are numbered again and sorted."""
-    docs = _without_new(docs)
-    spark, narrow = docs.sparkSession, docs.select(id_col, source_col)
-    plan = _plan(spark, narrow, weights, block_rows, source_col)
-    hashed = lambda df: df.withColumn("_h", F.xxhash64(F.col(id_col).cast("string")))
-    by_order = F.pmod(F.shiftright("_h", 40), F.lit(RANGES)).cast("int")  # ``numbered`` orders by this, then by hash
-    ranked = hashed(_placed(numbered(narrow, id_col, source_col), plan, block_rows, source_col)).withColumn("_r", by_order)
-    # rows of one hash (repeated ids) go to one slice: where the first of them stands
-    found = ranked.groupBy(source_col, "_r", "_h").agg(F.min("_n").alias("_n"), F.min("position").alias("position"))
-    slices = int(spark.conf.get("spark.sql.shuffle.partitions"))
-    total = (ranked.agg(F.max("position")).head()[0] or 0) + 1
-    slice_ = F.floor(F.col("position") * slices / total).cast("int")
-    edge = Window.partitionBy("_es").orderBy("_slice")
-    edges = (
-        found.groupBy(F.col(source_col).alias("_es"), slice_.alias("_slice")).agg(F.min(F.struct("_r", "_h")).alias("_low"), F.min("_n").alias("_base"))
-        .withColumn("_high", F.lead("_low").over(edge)).withColumn("_low", F.when(F.row_number().over(edge) > 1, F.col("_low")))
-    )
-    key = F.struct(F.col("_r"), F.col("_h"))
-    inside = F.col(source_col).eqNullSafe(F.col("_es")) & (F.col("_low").isNull() | (key >= F.col("_low"))) & (F.col("_high").isNull() | (key < F.col("_high")))
-    # edges: sources times partitions
-    sent = hashed(docs).withColumn("_r", by_order).join(F.broadcast(edges), inside).repartitionByRange(slices, "_slice")
-    within = Window.partitionBy("_slice", source_col).orderBy("_r", "_h", id_col)
-    again = sent.withColumn("_n", F.col("_base") + F.row_number().over(within) - 1)
-    out = _placed(again.select(*docs.columns, "_n"), plan, block_rows, source_col)
-    return out.select(*docs.columns, "block", "slot", "position").sortWithinPartitions("position")
+    """As ``mix``, with the rows in the order of ``position`` within and across
+    partitions, and the wide columns shuffled once.
+
+    Positions are found from ids and sources alone; a small table of hashes then sends
+    each row to its slice of positions, where rows are numbered again and sorted."""
+    _, rows = _read(docs, id_col, source_col)
+    narrow = rows.select("id", "source")
+    mixer = Mixer(narrow, weights, block_rows)
+    parts = int(mixer.spark.conf.get("spark.sql.shuffle.partitions"))
+    slices = mixer.slices(narrow, parts)
+    if parts * len(mixer.counts) <= MOST_CELLS:  # a row for each cell, an entry for each source and slice
+        slices = F.broadcast(slices)
+    found = mixer.hashed(rows).join(slices, F.col("source").eqNullSafe(F.col("c_source")) & (F.col("r") == F.col("c_r")))
+    own = F.element_at(F.filter("starts", lambda x: x["h"] <= F.col("h")), -1)
+    sent = found.withColumn("own", own).select("row", "id", "source", "r", "h", F.col("own.slice").alias("slice"), F.col("own.base").alias("base")).repartitionById(parts, F.col("slice"))
+    within = Window.partitionBy("slice", "source").orderBy("r", "h", "id")
+    again = sent.withColumn("n", F.col("base") + F.row_number().over(within) - 1)
+    return mixer.placed(again.select("row", "source", "n")).select("row.*", "block", "slot", "position").sortWithinPartitions("position")
 
 
 def op10_pfair_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:

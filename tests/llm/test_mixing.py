@@ -2,35 +2,37 @@ import math
 from collections import Counter
 from fractions import Fraction
 
+import pytest
 from hypothesis import given, settings
 from hypothesis import strategies as st
 
-from linemend.llm.mixing import PIECE, mix, mix_in_order, one_period, schedule, shares
+from linemend.llm import mixing
+from linemend.llm.mixing import PIECE, exact_shares, mix, mix_in_order, phase, schedule
 
 
 @settings(max_examples=60, deadline=None)
-@given(st.lists(st.floats(0.01, 100), min_size=1, max_size=12))
-def test_windows_and_deviation(weights):
-    period = max(60, 4 * len(weights))
-    share = shares(weights, period)
-    assert sum(share) == period and min(share) >= 1
-    slots = one_period(share)
-    assert sorted(s for x in slots for s in x) == list(range(period))
-    for e, at in zip(share, slots):
+@given(st.lists(st.integers(1, 40), min_size=1, max_size=8))
+def test_windows_and_deviation(share):
+    """Replayed against the definition: every block inside its window, and no source a
+    block or more from its target at any slot."""
+    whole, period = exact_shares(share), sum(exact_shares(share))
+    slots = phase(whole, [2 * x for x in whole])
+    flat = sorted(s for x in slots for s in x)
+    assert flat == list(range(len(flat)))
+    for e, at in zip(whole, slots):
         for k, slot in enumerate(at):
             assert k * period // e <= slot < -(-(k + 1) * period // e)
-        for t in range(period + 1):
-            assert abs(sum(s < t for s in at) - t * e / period) < 1
+        for t in range(len(flat) + 1):
+            assert abs(Fraction(sum(s < t for s in at)) - Fraction(t * e, period)) < 1
 
 
 def slow(blocks, weights):
-    """The schedule slot by slot."""
+    """slot -> (source, block)."""
     out = {}
-    for p in schedule(blocks, weights):
-        for k in range(p.first, p.last):
-            slot = p.start + (k - p.first) // len(p.slots) * p.period + p.slots[(k - p.first) % len(p.slots)]
+    for s, at in schedule(blocks, weights).items():
+        for k, slot in enumerate(at):
             assert slot not in out
-            out[slot] = (p.source, k)
+            out[slot] = (s, k)
     return out
 
 
@@ -44,17 +46,6 @@ def test_every_block_once(blocks, data):
         assert [k for _, (x, k) in sorted(out.items()) if x == s] == list(range(n))
 
 
-def test_target_holds_until_a_source_runs_out():
-    blocks, weights = {"a": 4000, "b": 1500, "c": 600}, {"a": 5.0, "b": 3.0, "c": 2.0}
-    out = slow(blocks, weights)
-    first_end = min(max(t for t, (s, _) in out.items() if s == x) for x in blocks)
-    count = dict.fromkeys(blocks, 0)
-    for t in range(first_end + 1):
-        count[out[t][0]] += 1
-        for s, w in weights.items():
-            assert abs(count[s] - (t + 1) * w / 10) < 1 + (t + 1) / 1000 * 1e-6 + 0.01 * (t + 1) / 10
-
-
 def test_operator(spark):
     rows = [(i, "hot" if i % 3 else f"s{i % 7}", "x", 1) for i in range(900)] + [(None, None, None, 2), (5, "hot", "x", 1), (5, "hot", "x", 1), (10**12, None, "y", 3)]
     df = spark.createDataFrame(rows, "doc_id long, source string, text string, slot int")
@@ -103,9 +94,36 @@ def test_target_weights_within_one_block_over_the_whole_run():
                 break
 
 
+def test_twenty_skewed_sources_and_tiny_weights():
+    for weights, blocks in (([81.0] + [1.0] * 19, [8100] + [100] * 19), ([0.9999, 0.0001], [20_000, 3])):
+        names = [f"s{i:02}" for i in range(len(weights))]
+        out = slow(dict(zip(names, blocks)), dict(zip(names, weights)))
+        total, count = sum(map(Fraction, map(repr, weights))), dict.fromkeys(names, 0)
+        part = {s: Fraction(repr(w)) / total for s, w in zip(names, weights)}
+        for t in range(10_000):
+            count[out[t][0]] += 1
+            assert all(abs(count[s] - (t + 1) * part[s]) < 1 for s in names)
+            if count[out[t][0]] == blocks[names.index(out[t][0])]:
+                break
+        assert t > 9_000
+
+
 def test_slots_in_pieces(spark):
     df = spark.range(6000).selectExpr("id doc_id", "if(id % 7 < 5, 'a', 'b') source")
     weights = {"a": math.sqrt(5), "b": math.sqrt(2)}
     out = mix(df, weights, block_rows=1).collect()
     want = slow(dict(Counter(r.source for r in out)), weights)
     assert {r.slot: (r.source, r.block) for r in out} == want and max(r.block for r in out) > 2 * PIECE
+
+
+def test_clashing_names_and_bounds(spark, monkeypatch):
+    names = ["_h", "_n", "h", "n", "r", "k", "row", "id", "starts", "own", "c_r", "a.b", "piece"]
+    df = spark.createDataFrame([(i, "ab"[i % 3 == 0], *["x"] * len(names)) for i in range(60)], ", ".join(["doc_id long", "source string", *[f"`{n}` string" for n in names]]))
+    for f in (mix, mix_in_order):
+        out = f(df, block_rows=4)
+        assert out.columns == [*df.columns, "block", "slot", "position"] and {tuple(r)[2:-3] for r in out.collect()} == {("x",) * len(names)}
+    monkeypatch.setattr(mixing, "MOST_BLOCKS", 3)  # blocks grow with the table
+    assert {r.position // 20 - r.slot for r in mix(df).collect()} == {0}
+    monkeypatch.setattr(mixing, "MOST_SOURCES", 1)
+    with pytest.raises(ValueError):
+        mix(df)
