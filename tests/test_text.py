@@ -1,5 +1,7 @@
 """Golden cases of the column functions and Python operators."""
 
+import random
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -35,9 +37,10 @@ def test_mark_action(spark):
 @pytest.mark.parametrize("lines,want", [(["Vor¬", "trag"], "Vortrag"), (["Hof-", "und Staat"], "Hof-und Staat"), (["Eugen¬", "v. Balogh"], "Eugen v. Balogh"), (["a", "b"], "a b"), (["Vor¬"], "Vor¬")])
 def test_joined_by_rule(spark, lines, want):
     assert one(spark, T.joined_by_rule(F.col("l")), l=lines) == want
-    text, origin = K.join_with_origin(lines)
-    assert text == want and len(origin) == len(text)
-    assert all(o is None or lines[o[0]][o[1]] == ch for o, ch in zip(origin, text, strict=True))
+    origin = one(spark, K.origins(F.col("l")), l=lines)
+    assert one(spark, K.rendered(K.marked(F.col("l"))), l=lines) == want and len(origin) == len(want)
+    assert all(o is None or lines[o.line][o.offset] == ch for o, ch in zip(origin, want, strict=True))
+    assert one(spark, K.lines_again(K.marked(F.col("l")), F.col("l")), l=lines) == lines
 
 
 def test_joined_by_marks(spark):
@@ -51,11 +54,13 @@ def test_line_end_for(spark):
         assert one(spark, K.line_end_for(F.col("f"), F.col("n")), f=form, n=notation) == want
 
 
-def test_digits():
+def test_digits(spark):
     for text, want in (
         ("am r3. Mai", "am 13. Mai"), (" 1o13", " 1913"), ("1145 Uhr", "11.45 Uhr"), ("730 Uhr", "7.30 Uhr"), ("191415", "1914/15"), ("189900", "1899/00"), ("191416", "191416"), ("Seite z5", "Seite 25"), ("Seite zeigen", "Seite zeigen"),
     ):
-        assert K.correct_digits(text)[0] == want
+        assert one(spark, K.digit_fixes(F.col("s")), s=text).text == want
+    changes = one(spark, K.digit_fixes(F.col("s")), s="am r3. r3. Mai 1o13 um 730 Uhr").changes
+    assert [tuple(c) for c in changes] == [("year", "1o13", "1913"), ("day", "r3", "13"), ("day", "r3", "13"), ("uhr", "7", "7.")]
 
 
 def test_rules_in_order(spark):
@@ -75,32 +80,68 @@ def test_rules_in_order(spark):
         (["nothing", "here"], [("x", "y")], []),
     ],
 )
-def test_paragraph(lines, rules, want):
-    got = K.correct_paragraph(lines, rules)
-    if want and want[0][0] == 0 and want[0][2].endswith("¬") and lines[0] in ("Vor¬", "Savoyen¬"):
-        want = [(i, b, a, o) for i, b, a, o in want]
-    assert got == want
+def test_paragraph(spark, lines, rules, want):
+    assert corrected(spark, lines, rules) == want
+
+
+def corrected(spark, lines, rules):
+    df = spark.createDataFrame([(1, 1, lines)], "file long, para long, lines array<string>")
+    return [tuple(r) for r in K.paragraph_corrections(df, rules).select("pos", "before", "after", "outcome").collect()]
 
 
-def test_paragraph_that_would_join_otherwise():
-    out = K.correct_paragraph(["Huppmann-", "Valbella"], [("Valbella", "valbella")])
+def test_paragraph_that_would_join_otherwise(spark):
+    out = corrected(spark, ["Huppmann-", "Valbella"], [("Valbella", "valbella")])
     assert [r[3] for r in out] == ["changes-break"]
 
 
-def test_corrected_twice_changes_nothing():
-    lines, rules = ["am r3. Vor¬", "trage um 730 Uhr"], [("Vortrage", "Vorträge")]
+def test_corrected_twice_changes_nothing(spark):
+    lines, rules = ["am r3. Vor¬", "trage um 7¬", "30 Uhr, 19¬", "1415"], [("Vortrage", "Vorträge"), ("(a)$", "\\\\1")]
     now = list(lines)
-    for i, _, after, outcome in K.correct_paragraph(lines, rules):
+    for i, _, after, outcome in corrected(spark, lines, rules):
         if outcome == "applied":
             now[i] = after
-    assert now == ["am 13. Vor¬", "träge um 7.30 Uhr"] and K.correct_paragraph(now, rules) == []
+    assert now == ["am 13. Vor¬", "träge um 7.¬", "30 Uhr, 19¬", "14/15"] and corrected(spark, now, rules) == []
+    assert corrected(spark, ["(a)$ x"], rules) == [(0, "(a)$ x", "\\\\1 x", "applied")]
+
+
+def test_rules_against_replacing_in_joined_text(spark):
+    """Where every edit can be made, the corrected lines read as the replaced text."""
+    rng, rules = random.Random(5), [("ab", "X"), ("b c", "b  c"), ("ca", "caa"), ("X", "ab!"), ("aa", "a")]
+    rows = [(k, 1, ["".join(rng.choice("aabbc. ") for _ in range(6)).strip() + rng.choice(["¬", "", "x"]) for _ in range(3)]) for k in range(300)]
+    df = spark.createDataFrame(rows, "file long, para long, lines array<string>")
+    found = {}
+    for r in K.paragraph_corrections(df, rules).collect():
+        found.setdefault(r.file, []).append(r)
+    reads = {r.file: r.x for r in df.select("file", T.joined_by_rule(F.col("lines")).alias("x")).collect()}
+    judged = 0
+    for k, _, lines in rows:
+        if any(r.outcome in ("join-artifact", "changes-break") for r in found.get(k, [])):
+            continue
+        want = reads[k]
+        for old, new in rules:
+            want = want.replace(old, new)
+        now = list(lines)
+        for r in found.get(k, []):
+            if r.pos is not None:
+                now[r.pos] = r.after
+        now = spark.createDataFrame([(now,)], "l array<string>").select(T.joined_by_rule(F.col("l")).alias("x")).head().x if judged < 25 else None
+        judged += 1
+        assert now is None or now == want, lines
+    assert judged > 100
+
+
+def test_positional(spark):
+    plan = {("Antra", "*"): ("Antrag", None), ("an", "dern"): (None, "deren"), ("Wier", "Stadt"): ("Wien", None)}
+    rows = [(w, r, a or "*", b) for (w, r), (a, b) in plan.items()]
+    rules = spark.createDataFrame(rows, "left string, right string, left_correct string, right_correct string")
 
+    def fixed(lines):
+        df = spark.createDataFrame([(1, 1, lines)], "file long, para long, lines array<string>")
+        return [tuple(r) for r in K.positional_fixes(df, rules).select("pos", "before", "after").collect()]
 
-def test_positional():
-    plan = {("Antra", "*"): ("Antrag", None), ("an", "dern"): (None, "deren"), ("Wier", "Stadt"): ("Wien", None)}
-    assert K.positional(["der (Antra)", "x"], plan) == [(0, "der (Antra)", "der (Antrag)")]
-    assert K.positional(["so Antra¬", "gen"], plan) == []
-    assert K.positional(["ist an", "dern, Wier", "Stadt"], plan) == [(1, "dern, Wier", "deren, Wier"), (1, "deren, Wier", "deren, Wien")]
+    assert fixed(["der (Antra)", "x"]) == [(0, "der (Antra)", "der (Antrag)")]
+    assert fixed(["so Antra¬", "gen"]) == [] == fixed([])
+    assert fixed(["ist an", "dern, Wier", "Stadt"]) == [(1, "dern, Wier", "deren, Wier"), (1, "deren, Wier", "deren, Wien")]
 
 
 def test_polygon(spark):
