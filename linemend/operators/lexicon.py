@@ -1,38 +1,61 @@
-"""Reference lexicon from line-interior tokens (never a token beside a break)."""
+"""Reference lexicon from line-interior tokens (never a token beside a break).
+
+Counts come for two scopes at once: all paragraphs (``c``, ``plain`` ...), which line ends
+are judged by, and paragraphs of two or more lines (``_long`` names), which breaks are
+judged by: a one-line paragraph holds no break, and admitting it would move every ratio.
+``long_scope`` reads a table in the second scope.
+"""
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from linemend.constants import LETTERS
 from linemend.functions.text import interior, is_word, separator, strip_token
 
 
+LONG = 2
+
+
 def interior_tokens(lines: DataFrame) -> DataFrame:
-    """(file, para, pos, k, raw, w, prev_w, next_w): interior tokens with the interior
+    """(file, para, pos, n_lines, k, raw, w, prev_w, next_w): interior tokens with the interior
     tokens beside them.  One generator, no shuffle."""
     cleaned = F.transform(interior(F.col("toks")), lambda t: F.struct(t.alias("raw"), strip_token(t).alias("w")))
-    rows = lines.select("file", "para", "pos", cleaned.alias("x")).select("file", "para", "pos", "x", F.posexplode("x").alias("k", "t"))
-    return rows.select("file", "para", "pos", F.col("k").cast("long").alias("k"), "t.raw", "t.w", F.when(F.col("k") > 0, F.try_element_at("x", F.greatest("k", F.lit(1)))["w"]).alias("prev_w"), F.try_element_at("x", F.col("k") + 2)["w"].alias("next_w"))
+    rows = lines.select("file", "para", "pos", "n_lines", cleaned.alias("x")).select("file", "para", "pos", "n_lines", "x", F.posexplode("x").alias("k", "t"))
+    return rows.select("file", "para", "pos", "n_lines", F.col("k").cast("long").alias("k"), "t.raw", "t.w", F.when(F.col("k") > 0, F.try_element_at("x", F.greatest("k", F.lit(1)))["w"]).alias("prev_w"), F.try_element_at("x", F.col("k") + 2)["w"].alias("next_w"))
+
+
+def _long(what: Column) -> Column:
+    return F.count(F.when(F.col("n_lines") >= LONG, what))
 
 
 def unigrams(lines: DataFrame) -> DataFrame:
-    """(w, c), pre-aggregated before the one shuffle."""
-    return interior_tokens(lines).where(is_word(F.col("w"))).groupBy("w").agg(F.count(F.lit(1)).alias("c"))
+    """(w, c, c_long), pre-aggregated before the one shuffle."""
+    return interior_tokens(lines).where(is_word(F.col("w"))).groupBy("w").agg(F.count(F.lit(1)).alias("c"), _long(F.lit(1)).alias("c_long"))
 
 
 def bigrams(lines: DataFrame) -> DataFrame:
-    """(a, b, plain, period, comma): adjacent interior words by what separates them."""
-    pairs = interior_tokens(lines).where(is_word(F.col("w")) & is_word(F.col("next_w"))).select(F.col("w").alias("a"), F.col("next_w").alias("b"), separator(F.col("raw")).alias("kind"))
-    return pairs.groupBy("a", "b").agg(*[F.count(F.when(F.col("kind") == k, 1)).alias(k) for k in ("plain", "period", "comma")])
+    """(a, b, plain, period, comma, and their ``_long`` counts): adjacent interior words
+    by what separates them."""
+    pairs = interior_tokens(lines).where(is_word(F.col("w")) & is_word(F.col("next_w"))).select(F.col("w").alias("a"), F.col("next_w").alias("b"), "n_lines", separator(F.col("raw")).alias("kind"))
+    of = lambda k: F.when(F.col("kind") == k, 1)
+    kinds = ("plain", "period", "comma")
+    return pairs.groupBy("a", "b").agg(*[F.count(of(k)).alias(k) for k in kinds], *[_long(of(k)).alias(f"{k}_long") for k in kinds])
 
 
 def dashed(lines: DataFrame) -> DataFrame:
-    """(a, b, c): compounds written with a dash inside a line."""
+    """(a, b, c, c_long): compounds written with a dash inside a line."""
     pattern = f"^([{LETTERS}]+)[-=]([{LETTERS}]+)$"
     rows = interior_tokens(lines).where(F.col("w").rlike(pattern))
-    return rows.groupBy(F.regexp_extract("w", pattern, 1).alias("a"), F.regexp_extract("w", pattern, 2).alias("b")).agg(F.count(F.lit(1)).alias("c"))
+    return rows.groupBy(F.regexp_extract("w", pattern, 1).alias("a"), F.regexp_extract("w", pattern, 2).alias("b")).agg(F.count(F.lit(1)).alias("c"), _long(F.lit(1)).alias("c_long"))
+
+
+def long_scope(counts: DataFrame) -> DataFrame:
+    """A table of counts over paragraphs of two or more lines, under the plain names."""
+    names = [c.removesuffix("_long") for c in counts.columns if c.endswith("_long")]
+    kept = counts.where(F.greatest(F.lit(0), *[F.col(f"{n}_long") for n in names]) > 0)
+    return kept.select(*[c for c in counts.columns if c not in names and not c.endswith("_long")], *[F.col(f"{n}_long").alias(n) for n in names])
 
 
 def totals(uni: DataFrame) -> DataFrame:

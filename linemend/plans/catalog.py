@@ -92,13 +92,23 @@ class Corpus:
     def totals(self) -> DataFrame:
         return self.held(L.totals(self.uni))
 
+    @cached_property
+    def long(self) -> tuple[DataFrame, DataFrame, DataFrame, DataFrame]:
+        """The lexicon that breaks are judged by: uni, big, dash, totals."""
+        uni = L.long_scope(self.uni)
+        return uni, L.long_scope(self.big), L.long_scope(self.dash), L.totals(uni)
+
+    @cached_property
+    def long_lines(self) -> DataFrame:
+        return D.lines_of(self.paragraphs, min_lines=L.LONG)
+
     @cached_property
     def breaks(self) -> DataFrame:
         return self.held(B.breaks(self.lines))
 
     @cached_property
     def evidence(self) -> DataFrame:
-        return self.held(B.pair_evidence(B.pair_counts(self.breaks), self.uni, self.big, self.dash))
+        return self.held(B.pair_evidence(B.pair_counts(self.breaks), *self.long[:3]))
 
     @cached_property
     def verdicts(self) -> DataFrame:
@@ -197,7 +207,7 @@ def interior_tokens(c: Corpus) -> DataFrame:
     return L.interior_tokens(c.lines).groupBy("file").agg(count(), F.countDistinct("w").alias("types"))
 
 
-@query("SELECT w, c FROM uni")
+@query("SELECT u.w, u.c, coalesce(l.c, 0) AS c_long FROM uni u LEFT JOIN unil l ON l.w = u.w")
 def lexicon_unigrams(c: Corpus) -> DataFrame:
     return c.uni
 
@@ -209,17 +219,23 @@ def lexicon_bigrams(c: Corpus) -> DataFrame:
 
 @query("SELECT a, b, plain, period, comma FROM big")
 def lexicon_bigrams_by_separator(c: Corpus) -> DataFrame:
-    return c.big
+    return c.big.select("a", "b", "plain", "period", "comma")
+
+
+@query("SELECT a, b, plain, period, comma FROM bigl")
+def lexicon_bigrams_long(c: Corpus) -> DataFrame:
+    return c.long[1]
 
 
-@query("SELECT a, b, c FROM dash")
+@query("SELECT d.a, d.b, d.c, coalesce(l.c, 0) AS c_long FROM dash d LEFT JOIN dashl l ON l.a = d.a AND l.b = d.b")
 def lexicon_dashed(c: Corpus) -> DataFrame:
     return c.dash
 
 
-@query("SELECT v, n FROM tot")
+@query("SELECT v, n, (SELECT v FROM totl) AS v_long, (SELECT n FROM totl) AS n_long FROM tot")
 def lexicon_totals(c: Corpus) -> DataFrame:
-    return c.totals
+    # one row each
+    return c.totals.crossJoin(F.broadcast(c.long[3].select(F.col("v").alias("v_long"), F.col("n").alias("n_long"))))
 
 
 # ---- breaks ---------------------------------------------------------------------------
@@ -302,7 +318,7 @@ def paragraph_final_marks(c: Corpus) -> DataFrame:
 
 @query("SELECT file, n_not, n_eq, CASE WHEN n_eq > n_not THEN '=' ELSE '¬' END AS notation FROM nota")
 def notation_by_doc(c: Corpus) -> DataFrame:
-    return B.notation(c.lines)
+    return B.notation(c.long_lines)
 
 
 @query(f"SELECT {_V} FROM vds")
@@ -416,13 +432,13 @@ def contested_breaks(c: Corpus) -> DataFrame:
 
 @query('SELECT file, para, pos, "left", "right", hyphenated, round(margin, 6) AS margin FROM bm')
 def break_margins(c: Corpus) -> DataFrame:
-    return E.break_margins(c.breaks, c.uni, c.big, c.totals).select("file", "para", "pos", "left", "right", "hyphenated", F.round("margin", 6).alias("margin"))
+    return E.break_margins(c.breaks, c.long[0], c.long[1], c.long[3]).select("file", "para", "pos", "left", "right", "hyphenated", F.round("margin", 6).alias("margin"))
 
 
 @query("SELECT CAST(gate AS INTEGER) AS gate, count(*) FILTER (round(margin, 6) >= gate) AS joined, count(*) FILTER (round(margin, 6) <= -gate) AS apart FROM bm, (VALUES (2), (4), (6), (8), (10), (12), (16)) AS g(gate) GROUP BY gate")
 def break_gate_table(c: Corpus) -> DataFrame:
     m = F.round("margin", 6)
-    rows = E.break_margins(c.breaks, c.uni, c.big, c.totals).select(m.alias("m"))
+    rows = E.break_margins(c.breaks, c.long[0], c.long[1], c.long[3]).select(m.alias("m"))
     sums = rows.agg(*[F.count(F.when(F.col("m") >= g, 1)).alias(f"j{g}") for g in C.MARGIN_GATES], *[F.count(F.when(F.col("m") <= -g, 1)).alias(f"a{g}") for g in C.MARGIN_GATES])
     gates = F.array(*[F.struct(F.lit(g).alias("gate"), F.col(f"j{g}").alias("joined"), F.col(f"a{g}").alias("apart")) for g in C.MARGIN_GATES])
     return sums.select(F.explode(gates).alias("x")).select("x.gate", "x.joined", "x.apart")
@@ -431,17 +447,17 @@ def break_gate_table(c: Corpus) -> DataFrame:
 @query("SELECT hyphenated, count(*) AS n, count(*) FILTER ((round(margin, 6) > 0) = hyphenated) AS agree, round(avg(round(margin, 6)), 4) AS mean_margin FROM bm GROUP BY hyphenated")
 def break_eval(c: Corpus) -> DataFrame:
     m = F.round("margin", 6)
-    rows = E.break_margins(c.breaks, c.uni, c.big, c.totals).select("hyphenated", m.alias("m"))
+    rows = E.break_margins(c.breaks, c.long[0], c.long[1], c.long[3]).select("hyphenated", m.alias("m"))
     return rows.groupBy("hyphenated").agg(count(), F.count(F.when((F.col("m") > 0) == F.col("hyphenated"), 1)).alias("agree"), F.round(F.avg("m"), 4).alias("mean_margin"))
 
 
-@query(f'SELECT c."left", c."right", u.c AS joined, coalesce(b.plain, 0) AS apart FROM {_CONTESTED} c LEFT JOIN uni u ON u.w = c."left" || c."right" LEFT JOIN big b ON b.a = c."left" AND b.b = c."right"')
+@query(f'SELECT c."left", c."right", u.c AS joined, coalesce(b.plain, 0) AS apart FROM {_CONTESTED} c LEFT JOIN unil u ON u.w = c."left" || c."right" LEFT JOIN bigl b ON b.a = c."left" AND b.b = c."right"')
 def break_gold(c: Corpus) -> DataFrame:
     """Interior occurrences as labels of contested pairs: joined and apart."""
     pairs = B.contested(c.evidence, SMALL_FLOOR).select("left", "right", F.concat("left", "right").alias("both"))
     return (
-        pairs.join(c.uni.select(F.col("w").alias("both"), F.col("c").alias("joined")), "both", "left")
-        .join(c.big.select(F.col("a").alias("left"), F.col("b").alias("right"), "plain"), ["left", "right"], "left")
+        pairs.join(c.long[0].select(F.col("w").alias("both"), F.col("c").alias("joined")), "both", "left")
+        .join(c.long[1].select(F.col("a").alias("left"), F.col("b").alias("right"), "plain"), ["left", "right"], "left")
         .select("left", "right", "joined", F.coalesce("plain", F.lit(0)).alias("apart"))
     )
 
@@ -552,35 +568,35 @@ def store_merge_corrections(c: Corpus) -> DataFrame:
 
 
 _OCC = 'file, line_facs, "left", "right", form, source'
-_OCC_OLD = f"(SELECT file, para || '_' || pos AS line_facs, \"left\", CASE WHEN (file + pos) % 7 = 0 THEN \"right\" || 'x' ELSE \"right\" END AS \"right\", 'split' AS form, CASE WHEN pos % 2 = 0 THEN 'manual' ELSE 'rule' END AS source FROM brk WHERE (file + para) % 5 = 0)"
-_OCC_NEW = "(SELECT file, para || '_' || pos AS line_facs, \"left\", \"right\", 'join' AS form, 'llm' AS source FROM brk WHERE (file + para) % 10 = 0)"
+_OCC_OLD = f"(SELECT file, para, pos, para || '_' || pos AS line_facs, \"left\", CASE WHEN (file + pos) % 7 = 0 THEN \"right\" || 'x' ELSE \"right\" END AS \"right\", 'split' AS form, CASE WHEN pos % 2 = 0 THEN 'manual' ELSE 'rule' END AS source FROM brk)"
+_OCC_NEW = "(SELECT file, para, pos, para || '_' || pos AS line_facs, \"left\", \"right\", 'join' AS form, 'llm' AS source FROM brk)"
 
 
-def _occurrences(c: Corpus, every: int) -> DataFrame:
-    return c.breaks.where((F.col("file") + F.col("para")) % every == 0).withColumn("line_facs", F.concat_ws("_", "para", "pos"))
+def _occurrences(c: Corpus) -> DataFrame:
+    return c.breaks.withColumn("line_facs", F.concat_ws("_", "para", "pos"))
 
 
 def _occ_old(c: Corpus) -> DataFrame:
     right = F.when((F.col("file") + F.col("pos")) % 7 == 0, F.concat("right", F.lit("x"))).otherwise(F.col("right"))
-    return _occurrences(c, 5).select("file", "line_facs", "left", right.alias("right"), F.lit("split").alias("form"), F.when(F.col("pos") % 2 == 0, "manual").otherwise("rule").alias("source"))
+    return _occurrences(c).select("file", "line_facs", "left", right.alias("right"), F.lit("split").alias("form"), F.when(F.col("pos") % 2 == 0, "manual").otherwise("rule").alias("source"))
 
 
 @query(
     f"""SELECT coalesce(o.file, n.file) AS file, coalesce(o.line_facs, n.line_facs) AS line_facs, CASE WHEN take THEN n."left" ELSE o."left" END AS "left", CASE WHEN take THEN n."right" ELSE o."right" END AS "right",
     CASE WHEN take THEN n.form ELSE o.form END AS form, CASE WHEN take THEN n.source ELSE o.source END AS source, CASE WHEN o.file IS NULL THEN 'inserted' WHEN take THEN 'replaced' ELSE 'kept' END AS state
-    FROM {_OCC_OLD} o FULL OUTER JOIN {_OCC_NEW} n ON n.file = o.file AND n.line_facs = o.line_facs,
+    FROM {_OCC_OLD} o FULL OUTER JOIN {_OCC_NEW} n ON n.file = o.file AND n.para = o.para AND n.pos = o.pos,
     LATERAL (SELECT o.file IS NULL OR (n.file IS NOT NULL AND ({_RANK.format(x='n')} > {_RANK.format(x='o')} OR n."left" <> o."left" OR n."right" <> o."right")) AS take)"""
 )
 def store_merge_occurrences(c: Corpus) -> DataFrame:
-    new = _occurrences(c, 10).select("file", "line_facs", "left", "right", F.lit("join").alias("form"), F.lit("llm").alias("source"), F.lit(1).alias("row_no"))
+    new = _occurrences(c).select("file", "line_facs", "left", "right", F.lit("join").alias("form"), F.lit("llm").alias("source"), F.lit(1).alias("row_no"))
     return S.merge_occurrences(_occ_old(c), new)
 
 
 @query(
-    f"""SELECT o.file, o.line_facs, o."left", o."right", b."left" AS left_now, b."right" AS right_now FROM {_OCC_OLD} o JOIN brk b ON b.file = o.file AND b.para || '_' || b.pos = o.line_facs WHERE o."left" <> b."left" OR o."right" <> b."right" """
+    f"""SELECT o.file, o.line_facs, o."left", o."right", b."left" AS left_now, b."right" AS right_now FROM {_OCC_OLD} o JOIN brk b ON b.file = o.file AND b.para = o.para AND b.pos = o.pos WHERE o."left" <> b."left" OR o."right" <> b."right" """
 )
 def stale_occurrences(c: Corpus) -> DataFrame:
-    return S.stale(_occurrences(c, 5), _occ_old(c)).select("file", "line_facs", "left", "right", "left_now", "right_now")
+    return S.stale(_occurrences(c), _occ_old(c)).select("file", "line_facs", "left", "right", "left_now", "right_now")
 
 
 @query('SELECT "left", "right", hyphenated, plain FROM (SELECT *, row_number() OVER (ORDER BY "left", "right") AS k FROM prs) WHERE (k - 1) % 4 = 1')
@@ -627,7 +643,7 @@ def mark_counts(c: Corpus) -> DataFrame:
       FROM brk b JOIN vd v ON v."left" = b."left" AND v."right" = b."right" JOIN nota n ON n.file = b.file WHERE v.verdict IN ('FALSE_POSITIVE', 'FALSE_NEGATIVE', 'PERIOD', 'COMMA') AND v.affected >= 1)) WHERE after IS NOT NULL AND after <> line"""
 )
 def hyphen_corrections(c: Corpus) -> DataFrame:
-    return K.mark_corrections(c.lines, c.verdicts, B.notation(c.lines)).select("file", "para", "pos", "left", "right", "form", "before", "after")
+    return K.mark_corrections(c.lines, c.verdicts, B.notation(c.long_lines)).select("file", "para", "pos", "left", "right", "form", "before", "after")
 
 
 def _rules_sql(x: str) -> str:
@@ -666,7 +682,7 @@ _FIXED = (
 
 @query(f"SELECT * FROM (VALUES {', '.join(f'({chr(39)}{a}{chr(39)}, {chr(39)}{b}{chr(39)})' for a, b in _FIXED)}) AS t(s, fixed)", plain=True)
 def digit_fixes(c: Corpus) -> DataFrame:
-    return c.spark.createDataFrame([(x,) for x in _TIMES], "s string").select("s", K.digit_fixes("s").alias("x")).select("s", F.col("x.text").alias("fixed"))
+    return c.spark.createDataFrame([(x,) for x in _TIMES], "s string").select("s", K.digit_fixes(F.col("s"))["text"].alias("fixed"))
 
 
 @query()

@@ -41,9 +41,11 @@ def tokens(x: str) -> str:
 
 
 LAYERS = f"""
-src AS (SELECT doc_id, source, ln, tk, len(tk) AS n FROM (
+src AS (SELECT doc_id, source, ln, CASE WHEN (doc_id * 13 + ln * 5) % 23 = 0 THEN list_append(td[1 : n - 1], td[n] || '¬') ELSE td END AS tk, n FROM (
+  SELECT doc_id, source, ln, len(tk) AS n, CASE WHEN (doc_id * 3 + ln) % 5 = 0 AND len(tk) >= 9 AND regexp_matches(tk[8], '{_W}') AND regexp_matches(tk[9], '{_W}')
+    THEN list_concat(tk[1 : 2], [tk[8] || '-' || tk[9]], tk[4 : len(tk)]) ELSE tk END AS td FROM (
   SELECT doc_id, source, CAST(i AS BIGINT) AS ln, {tokens('s')} AS tk FROM (
-    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)) WHERE len(tk) > 0),
+    SELECT doc_id, source, unnest(string_split(text, chr(10))) AS s, generate_subscripts(string_split(text, chr(10)), 1) AS i FROM documents)) WHERE len(tk) > 0)),
 chunks AS (SELECT doc_id, source, ln, tk, n, CAST(wl AS BIGINT) AS wl, CASE WHEN wl > 0 THEN tk[wl * 8] END AS pt, CASE WHEN wl * 8 + 8 < n THEN tk[wl * 8 + 8] END AS bt
   FROM src, unnest(generate_series(0, (n - 1) // 8)) AS u(wl)),
 labelled AS (SELECT *, {_label('pt', 'wl - 1')} AS lp, {_label('bt', 'wl')} AS lb FROM chunks),
@@ -53,8 +55,8 @@ lines AS MATERIALIZED (SELECT doc_id AS file, ln AS para, wl AS pos, source AS s
       CASE lb WHEN 'split' THEN left(bt, length(bt) // 2) || '¬' WHEN 'spur' THEN bt || '¬' WHEN 'misread' THEN left(bt, length(bt) - 1) || 'r'
         WHEN 'nohy' THEN left(bt, length(bt) // 2) ELSE left(bt, length(bt) - 1) END) END), ' ') AS line FROM labelled),
 nb AS MATERIALIZED (SELECT *, {tokens('line')} AS toks, lead(line) OVER w AS next_line, lag(line) OVER w AS prev_line FROM lines WINDOW w AS (PARTITION BY file, para ORDER BY pos)),
-it AS (SELECT file, para, pos, CAST(k - 1 AS BIGINT) AS k, inner_[k] AS raw, {strip('inner_[k]')} AS w, {strip('inner_[k + 1]')} AS next_w FROM (
-  SELECT file, para, pos, toks[2 : len(toks) - 1] AS inner_, unnest(generate_series(1, len(toks) - 2)) AS k FROM nb WHERE len(toks) > 2)),
+it AS (SELECT file, para, pos, n_lines, CAST(k - 1 AS BIGINT) AS k, inner_[k] AS raw, {strip('inner_[k]')} AS w, {strip('inner_[k + 1]')} AS next_w FROM (
+  SELECT file, para, pos, n_lines, toks[2 : len(toks) - 1] AS inner_, unnest(generate_series(1, len(toks) - 2)) AS k FROM nb WHERE len(toks) > 2)),
 uni AS MATERIALIZED (SELECT w, count(*) AS c FROM it WHERE regexp_matches(w, '{_W}') GROUP BY w),
 big AS MATERIALIZED (SELECT a, b, count(*) FILTER (kind = 'plain') AS plain, count(*) FILTER (kind = 'period') AS period, count(*) FILTER (kind = 'comma') AS comma FROM (
   SELECT w AS a, next_w AS b, CASE right(rtrim(raw, '»«"'')]'), 1) WHEN '.' THEN 'period' WHEN ',' THEN 'comma' ELSE 'plain' END AS kind
@@ -62,6 +64,13 @@ big AS MATERIALIZED (SELECT a, b, count(*) FILTER (kind = 'plain') AS plain, cou
 dash AS MATERIALIZED (SELECT regexp_extract(w, '^([{LETTERS}]+)[-=]([{LETTERS}]+)$', 1) AS a, regexp_extract(w, '^([{LETTERS}]+)[-=]([{LETTERS}]+)$', 2) AS b, count(*) AS c
   FROM it WHERE regexp_matches(w, '^([{LETTERS}]+)[-=]([{LETTERS}]+)$') GROUP BY ALL),
 tot AS (SELECT count(*) AS v, CAST(sum(c) AS BIGINT) AS n FROM uni),
+itl AS (SELECT * FROM it WHERE (file, para) IN (SELECT file, para FROM lines GROUP BY file, para HAVING count(*) > 1)),
+unil AS MATERIALIZED (SELECT w, count(*) AS c FROM itl WHERE regexp_matches(w, '{_W}') GROUP BY w),
+bigl AS MATERIALIZED (SELECT a, b, sum(CASE kind WHEN 'plain' THEN 1 ELSE 0 END)::BIGINT AS plain, sum(CASE kind WHEN 'period' THEN 1 ELSE 0 END)::BIGINT AS period, sum(CASE kind WHEN 'comma' THEN 1 ELSE 0 END)::BIGINT AS comma FROM (
+  SELECT w AS a, next_w AS b, CASE right(rtrim(raw, '»«"'')]'), 1) WHEN '.' THEN 'period' WHEN ',' THEN 'comma' ELSE 'plain' END AS kind
+  FROM itl WHERE regexp_matches(w, '{_W}') AND regexp_matches(next_w, '{_W}')) GROUP BY a, b),
+dashl AS MATERIALIZED (SELECT split_part(translate(w, '=', '-'), '-', 1) AS a, split_part(translate(w, '=', '-'), '-', 2) AS b, count(*) AS c FROM itl WHERE regexp_matches(w, '^[{LETTERS}]+[-=][{LETTERS}]+$') GROUP BY ALL),
+totl AS (SELECT count(*) AS v, CAST(sum(c) AS BIGINT) AS n FROM unil),
 brk0 AS (SELECT *, {_mark('line')} AS hyphenated, {tokens("CASE WHEN " + _mark('line') + " THEN left(line, length(line) - 1) ELSE line END")} AS hd, {tokens('next_line')} AS tl FROM nb WHERE next_line IS NOT NULL),
 brk1 AS (SELECT *, hd[len(hd)] AS raw_left, CASE WHEN len(tl) = 1 AND {_mark('tl[1]')} THEN left(tl[1], length(tl[1]) - 1) ELSE tl[1] END AS raw_right FROM brk0),
 brk AS MATERIALIZED (SELECT file, para, pos, subtype, line, next_line, {strip('raw_left')} AS "left", {strip('raw_right')} AS "right", raw_left, raw_right, hyphenated, hd, tl, line || ' | ' || next_line AS context
@@ -69,8 +78,8 @@ brk AS MATERIALIZED (SELECT file, para, pos, subtype, line, next_line, {strip('r
 prs AS (SELECT "left", "right", count(*) FILTER (hyphenated) AS hyphenated, count(*) FILTER (NOT hyphenated) AS plain FROM brk GROUP BY ALL),
 ev AS MATERIALIZED (SELECT p."left", p."right", p.hyphenated, p.plain, coalesce(j.c, 0) AS join_count, coalesce(d.c, 0) AS dash_count, coalesce(b.plain, 0) AS bigram_count, coalesce(b.period, 0) AS period_count,
   coalesce(b.comma, 0) AS comma_count, coalesce(l.c, 0) AS left_count, coalesce(r.c, 0) AS right_count
-  FROM prs p LEFT JOIN uni j ON j.w = p."left" || p."right" LEFT JOIN uni l ON l.w = p."left" LEFT JOIN uni r ON r.w = p."right"
-  LEFT JOIN big b ON b.a = p."left" AND b.b = p."right" LEFT JOIN dash d ON d.a = p."left" AND d.b = p."right"),
+  FROM prs p LEFT JOIN unil j ON j.w = p."left" || p."right" LEFT JOIN unil l ON l.w = p."left" LEFT JOIN unil r ON r.w = p."right"
+  LEFT JOIN bigl b ON b.a = p."left" AND b.b = p."right" LEFT JOIN dashl d ON d.a = p."left" AND d.b = p."right"),
 ev2 AS (SELECT *, bigram_count + period_count + comma_count AS s, greatest(comma_count, period_count, bigram_count) AS sbest, regexp_matches("right", '^\\p{{Lu}}') AS cap FROM ev),
 ev3 AS (SELECT *, CASE WHEN sbest >= 2 AND period_count = sbest AND period_count >= 3.0 * greatest(comma_count, bigram_count, 1) THEN 'period|sentence-boundary-attested'
     WHEN sbest >= 2 AND comma_count = sbest AND comma_count >= 3.0 * greatest(period_count, bigram_count, 1) THEN 'comma|comma-attested' ELSE 'split|bigram-attested' END AS sep FROM ev2),
@@ -148,12 +157,12 @@ sc AS MATERIALIZED (SELECT *, CASE WHEN next_w IS NULL THEN 'paragraph-final' WH
 bm0 AS (SELECT *, CASE WHEN len(hd) > 1 THEN nullif({strip('hd[len(hd) - 1]')}, '') END AS h, CASE WHEN len(tl) > 1 THEN nullif({strip('tl[2]')}, '') END AS t FROM brk),
 bm1 AS (SELECT b.file, b.para, b.pos, b."left", b."right", b.hyphenated, b.h, b.t, v, x.n, coalesce(u1.c, 0) AS ch, coalesce(u2.c, 0) AS cl, coalesce(u3.c, 0) AS cr, coalesce(u4.c, 0) AS cb, coalesce(u5.c, 0) AS ct,
     coalesce(b1.plain, 0) AS hb, coalesce(b2.plain, 0) AS bt, coalesce(b3.plain, 0) AS hl, coalesce(b4.plain, 0) AS lr, coalesce(b5.plain, 0) AS rt
-  FROM bm0 b CROSS JOIN tot x LEFT JOIN uni u1 ON u1.w = b.h LEFT JOIN uni u2 ON u2.w = b."left" LEFT JOIN uni u3 ON u3.w = b."right" LEFT JOIN uni u4 ON u4.w = b."left" || b."right" LEFT JOIN uni u5 ON u5.w = b.t
-  LEFT JOIN big b1 ON b1.a = b.h AND b1.b = b."left" || b."right" LEFT JOIN big b2 ON b2.a = b."left" || b."right" AND b2.b = b.t LEFT JOIN big b3 ON b3.a = b.h AND b3.b = b."left"
-  LEFT JOIN big b4 ON b4.a = b."left" AND b4.b = b."right" LEFT JOIN big b5 ON b5.a = b."right" AND b5.b = b.t),
+  FROM bm0 b CROSS JOIN totl x LEFT JOIN unil u1 ON u1.w = b.h LEFT JOIN unil u2 ON u2.w = b."left" LEFT JOIN unil u3 ON u3.w = b."right" LEFT JOIN unil u4 ON u4.w = b."left" || b."right" LEFT JOIN unil u5 ON u5.w = b.t
+  LEFT JOIN bigl b1 ON b1.a = b.h AND b1.b = b."left" || b."right" LEFT JOIN bigl b2 ON b2.a = b."left" || b."right" AND b2.b = b.t LEFT JOIN bigl b3 ON b3.a = b.h AND b3.b = b."left"
+  LEFT JOIN bigl b4 ON b4.a = b."left" AND b4.b = b."right" LEFT JOIN bigl b5 ON b5.a = b."right" AND b5.b = b.t),
 bm AS MATERIALIZED (SELECT *, BREAKMARGIN AS margin FROM bm1),
 para AS MATERIALIZED (SELECT file, para, list(line ORDER BY pos) AS ls FROM lines GROUP BY ALL),
-nota AS (SELECT file, count(*) FILTER (right(line, 1) = '¬') AS n_not, count(*) FILTER (right(line, 1) = '=') AS n_eq FROM lines GROUP BY file),
+nota AS (SELECT file, count(*) FILTER (right(line, 1) = '¬') AS n_not, count(*) FILTER (right(line, 1) = '=') AS n_eq FROM lines WHERE n_lines > 1 GROUP BY file),
 nextw AS (SELECT *, regexp_extract(coalesce(next_line, ''), '^([a-zA-ZäöüÄÖÜßáéíóúÁÉÍÓÚ.]+)', 1) AS nw FROM nb),
 act AS MATERIALIZED (SELECT *, CASE WHEN nw = '' THEN 'remove' WHEN nw IN ('geb.', 'v.', 'gew.', 'z.', '(') THEN 'space' WHEN regexp_matches(nw, '^\\p{{Lu}}') THEN 'hyphen' WHEN nw IN ('und', 'út', 'üt', 'ut', 'utca') THEN 'hyphen' ELSE 'remove' END AS action FROM nextw),
 mk AS MATERIALIZED (SELECT a.file, a.para, a.pos, a.line, a.next_line, CASE WHEN a.next_line IS NULL THEN 'unknown' WHEN nw IN ('geb.', 'v.', 'gew.', 'z.', '(') THEN NULL WHEN known AND form = 'join' THEN 'word' WHEN known AND form = 'hyphen' THEN 'compound'

@@ -37,6 +37,14 @@ def rewrapped(docs: DataFrame, subtype: str = "source") -> DataFrame:
     raw = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("file"), F.col(subtype).alias("subtype"), F.posexplode(F.split("text", "\n")).alias("p", "s"))
     paras = raw.select("file", (F.col("p") + 1).cast("long").alias("para"), "subtype", F.filter(F.split("s", r"\s+"), lambda t: t != "").alias("tk")).where(F.size("tk") > 0)
     n = F.size("tk")
+    # some third tokens become dashed compounds of the two words around the first break
+    about = (F.col("file") * 3 + F.col("para")) % 5 == 0
+    left, right = F.try_element_at("tk", F.lit(WRAP)), F.try_element_at("tk", F.lit(WRAP + 1))
+    both = about & left.rlike(f"^[{LETTERS}]+$") & right.rlike(f"^[{LETTERS}]+$")
+    paras = paras.withColumn("tk", F.when(both, F.concat(F.slice("tk", 1, 2), F.array(F.concat(left, F.lit("-"), right)), F.slice("tk", F.lit(4), n))).otherwise(F.col("tk")))
+    # some paragraphs end in a mark that no next line can judge
+    left_open = (F.col("file") * 13 + F.col("para") * 5) % 23 == 0
+    paras = paras.withColumn("tk", F.when(left_open, F.concat(F.slice("tk", F.lit(1), n - 1), F.array(F.concat(F.try_element_at("tk", F.lit(-1)), F.lit("¬"))))).otherwise(F.col("tk")))
 
     def end_of(i: Column) -> tuple[Column, Column]:
         """(token, label) that ends line i, null where nothing may be damaged."""
