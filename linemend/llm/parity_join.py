@@ -10,7 +10,10 @@ largest size of a band and n > k words, two similar sets must agree in a word, a
 each set joins by its words in its own band and in the higher ones where a
 partner may be.  Words without shingles agree by chance, so they are not
 joined on: n is large enough that nearly every set has more than k filled words, one
-of which must then agree; sets that have not also join on a key of their own.
+of which must then agree.  It is enough that one of the two sets has.  A set that has not
+joins by a second sketch as well, whose words are dealt by another hash, and so on; two
+sets that both have too few in one sketch both hold the next.  Only sets with too few
+in all ``SKETCHES`` (hardly any) meet in a key of their own.
 
 Steps, none of which holds more than one block of documents or a slice of keys:
 
@@ -48,7 +51,7 @@ import numpy as np
 import pandas as pd
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from linemend.llm.base import cut_table, drop_table, once, small_batches, table
@@ -57,6 +60,8 @@ from linemend.llm.components import components
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
 BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS, BLOCK_SETS, CLUSTER_SETS = 512, 4 << 20, 2_000_000, 128, 512, 256
+#: Sketches that a set may need, and bytes of sets or bit sketches that meet in one group.
+SKETCHES, GROUP_BYTES = 8, 32 << 20
 WORD_CACHE, SEEN = 120_000, 100_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
@@ -167,8 +172,8 @@ class Sketcher:
         self._bands, self._plan = bands, {}
 
     def keys(self, s: np.ndarray) -> np.ndarray:
-        """Join keys of a set: the filled words of its sketches, tagged with band
-        and place, and one more where too few are filled."""
+        """Join keys of a set: the filled words of its sketches, tagged with band, sketch
+        and place.  Where too few are filled, those of another sketch, dealt anew, too."""
         size = len(s)
         if size not in self._plan:
             if len(self._plan) > 100_000:
@@ -177,11 +182,18 @@ class Sketcher:
         out, hashes = [], None
         for c, k, n in self._plan[size]:
             hashes = mixed(s + _M2) if hashes is None else hashes
-            place = ((s >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32)  # ascending, as s is
-            starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
-            words = np.bitwise_xor.reduceat(hashes, starts)
-            out.append(mixed(words + mixed(place[starts] + np.uint64(c << 32))))
-            if len(starts) <= k:
+            for seed in range(SKETCHES):
+                drawn = s if seed == 0 else mixed(s ^ np.uint64(int(_M1) * (2 * seed + 1) % (1 << 64)))
+                place, held = ((drawn >> np.uint64(32)) * np.uint64(n)) >> np.uint64(32), hashes
+                if seed:  # the first is ascending, as s is
+                    order = np.argsort(place, kind="stable")
+                    place, held = place[order], hashes[order]
+                starts = np.flatnonzero(np.concatenate(([True], place[1:] != place[:-1])))
+                words = np.bitwise_xor.reduceat(held, starts)
+                out.append(mixed(words + mixed(place[starts] + np.uint64((seed << 56) + (c << 32)))))
+                if len(starts) > k:
+                    break
+            else:
                 out.append(mixed(np.array([(c << 32) + 0xFFFFFFFF], np.uint64)))
         return np.concatenate(out) if out else np.empty(0, np.uint64)
 
@@ -231,24 +243,31 @@ def _blocks(docs: DataFrame, bands: Bands, words: int) -> DataFrame:
     return docs.mapInArrow(made, "block bigint, doc_ids array<bigint>, sets array<bigint>, sizes array<bigint>, n_keys array<int>, keys binary, bits array<binary>")
 
 
-def _sliced(keys: np.ndarray, slices: int) -> tuple[np.ndarray, np.ndarray]:
-    """Slice and 32-bit fingerprint of each key."""
-    return ((keys >> np.uint64(32)) % np.uint64(slices)).astype(np.int64), keys.astype(np.uint32)
+def _sliced(keys: np.ndarray, slices: int) -> np.ndarray:
+    """Slice (high half) and 32-bit fingerprint (low half) of each key."""
+    return ((keys >> np.uint64(32)) % np.uint64(slices)) << np.uint64(32) | keys & np.uint64(0xFFFFFFFF)
+
+
+def _ranges(both: np.ndarray) -> tuple[list[int], list[int], list[int]]:
+    """The slices present in ascending ``_sliced`` values, with start and end of each."""
+    found, first = np.unique(both >> np.uint64(32), return_index=True)
+    return found.tolist(), first.tolist(), [*first[1:].tolist(), len(both)]
 
 
 def _shared_keys(blocks: DataFrame, slices: int) -> DataFrame:
-    """(key, v) for keys whose fingerprint more than one set of the table has."""
+    """(key, v) for keys whose fingerprint more than one set of the table has.
+
+    A block sends a row to each slice that it has keys of: never more rows than keys,
+    however many slices there are."""
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
-                at, prints = _sliced(np.frombuffer(raw, np.uint64), slices)
-                both = np.unique((at.astype(np.uint64) << np.uint64(32)) | prints)
-                ends = np.searchsorted(both, (np.arange(slices + 1, dtype=np.uint64) << np.uint64(32)))
-                some = [p for p in range(slices) if ends[p] < ends[p + 1]]
+                both = np.unique(_sliced(np.frombuffer(raw, np.uint64), slices))
+                prints = both.astype(np.uint32)
+                some, low, high = _ranges(both)
                 yield pa.RecordBatch.from_pydict({
-                    "slice": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int64()),
-                    "prints": pa.array([both[ends[p] : ends[p + 1]].astype(np.uint32).tobytes() for p in some], pa.binary()),
+                    "slice": pa.array(some, pa.int32()), "block": pa.array([block] * len(some), pa.int64()), "prints": pa.array([prints[i:j].tobytes() for i, j in zip(low, high, strict=True)], pa.binary()),
                 })
 
     def answered(rows: pa.Table) -> pa.Table:
@@ -267,13 +286,13 @@ def _shared_keys(blocks: DataFrame, slices: int) -> DataFrame:
         for batch in batches:
             for _, sets, n_keys, raw, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = np.frombuffer(raw, np.uint64)
-                at, prints = _sliced(keys, slices)
-                both, back, times = np.unique((at.astype(np.uint64) << np.uint64(32)) | prints, return_inverse=True, return_counts=True)
-                ends = np.searchsorted(both, (np.arange(slices + 1, dtype=np.uint64) << np.uint64(32)))
+                both, back, times = np.unique(_sliced(keys, slices), return_inverse=True, return_counts=True)
+                some, low, high = _ranges(both)
+                where = dict(zip(some, zip(low, high, strict=True), strict=True))
                 hit = times > 1
                 for a in answers or ():
-                    lo, hi = ends[a["slice"]], ends[a["slice"] + 1]
-                    hit[lo:hi] |= np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=hi - lo).astype(bool)
+                    i, j = where[a["slice"]]
+                    hit[i:j] |= np.unpackbits(np.frombuffer(a["bits"], np.uint8), count=j - i).astype(bool)
                 take = hit[back]
                 owner = np.repeat(np.array([0 if s is None else s for s in sets], np.int64), n_keys)
                 yield pa.RecordBatch.from_pydict({"key": pa.array(keys[take].view(np.int64), pa.int64()), "v": pa.array(owner[take], pa.int64())})
@@ -298,7 +317,7 @@ def _id_filter(ids: DataFrame, n: int) -> tuple[int, bytes]:
 
 
 def _possible(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
-    """Pairs (a < b) whose bit sketches do not rule them out."""
+    """Pairs (a < b) whose bit sketches do not rule them out, with the size of b."""
 
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -307,12 +326,12 @@ def _possible(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
                 least_apart(np.frombuffer(x, np.uint8), np.frombuffer(y, np.uint8)) <= bands.most_apart(total)
                 for x, y, total in zip(batch.column(2).to_pylist(), batch.column(4).to_pylist(), n, strict=True)
             ]
-            yield pa.RecordBatch.from_arrays(batch.columns[:2], names=["a", "b"]).filter(pa.array(near, pa.bool_()))
+            yield pa.RecordBatch.from_arrays([*batch.columns[:2], batch.column(5)], names=["a", "b", "n_b"]).filter(pa.array(near, pa.bool_()))
 
     one = lambda key, mark: sketches.select(F.col("v").alias(key), F.col("bits").alias(f"bits_{mark}"), F.col("n").alias(f"n_{mark}"))
     sized = pairs.join(one("a", "a"), "a").join(one("b", "b"), "b")
     fits = (F.least("n_a", "n_b") * bands.den >= F.greatest("n_a", "n_b") * bands.num)
-    return cut_table(sized.where(fits).select("a", "b", "bits_a", "n_a", "bits_b", "n_b").mapInArrow(thinned, "a bigint, b bigint"), "parity-possible")
+    return cut_table(sized.where(fits).select("a", "b", "bits_a", "n_a", "bits_b", "n_b").mapInArrow(thinned, "a bigint, b bigint, n_b bigint"), "parity-possible")
 
 
 def spanning(linked: np.ndarray, ids: np.ndarray) -> list[tuple[int, int]]:
@@ -345,11 +364,17 @@ def common_counts(sets: list[np.ndarray], columns: int = 4096) -> np.ndarray:
     return out.astype(np.int64)
 
 
+def _parts(sets: int, bytes_each: int) -> Column:
+    """Blocks that a group of rows (``n``: shingles) is cut into: of so many sets, and of
+    ``GROUP_BYTES`` together, at most."""
+    return F.ceil(F.greatest(F.count(F.lit(1)) / sets, F.sum("n") * bytes_each / GROUP_BYTES)).cast("int").alias("parts")
+
+
 def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     """Spanning edges (a, b) of the sets that share a key, differ in component and are not
     ruled out by sketches.  ``rows``: key, v, c.  A key's sets fall into blocks of at most
     ``BLOCK_SETS``; two blocks of a key meet in one place each."""
-    parts = rows.groupBy("key").agg(F.ceil(F.count(F.lit(1)) / BLOCK_SETS).cast("int").alias("parts"))
+    parts = rows.join(sketches.select("v", "n"), "v").groupBy("key").agg(_parts(BLOCK_SETS, 1))
     placed = rows.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("v"), "parts").cast("int"))
     meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("p"), F.greatest(o, F.col("own")).alias("q")))
     sent = placed.withColumn("pq", F.explode(meet)).select("key", "pq.p", "pq.q", "own", "v", "c").join(sketches, "v")
@@ -426,8 +451,8 @@ def _sets(docs: DataFrame, members: DataFrame, ends: DataFrame, words: int) -> D
 
 
 def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands, words: int) -> DataFrame:
-    """Those of the distinct pairs (a < b) of set ids that reach the threshold."""
-    salts = pairs.groupBy("a").agg(F.ceil(F.count(F.lit(1)) / PARTNERS).cast("int").alias("parts"))
+    """Those of the distinct pairs (a < b, n_b) of set ids that reach the threshold."""
+    salts = pairs.withColumnRenamed("n_b", "n").groupBy("a").agg(_parts(PARTNERS, 8))
     tasks = pairs.join(salts, "a").select("a", F.pmod(F.xxhash64("b"), F.col("parts")).cast("int").alias("part"), F.col("b").alias("v"))
     tasks = tasks.union(salts.select("a", F.explode(F.sequence(F.lit(0), F.col("parts") - 1)).alias("part"), F.col("a").alias("v")))
     ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
@@ -450,14 +475,14 @@ def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands,
     return cut_table(sent.groupBy("a", "part").applyInArrow(decided, "a bigint, b bigint"), "parity-links")
 
 
-def _linked_clusters(docs: DataFrame, members: DataFrame, edges: DataFrame, bands: Bands, words: int) -> DataFrame:
+def _linked_clusters(docs: DataFrame, members: DataFrame, edges: DataFrame, sketches: DataFrame, bands: Bands, words: int) -> DataFrame:
     """Spanning edges (a, b) of the links inside the clusters that ``edges`` connect.
 
     A cluster's sets fall into blocks of ``CLUSTER_SETS``; two blocks meet in one place."""
     labels = components(edges)
     roots = labels.select(F.col("root").alias("v"), "root").distinct()
     placed = cut_table(labels.union(roots), "parity-clusters")
-    parts = placed.groupBy("root").agg(F.ceil(F.count(F.lit(1)) / CLUSTER_SETS).cast("int").alias("parts"))
+    parts = placed.join(sketches.select("v", "n"), "v").groupBy("root").agg(_parts(CLUSTER_SETS, 8))
     own = placed.join(parts, "root").withColumn("own", F.pmod(F.xxhash64("v"), "parts").cast("int"))
     meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("p"), F.greatest(o, F.col("own")).alias("q")))
     tasks = own.withColumn("pq", F.explode(meet)).select("root", "pq.p", "pq.q", "v")
@@ -511,7 +536,7 @@ def jaccard_join(
     open_rows = labelled.join(open_keys, "key", "left_semi").select("key", "v", "c")
     near = cut_table(_crossing(open_rows, sketches, bands), "parity-near")
     if not near.isEmpty():
-        first = components(links.union(_linked_clusters(read, known, near, bands, words)))
+        first = components(links.union(_linked_clusters(read, known, near, sketches, bands, words)))
 
     labelled = members.join(first, "v", "left").select("id", "n", "v", F.coalesce("root", "v").alias("c"))
     smallest = cut_table(labelled.where("c is not null").groupBy("c").agg(F.min("id").alias("component_id")), "parity-smallest")

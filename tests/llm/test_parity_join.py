@@ -92,3 +92,30 @@ def test_components(spark):
     out = dict((r.v, r.root) for r in components(spark.createDataFrame(edges, "a long, b long")).collect())
     assert out == {i: 1 for i in range(2, 31)} | {51: 50, 52: 50, 71: 70}
     assert components(spark.createDataFrame([], "a long, b long")).count() == 0
+
+
+def test_sets_with_too_few_filled_words_meet_in_further_sketches(monkeypatch):
+    """With as few words as there can be, most sets fill too few in some sketch."""
+    class Tight(P.Bands):
+        def words(self, c):
+            k, n = super().words(c)
+            return k, k + 1 if n else 0
+
+    rng, sketch, several = np.random.default_rng(1), P.Sketcher(Tight()), 0
+    for size in (7, 13, 20, 33, 75):
+        for _ in range(40):
+            a = np.unique(rng.integers(1 << 63, size=size).astype(np.uint64))
+            gone = P.Bands().most_apart(2 * size) // 2
+            b = np.unique(np.concatenate([a[rng.permutation(size)[gone:]], rng.integers(1 << 63, size=gone).astype(np.uint64)]))
+            inter = len(np.intersect1d(a, b))
+            if 100 * inter >= 85 * (len(a) + len(b) - inter):
+                assert set(sketch.keys(a)) & set(sketch.keys(b)), size
+                several += len(sketch.keys(a)) > 2 * (Tight().words(Tight().band(size))[1])
+    assert several
+
+
+def test_groups_bounded_by_bytes(spark, monkeypatch):
+    """Blocks cut by bytes give the same groups."""
+    monkeypatch.setattr(P, "GROUP_BYTES", 2_000)
+    rows = corpus(7, 80)
+    assert got(spark, rows) == sorted(brute(rows), key=str)
