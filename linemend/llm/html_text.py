@@ -30,6 +30,7 @@ import re
 from collections import Counter
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from itertools import accumulate
 
 import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
@@ -62,6 +63,8 @@ APART_WORDS = frozenset(
 PLACE_WORDS = frozenset("site page global top bottom left right primary secondary area bar box block list item links buttons form section container wrapper inner".split())
 LASTING = frozenset(("comment", "comments", "commentlist", "disqus", "discussion", "reply", "replies", "respond"))
 ROOTS = frozenset(("html", "body", "article", "main"))
+#: A paragraph in a heading ends an open one around it, through so many headings.
+HEADINGS, NESTED_HEADINGS = frozenset(("h1", "h2", "h3", "h4", "h5", "h6")), 8
 NAME_OF, WORD_OF = re.compile(r"\S+"), re.compile(r"[a-z]+")
 #: Marks by class give way to the element with the best run if they leave less than this part of its score.
 LEFT_BESIDE = 0.25
@@ -128,8 +131,10 @@ def tokenise(source: str | None, wrappers: frozenset[int] | None = frozenset())
     by class, id and role."""
     page, at = Page(), 0
     source = source or ""
-    stack: list[tuple[str, int, bool, bool, int | None]] = []  # name, first token, apart, lasting, place if named apart
-    links = apart = 0
+    # name, first token, apart, lasting, place if named apart, index of the nearest block element (itself, if it is one)
+    stack: list[tuple[str, int, bool, bool, int | None, int]] = []
+    open_: Counter[str] = Counter()
+    links = apart = lasting_apart = 0
 
     def put(kind: str, size: int, text: str | None, block: bool) -> None:
         page.kind.append(kind)
@@ -144,10 +149,12 @@ def tokenise(source: str | None, wrappers: frozenset[int] | None = frozenset())
         put("w:apart" if apart else "w:a" if links else "w", n, text, False)
 
     def pop() -> None:
-        nonlocal links, apart
-        name, first, is_apart, lasting, place = stack.pop()
+        nonlocal links, apart, lasting_apart
+        name, first, is_apart, lasting, place, _ = stack.pop()
+        open_[name] -= 1
         links -= name == "a"
         apart -= is_apart
+        lasting_apart -= is_apart and lasting
         page.spans.append((name, first, len(page.kind)))
         if place is not None:
             page.named.append((place, lasting, first, len(page.kind)))
@@ -165,7 +172,7 @@ def tokenise(source: str | None, wrappers: frozenset[int] | None = frozenset())
             continue
         name, attrs = name.lower(), m.group("attrs") or m.group("attrs2") or ""
         if m.group("end") or m.group("end2"):
-            if any(x[0] == name for x in stack):
+            if open_[name]:
                 while stack[-1][0] != name:
                     pop()
                 put(name, 1, None, name not in INLINE)
@@ -174,21 +181,22 @@ def tokenise(source: str | None, wrappers: frozenset[int] | None = frozenset())
                 put(name, 1, None, name not in INLINE)
             continue
         is_apart, named, lasting = _is_apart(name, attrs)
-        if named and name == "article" and not lasting and not any(x[0] == "article" for x in stack):
+        if named and name == "article" and not lasting and not open_["article"]:
             is_apart = named = False
         if named and (wrappers is None or m.start() in wrappers):
             is_apart = False
-        if name in ("article", "main") and not is_apart and apart and not any(x[2] and x[3] for x in stack):
+        if name in ("article", "main") and not is_apart and apart and not lasting_apart:
             while apart:  # an unclosed part that is no article ends here
                 pop()
         if name in ("p", "li", "dt", "dd", "tr", "td", "th", "option"):  # ends an open one of its kind
-            for k in range(len(stack) - 1, -1, -1):
-                if stack[k][0] == name:
-                    while len(stack) > k:
-                        pop()
-                    break
-                if stack[k][0] not in INLINE and not (name == "p" and stack[k][0] in ("h1", "h2", "h3", "h4", "h5", "h6")):
+            at_block = stack[-1][5] if stack and open_[name] else -1
+            for _ in range(NESTED_HEADINGS):
+                if at_block < 0 or stack[at_block][0] == name or not (name == "p" and stack[at_block][0] in HEADINGS):
                     break
+                at_block = stack[at_block - 1][5] if at_block else -1
+            if at_block >= 0 and stack[at_block][0] == name:
+                while len(stack) > at_block:
+                    pop()
         if name in VOID or attrs.rstrip().endswith("/"):
             if name in ("br", "wbr", "img", "input"):
                 put(name, 1, " " if name == "br" else None, False)
@@ -196,9 +204,12 @@ def tokenise(source: str | None, wrappers: frozenset[int] | None = frozenset())
                 put(name, 1, None, name not in INLINE)
             continue
         put(name, 1, None, name not in INLINE)
-        stack.append((name, len(page.kind) - 1, is_apart, lasting, m.start() if named else None))
+        block = len(stack) if name not in INLINE else stack[-1][5] if stack else -1
+        stack.append((name, len(page.kind) - 1, is_apart, lasting, m.start() if named else None, block))
+        open_[name] += 1
         links += name == "a"
         apart += is_apart
+        lasting_apart += is_apart and lasting
         page.apart[-1] = apart > 0
     if at < len(source):
         words(source[at:])
@@ -244,10 +255,12 @@ def _wrappers(source: str, marked: float, scores: Callable[[Page], list[float]])
     first, last = best_run(found)
     if marked >= LEFT_BESIDE * sum(found[first:last]):
         return frozenset()
-    words = lambda a, b: sum(x for x in found[max(a, first) : min(b, last)] if x > 0)
+    up_to = [0.0, *accumulate(max(x, 0.0) for x in found)]
+    heads = [0, *accumulate(k in ("article", "main", "h1") for k in page.kind)]
+    words = lambda a, b: up_to[max(min(b, last), first)] - up_to[min(max(a, first), last)]
     out = set()
     for place, lasting, a, b in page.named:
-        headed = any(k in ("article", "main", "h1") for k in page.kind[a + 1 : b])
+        headed = heads[b] > heads[min(a + 1, b)]
         if headed and 2 * words(a, b) > words(first, last) or not lasting and a <= first and b >= last:
             out.add(place)
     return frozenset(out)

@@ -1,6 +1,8 @@
 import itertools
+import random
+import time
 
-from linemend.llm.html_text import best_run, extract, learn, main_text
+from linemend.llm.html_text import best_run, extract, learn, main_text, tokenise
 
 W = learn()
 BODY = "<h1>A title here</h1><p>First part of it, with <b>some</b> <a href=x>link</a> text.</p><p>Second part &amp; more &lt;p&gt; of\n the   story.</p>"
@@ -78,3 +80,41 @@ def test_compound_names_of_boilerplate_still_go():
             assert extract(page(f"<{wrap}>{BODY}{part}</{wrap}>"), W) == TEXT, name
     thread = "<div id=comments>" + "<p>I liked this story so very much indeed and say so</p>" * 40 + "</div>"
     assert extract(page(f"<div>{BODY}</div>", after=thread), W) == TEXT
+
+
+def test_names_around_the_story_do_not_empty_it():
+    story = "".join(f"<p>This is sentence number {i} of the story, which goes on for quite a while longer.</p>" for i in range(10))
+    want = extract(page(f"<article>{story}</article>"), W)
+    assert want.count("\n") == 9
+    for name in ("layout has-sidebar", "content no-sidebar", "story legal", "search-results", "main-banner", "widget", "content with-sidebar"):
+        assert extract(page(f'<div class="{name}">{story}</div>', before="<nav><a href=1>Home page</a></nav>", after="<footer>All rights</footer>"), W) == want, name
+    assert extract(page(f'<article class="post comments-open">{story}</article>'), W) == want
+
+
+def test_region_against_all_runs():
+    """On random pages, the words of the best of all contiguous runs are in the text, and
+    whatever else is in it stands in the same element as they do."""
+    rng, pieces = random.Random(11), ["<div>", "</div>", "<p>", "</p>", "<a href=x>", "</a>", "<b>", "</b>", "<nav>", "</nav>", "<br>"]
+    for _ in range(150):
+        parts = [rng.choice(pieces) if rng.random() < 0.5 else f" word{k} " for k in range(rng.randrange(4, 28))]
+        source = "".join(parts)
+        p = tokenise(source)
+        scores = [W.get(k, -1.0) * n for k, n in zip(p.kind, p.size)]
+        runs = [(sum(scores[i:j]), i, j) for i in range(len(scores)) for j in range(i + 1, len(scores) + 1)]
+        best = max(runs, key=lambda r: r[0], default=(0, 0, 0))
+        text = extract(source, W).split()
+        if best[0] > 0:
+            inside = [w for i in range(best[1], best[2]) if p.text[i] and not p.apart[i] for w in p.text[i].split()]
+            assert set(inside) <= set(text), source
+        assert set(text) <= {w for i, t in enumerate(p.text) if t and not p.apart[i] for w in t.split()}
+
+
+def test_time_grows_with_the_page_only():
+    """Unclosed and stray tags by the thousand, and a page of 5 MB."""
+    n = 60_000
+    bad = ["<p>x</p>" + "<b>" * n + "</i>" * n + "text", "<div class=ad>" * n + "word " * n, "<p><div>" + "<b>" * n + "<p></p>" * n + "text", "<h1>" * n + "<p>" * n, "<article><p>" + "many words " * 400_000]
+    for source in bad:
+        began = time.perf_counter()
+        extract(source, W)
+        assert time.perf_counter() - began < 20, source[:20]
+    assert len(extract(bad[-1], W).split()) == 800_000
