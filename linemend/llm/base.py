@@ -20,16 +20,35 @@ def once(key: tuple, build: Callable[[], Any]) -> Any:
     task.  ``key[0]`` names the operator: when another operator's object is built, the
     former ones go, so a worker never holds the caches of several operators."""
     if key not in _built:
-        if former := [k for k in _built if k[0] != key[0]]:
+        if former := [k for k in _built if k != "lean" and k[0] != key[0]]:
             for k in former:
                 del _built[k]
             give_back()
-        while len(_built) >= 4:
-            del _built[next(iter(_built))]
+        while len(_built) > 4:
+            del _built[next(k for k in _built if k != "lean")]
         _built[key] = build()
     return _built[key]
 
 
+def lean() -> None:
+    """Makes a Python worker hand freed memory back: Arrow buffers come from the C
+    library, which takes blocks above 256 KB from the system one by one and returns them
+    when they are freed.  Called first by functions that run on executors; once a process."""
+    if "lean" in _built:
+        return
+    import ctypes
+
+    import pyarrow as pa
+
+    pa.set_memory_pool(pa.system_memory_pool())
+    mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
+    if mallopt is not None:
+        trim_threshold, mmap_threshold = -1, -3
+        mallopt(mmap_threshold, 256 << 10)
+        mallopt(trim_threshold, 1 << 20)
+    _built["lean"] = True
+
+
 def give_back() -> None:
     """Returns freed memory to the system, where the C library can."""
     import ctypes

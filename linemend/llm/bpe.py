@@ -45,12 +45,12 @@ import regex
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import file_bytes, once, small_batches, table, tokenizer_file
+from linemend.llm.base import file_bytes, lean, once, small_batches, table, tokenizer_file
 
 # Fixed value: the pre-token pattern of byte-level BPE vocabularies of this family.
 WORDS = r"'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"
 #: Entries that a worker keeps of encoded words, and the longest word kept.
-WORD_CACHE, LONGEST_KEPT = 120_000, 48
+WORD_CACHE, LONGEST_KEPT, HEAD = 200_000, 48, 4
 BASE, NEVER = -1, 1 << 60
 ROWS_OUT = 256
 
@@ -158,11 +158,21 @@ class MergeAutomaton:
         self.labels = [table.labels[a:b] for a, b in zip([0, *table.ends], table.ends, strict=False)]
         self._place, self._row, self._starts, self._bounds = table.place, table.row, table.starts, table.bounds
         self._token = {x: t for t, x in enumerate(self.labels) if table.alive[t]}
-        lengths: dict[bytes, set[int]] = {}
+        heads: dict[bytes, set[int]] = {}
         for x in self._token:
-            lengths.setdefault(x[:2], set()).add(len(x))
-        #: lengths of the labels that begin with two bytes, ascending; one byte is a label of its own
-        self._lengths = {x: sorted(n | ({1} if x[:1] in self._token else set())) for x, n in lengths.items()}
+            heads.setdefault(x[:HEAD], set()).add(len(x))
+            for k in range(1, min(HEAD, len(x))):
+                heads.setdefault(x[:k], set())
+        #: By the bytes at a position, as many as some label begins with but at most HEAD: the
+        #: lengths of the labels that may stand there, longest first.
+        self._lengths = {x: tuple(sorted(n | {k for k in range(1, len(x) + 1) if x[:k] in self._token}, reverse=True)) for x, n in heads.items()}
+
+    def _at(self, word: bytes, at: int) -> tuple[int, ...]:
+        get = self._lengths.get
+        for k in range(HEAD, 0, -1):
+            if (found := get(word[at : at + k])) is not None:
+                return found
+        return ()
 
     def step(self, state: int, arc: int) -> bool:
         """Whether the state reached by token ``state`` has the arc ``arc``."""
@@ -170,39 +180,37 @@ class MergeAutomaton:
         low = starts[row]
         return not (bisect_right(self._bounds, self._place[arc], low, starts[row + 1]) - low) & 1
 
-    def _arcs(self, word: bytes, at: int) -> list[tuple[int, int]]:
-        """(end, token) of every arc whose label stands at a position, longest last."""
-        token, head = self._token, word[at : at + 2]
-        out = []
-        for n in self._lengths.get(head) or self._lengths.get(head[:1], ()):
-            if (t := token.get(word[at : at + n])) is not None and at + n <= len(word):
-                out.append((at + n, t))
-        return out
-
     def encode(self, word: bytes) -> list[int]:
         """The labels of the one accepted path that spells the word."""
-        n, dead, path = len(word), set(), []
-        if not n:
-            return []
-        open_ = [self._arcs(word, 0)]
-        while True:
-            arcs = open_[-1]
-            state = path[-1][1] if path else None
-            while arcs:
-                end, token = arcs.pop()
-                if end in dead or state is not None and not self.step(state, token):
+        token = self._token
+        if (whole := token.get(word)) is not None:  # an arc from the start that spells it all
+            return [whole]
+        n, at, state, tried, dead = len(word), 0, -1, 0, set()
+        place, row, starts, bounds, known = self._place, self._row, self._starts, self._bounds, self._lengths.get
+        path: list[int] = []
+        former: list[tuple[int, int, int]] = []  # where a path came from: position, state, lengths tried there
+        lengths = self._at(word, 0)
+        while at < n:
+            for tried in range(tried, len(lengths)):
+                end = at + lengths[tried]
+                if end > n or (t := token.get(word[at:end])) is None or end in dead:
                     continue
-                path.append((end, token))
+                if state >= 0:  # ``step``, in line
+                    low = starts[r := row[state]]
+                    if (bisect_right(bounds, place[t], low, starts[r + 1]) - low) & 1:
+                        continue
+                former.append((at, state, tried + 1))
+                path.append(t)
+                at, state, tried = end, t, 0
                 break
             else:
                 if not path:
                     raise ValueError("the vocabulary lacks a byte of the word")
-                dead.add(path.pop()[0])
-                open_.pop()
-                continue
-            if end == n:
-                return [t for _, t in path]
-            open_.append(self._arcs(word, end))
+                dead.add(at)
+                path.pop()
+                at, state, tried = former.pop()
+            lengths = known(word[at : at + HEAD]) or self._at(word, at)
+        return path
 
     def decode(self, ids: list[int]) -> bytes:
         get = self.labels.__getitem__
@@ -210,16 +218,20 @@ class MergeAutomaton:
 
 
 class _Words(dict):
-    """Encoded words as little-endian 32-bit ids; bounded."""
+    """Encoded words as little-endian 32-bit ids; bounded.  When it is full, its entries
+    stay for one more filling, so that frequent words are never encoded anew."""
 
     def __init__(self, automaton: MergeAutomaton):
         super().__init__()
-        self._automaton = automaton
+        self._automaton, self._former = automaton, {}
 
     def __missing__(self, word: str) -> bytes:
-        packed = b"".join(t.to_bytes(4, "little") for t in self._automaton.encode(word.encode()))
+        if (packed := self._former.get(word)) is None:
+            ids = self._automaton.encode(word.encode())
+            packed = ids[0].to_bytes(4, "little") if len(ids) == 1 else array("I", ids).tobytes()
         if len(word) <= LONGEST_KEPT:
             if len(self) >= WORD_CACHE:
+                self._former = dict(self)
                 self.clear()
             self[word] = packed
         return packed
@@ -306,6 +318,7 @@ def bpe_encode(
     schema = pa.schema(fields)
 
     def encoded(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         bpe = once(("bpe", "words", key[1]), lambda: ByteBPE(shared.value))
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS_OUT):

@@ -36,7 +36,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import table
+from linemend.llm.base import lean, table
 
 TOKEN = re.compile(
     r"""<!--.*?(?:-->|\Z)                                                    # comment
@@ -296,6 +296,7 @@ def main_text(pages: DataFrame, labelled: tuple[str, ...] = LABELLED, id_col: st
     weights = learn(labelled)
 
     def extracted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for whole in batches:
             for k in range(0, whole.num_rows, 512):
                 batch = whole.slice(k, 512)

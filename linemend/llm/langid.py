@@ -33,7 +33,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import hash_share, once, small_batches, table
+from linemend.llm.base import hash_share, lean, once, small_batches, table
 
 MAX_DOCS, DOC_WINDOWS, WINDOW, HIDDEN, EMBED = 2_000, 2_000, 32, 16, 12
 STEPS, BATCH, RATE, SEED = 1_200, 384, 0.01, 7
@@ -230,6 +230,7 @@ def train(docs: DataFrame, max_docs: int = MAX_DOCS, id_col: str = "doc_id", tex
     ids = hash_share(known.select("id"), F.col("id"), 4 * max_docs).distinct().orderBy(F.xxhash64("id"), "id").limit(max_docs)
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             found = [[w for run in letter_runs(t.as_py()) for w in windows(run)] for t in batch.column(2)]
             some = [[ws[i * len(ws) // DOC_WINDOWS] for i in range(DOC_WINDOWS)] if len(ws) > DOC_WINDOWS else ws for ws in found]
@@ -253,6 +254,7 @@ def predict(docs: DataFrame, net: BiGRU | None, id_col: str = "doc_id", text_col
     key = None if net is None else ("bigru", tuple(net.langs), zlib.crc32(b"".join(net.p[k].tobytes() for k in sorted(net.p))))
 
     def predicted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         reader = None if shared.value is None else once(key, lambda: Reader(*shared.value))
         for batch in batches:
             for k in range(0, batch.num_rows, 256):

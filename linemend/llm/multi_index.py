@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, table
+from linemend.llm.base import cut_table, lean, table
 from linemend.llm.vectors import bounded_sample, matrix, valid
 
 K_NEAREST, AIM, SAMPLE, OCCUPANCY, MOST_CENTROIDS, ROUNDS, SEED = 10, 0.96, 8192, 4, 128, 10, 5
@@ -129,6 +129,7 @@ def nearest(
     shared = spark.sparkContext.broadcast((left, right))
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         a, b = shared.value
         for whole in batches:
             for at in range(0, whole.num_rows, 2048):
@@ -142,6 +143,7 @@ def nearest(
     placed = spark.sparkContext.broadcast((counts, blocks_of(counts)))
 
     def walked(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         (a, b), (held, where) = shared.value, placed.value
         for batch in batches:
             for q, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):

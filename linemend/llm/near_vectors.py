@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, table
+from linemend.llm.base import cut_table, lean, table
 from linemend.llm.components import components
 from linemend.llm.vectors import matrix, valid
 
@@ -78,6 +78,7 @@ def near_vectors(
     vertices = cut_table(keyed.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times"), F.first("label").alias("label"), F.first("x").alias("x")), "near-vertices")
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for whole in batches:
             for k in range(0, whole.num_rows, 2048):
                 batch = whole.slice(k, 2048)

@@ -54,15 +54,15 @@ import xxhash
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, drop_table, once, small_batches, table
+from linemend.llm.base import cut_table, drop_table, lean, once, small_batches, table
 from linemend.llm.components import components
 
 WORDS, NUMERATOR, DENOMINATOR = 4, 85, 100
 RATIO = 1.5
 BLOCK_DOCS, BLOCK_BYTES, SLICE_WORDS, PARTNERS, BLOCK_SETS, CLUSTER_SETS = 512, 4 << 20, 2_000_000, 128, 512, 256
 #: Sketches that a set may need, and bytes of sets or bit sketches that meet in one group.
-SKETCHES, GROUP_BYTES = 8, 32 << 20
-WORD_CACHE, SEEN = 120_000, 100_000
+SKETCHES, GROUP_BYTES = 8, 6 << 20
+WORD_CACHE, SEEN = 60_000, 100_000
 FILTER_BITS = 26
 _M1, _M2 = np.uint64(0xFF51AFD7ED558CCD), np.uint64(0xC4CEB9FE1A85EC53)
 _S = np.uint64(33)
@@ -203,6 +203,7 @@ def _blocks(docs: DataFrame, bands: Bands, words: int) -> DataFrame:
     and the bit sketch of each set that has keys here."""
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         from pyspark import TaskContext
 
         task, count, sketch, seen = TaskContext.get().partitionId(), 0, Sketcher(bands), set()
@@ -261,6 +262,7 @@ def _shared_keys(blocks: DataFrame, slices: int) -> DataFrame:
     however many slices there are."""
 
     def sent(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             for block, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 both = np.unique(_sliced(np.frombuffer(raw, np.uint64), slices))
@@ -271,6 +273,7 @@ def _shared_keys(blocks: DataFrame, slices: int) -> DataFrame:
                 })
 
     def answered(rows: pa.Table) -> pa.Table:
+        lean()
         lists = [np.frombuffer(x, np.uint32) for x in rows.column("prints").to_pylist()]
         values, times = np.unique(np.concatenate(lists), return_counts=True)
         twice = values[times > 1]
@@ -283,6 +286,7 @@ def _shared_keys(blocks: DataFrame, slices: int) -> DataFrame:
         return pa.table({"block": rows.column("block"), "slice": rows.column("slice"), "bits": pa.array(bits, pa.binary())})
 
     def kept(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             for _, sets, n_keys, raw, answers in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 keys = np.frombuffer(raw, np.uint64)
@@ -320,6 +324,7 @@ def _possible(pairs: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     """Pairs (a < b) whose bit sketches do not rule them out, with the size of b."""
 
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             n = (batch.column(3).to_numpy() + batch.column(5).to_numpy()).tolist()
             near = [
@@ -400,6 +405,7 @@ def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
         return spanning(near | near.T, v) if near.any() else []
 
     def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         def groups() -> Iterator[list[tuple]]:
             now: list[tuple] = []
             for batch in batches:
@@ -432,12 +438,14 @@ def _sets(docs: DataFrame, members: DataFrame, ends: DataFrame, words: int) -> D
     schema = docs.schema
 
     def thinned(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         table_ = np.frombuffer(shared.value, np.uint32)
         for batch in batches:
             p = batch.column(2).to_numpy(zero_copy_only=False)
             yield pa.RecordBatch.from_arrays(batch.filter(pa.array((table_[p >> 5] >> (p & 31).astype(np.uint32)) & 1 == 1)).columns[:2], names=["id", "text"])
 
     def sets(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for whole in batches:
             for k in range(0, whole.num_rows, BLOCK_DOCS):
                 batch = whole.slice(k, BLOCK_DOCS)
@@ -458,6 +466,7 @@ def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands,
     ends = pairs.select(F.col("a").alias("v")).union(pairs.select(F.col("b").alias("v"))).distinct()
 
     def decided(rows: pa.Table) -> pa.Table:
+        lean()
         a = rows.column("a")[0].as_py()
         held = dict(zip(rows.column("v").to_pylist(), rows.column("s").to_pylist(), strict=True))
         first, out = np.frombuffer(held.pop(a, b""), np.uint64), []
@@ -488,6 +497,7 @@ def _linked_clusters(docs: DataFrame, members: DataFrame, edges: DataFrame, sket
     tasks = own.withColumn("pq", F.explode(meet)).select("root", "pq.p", "pq.q", "v")
 
     def decided(rows: pa.Table) -> pa.Table:
+        lean()
         ids = rows.column("v").to_numpy()
         found = [np.frombuffer(x, np.uint64) for x in rows.column("s").to_pylist()]
         size = np.array([len(x) for x in found])

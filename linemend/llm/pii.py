@@ -32,7 +32,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import small_batches, table
+from linemend.llm.base import lean, small_batches, table
 
 #: For tests and the driver's query; production passes a secret key of its own.
 DEMO_KEY = b"linemend demonstration key, replace me"
@@ -270,6 +270,7 @@ def pseudonymise(docs: DataFrame, key: bytes = DEMO_KEY, text_col: str = "text")
     at = docs.columns.index(text_col)
 
     def replaced(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         names = Pseudonyms(key)
         for whole in batches:
             for k in range(0, whole.num_rows, ROWS_OUT):
@@ -286,6 +287,7 @@ def pii_spans(docs: DataFrame, key: bytes = DEMO_KEY, id_col: str = "doc_id", te
     small_batches(docs.sparkSession)
 
     def found(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         names = Pseudonyms(key)
         kind = pa.list_(pa.struct([("kind", pa.string()), ("start", pa.int32()), ("end", pa.int32())]))
         for whole in batches:

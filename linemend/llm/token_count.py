@@ -25,7 +25,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import file_bytes, hash_share, once, table, tokenizer_file
+from linemend.llm.base import file_bytes, hash_share, lean, once, table, tokenizer_file
 
 LIMIT = 4096
 #: Documents sampled for tier one, its entries, and the most entries of both tiers in a worker.
@@ -107,6 +107,7 @@ def frequent_lengths(docs: DataFrame, model: bytes, sample_docs: int = SAMPLE_DO
     frequent pre-tokens to the driver, which adds them up: no text leaves its task."""
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         counts, seen, docs_left, bytes_left = once(("pieces", hashlib.sha256(model).hexdigest()), lambda: Counts(model)), Counter(), sample_docs, SAMPLE_BYTES
         for text in (t.as_py() or "" for batch in batches for t in batch.column(0)):
             seen.update(w for w in counts.find(" " + text.replace(GAP, " ")) if len(w) <= LONGEST_KEPT)
@@ -136,6 +137,7 @@ def token_counts(
     shared = spark.sparkContext.broadcast((data, frequent))
 
     def counted(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         import pyarrow.compute as pc
 
         counts = once(key, lambda: Counts(shared.value[0]).keep(unpack(shared.value[1])))

@@ -28,7 +28,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, drop_table, hash_share, once, small_batches, table
+from linemend.llm.base import cut_table, drop_table, hash_share, lean, once, small_batches, table
 
 BITS = 20
 MAX_ROWS, MAX_BYTES, EPOCHS = 12_000, 256 << 20, 16
@@ -117,6 +117,7 @@ def train(
     chosen = hash_share(known, F.col("id"), 4 * max_rows).groupBy("id").agg(F.max("y").alias("y")).orderBy(F.xxhash64("id"), "id").limit(max_rows)
 
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             x = [features(t.as_py()).tobytes() for t in batch.column(2)]
             yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["id", "y", "x"])
@@ -148,11 +149,13 @@ def toxicity(docs: DataFrame, weights: Weights, cut: float = CUT, id_col: str =
         return [score(t.as_py(), dense) for t in texts]
 
     def scored(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             s = of(batch.column(1))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(s, pa.float64()), pa.array([int(x >= cut) for x in s], pa.int32())], names=["doc_id", "score", "predicted"])
 
     def passed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
         for batch in batches:
             s = of(batch.column(batch.schema.get_field_index(text_col)))
             yield batch.filter(pa.array([x < cut for x in s], pa.bool_()))
