@@ -2,9 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
+from collections.abc import Callable, Iterator
 from typing import Any
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -38,8 +39,6 @@ def lean() -> None:
         return
     import ctypes
 
-    import pyarrow as pa
-
     pa.set_memory_pool(pa.system_memory_pool())
     mallopt = getattr(ctypes.CDLL(None), "mallopt", None)
     if mallopt is not None:
@@ -54,8 +53,6 @@ def give_back() -> None:
     import ctypes
     import gc
 
-    import pyarrow as pa
-
     gc.collect()
     pa.default_memory_pool().release_unused()
     trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
@@ -77,6 +74,25 @@ def file_bytes(path: str) -> bytes:
         return f.read()
 
 
+def sorted_groups(batches: Iterator[pa.RecordBatch], keys: int) -> Iterator[tuple[pa.Table, list[int]]]:
+    """Whole groups of rows sorted by their first ``keys`` columns, some at a time: a table
+    and the bounds of its groups.  The last group of a batch waits for the next batch."""
+    import numpy as np
+
+    rest: pa.Table | None = None
+    for batch in batches:
+        now = pa.Table.from_batches([batch])
+        now = now if rest is None else pa.concat_tables([rest, now])
+        columns = [now.column(i).to_numpy() for i in range(keys)]
+        cuts = np.flatnonzero(np.any([c[1:] != c[:-1] for c in columns], axis=0)) + 1 if now.num_rows > 1 else []
+        if len(cuts):
+            yield now.slice(0, cuts[-1]).combine_chunks(), [0, *(int(c) for c in cuts)]
+            now = now.slice(cuts[-1])
+        rest = now
+    if rest is not None and rest.num_rows:
+        yield rest.combine_chunks(), [0, rest.num_rows]
+
+
 #: Arrow batches of long texts: bytes and rows, held by the JVM and the worker at once.
 BATCH_BYTES, BATCH_ROWS = 2 << 20, 500
 

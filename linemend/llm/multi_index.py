@@ -35,7 +35,7 @@ from pyspark.sql import functions as F
 from linemend.llm.base import cut_table, lean, table
 from linemend.llm.vectors import bounded_sample, matrix, valid
 
-K_NEAREST, AIM, SAMPLE, OCCUPANCY, MOST_CENTROIDS, ROUNDS, SEED = 10, 0.96, 8192, 4, 128, 10, 5
+K_NEAREST, AIM, SAMPLE, OCCUPANCY, MOST_CENTROIDS, ROUNDS, SEED = 10, 0.96, 8192, 4, 512, 10, 5
 TRIALS = 256
 PART_ROWS, PART_QUERIES = 4096, 1024
 
@@ -125,7 +125,7 @@ def nearest(
     right = kmeans(points[:, half:], many) if dim > 1 else np.zeros((1, dim - half))
     if share is None:
         share = calibrated_share(points, left, right, k, aim)
-    width, wanted = len(right), max(k + 1, share * rows_held)
+    width, wanted = len(right), share * rows_held
     shared = spark.sparkContext.broadcast((left, right))
 
     def indexed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -146,7 +146,7 @@ def nearest(
         lean()
         (a, b), (held, where) = shared.value, placed.value
         for batch in batches:
-            for q, raw in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
+            for q, raw, own in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 x = np.frombuffer(raw, np.float64)[None]
                 got, passed = 0, {}
                 for i, j in cells_in_order(distances(x[:, :half], a)[0], distances(x[:, half:], b)[0]):
@@ -155,24 +155,29 @@ def nearest(
                         for part in range(parts):
                             passed.setdefault((block, part), []).append(i * width + j)
                         got += n
-                        if got > wanted:
+                        if got >= max(k + own, wanted):  # its own rows are no candidates
                             break
-                yield pa.RecordBatch.from_pydict({
-                    "block": pa.array([x for x, _ in passed], pa.int32()), "part": pa.array([x for _, x in passed], pa.int32()), "asker": pa.array([q] * len(passed), pa.int64()),
-                    "qx": pa.array([raw] * len(passed), pa.binary()), "cells": pa.array([np.array(c, np.int32).tobytes() for c in passed.values()], pa.binary()),
-                })
+                places = list(passed)
+                for at in range(0, len(places), 256):
+                    some = places[at : at + 256]
+                    yield pa.RecordBatch.from_pydict({
+                        "block": pa.array([x for x, _ in some], pa.int32()), "part": pa.array([x for _, x in some], pa.int32()), "asker": pa.array([q] * len(some), pa.int64()),
+                        "qx": pa.array([raw] * len(some), pa.binary()), "cells": pa.array([np.array(passed[x], np.int32).tobytes() for x in some], pa.binary()),
+                    })
 
     plan = spark.createDataFrame([(c, b, p) for c, (b, p) in blocks_of(counts).items()], "cell int, block int, parts int")
-    asked = index.where("asks").select("id", "x").dropDuplicates(["id", "x"])
+    own = index.join(index.where("asks").select("id").distinct(), "id", "left_semi").groupBy("id").agg(F.count(F.lit(1)).alias("own"))
+    parallel = int(spark.conf.get("spark.sql.shuffle.partitions"))
+    asked = index.where("asks").select("id", "x").dropDuplicates(["id", "x"]).join(own, "id").repartition(parallel, "id").select("id", "x", "own")
     visits = cut_table(asked.mapInArrow(walked, "block int, part int, asker bigint, qx binary, cells binary"), "multi-visits")
     q_parts = visits.groupBy("block", "part").agg(F.ceil(F.count(F.lit(1)) / PART_QUERIES).cast("int").alias("q_parts"))
-    # plan: a row for each cell; q_parts: a row for each block at most
+    # plan: a row for each cell, MOST_CENTROIDS squared at most
     rows = (
         index.join(F.broadcast(plan), "cell").withColumn("part", F.pmod(F.xxhash64("id"), "parts").cast("int"))
-        .join(F.broadcast(q_parts), ["block", "part"])
+        .join(q_parts, ["block", "part"])
         .select("block", "part", F.explode(F.sequence(F.lit(0), F.col("q_parts") - 1)).alias("q_part"), "cell", "id", "x")
     )
-    queries = visits.join(F.broadcast(q_parts), ["block", "part"]).select("block", "part", F.pmod(F.xxhash64("asker"), "q_parts").cast("int").alias("q_part"), "asker", "qx", "cells")
+    queries = visits.join(q_parts, ["block", "part"]).select("block", "part", F.pmod(F.xxhash64("asker"), "q_parts").cast("int").alias("q_part"), "asker", "qx", "cells")
 
     def ranked(theirs: pa.Table, asking: pa.Table) -> pa.Table:
         out: dict[str, list] = {"query_id": [], "vec_id": [], "score": []}

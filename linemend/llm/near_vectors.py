@@ -7,12 +7,14 @@ precision, as matrix products.  With the defaults a pair at the threshold
 distance shares no bucket of any table with probability about 0.002, closer pairs
 with much less.
 
-Equal vectors of a label are one vertex with a multiplicity.  Buckets with one
-vertex send nothing.  A vertex carries its T bucket codes, so a pair that meets in
-several tables is counted in the first only; links are added up in the bucket and
-leave it as one row for each vertex (its count, and a smaller vertex of its part of
-the bucket), never as pairs.  Buckets above ``BLOCK`` vertices fall into blocks,
-compared two at a time in separate tasks.
+Equal vectors of a label are one vertex with a multiplicity, named by a hash of its
+content that is drawn anew should two contents share one.  Buckets with one vertex send
+nothing.  A vertex carries its T bucket codes, so a pair that meets in several tables is
+counted in the first only; links are added up in the bucket and leave it as one row for
+each vertex (its count, and a smaller vertex of its part of the bucket), never as pairs.
+Buckets above ``BLOCK`` vertices fall into blocks, compared two at a time.  Buckets come
+to a task one after the other in sorted batches, so that a small one costs no more than
+its few products; the earlier tables of a pair are looked up for linked pairs only.
 
 Results: one row per input row.  Rows whose vector is null, empty, zero or holds null
 or non-finite components, or whose label is null, link with nothing and are their own
@@ -31,12 +33,14 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from linemend.llm.base import cut_table, lean, table
+from linemend.llm.base import cut_table, lean, sorted_groups, table
 from linemend.llm.components import components
 from linemend.llm.vectors import matrix, valid
 
 COSINE, TABLES, PROJECTIONS, WIDTH, SEED = 0.93, 32, 8, 1.5, 11
-BLOCK = 1024
+BLOCK, PAIRS = 1024, 100_000
+#: What names a group of vertices that are compared with each other.
+KEYS = ("label", "dim", "t", "bucket", "p", "q")
 
 
 def planes(dim: int, tables: int, projections: int, width: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
@@ -66,6 +70,27 @@ def _smallest_mates(linked: np.ndarray, ids: np.ndarray) -> np.ndarray:
         best = new
 
 
+def _links(ids: np.ndarray, times: np.ndarray, units: list[bytes], codes_: list[bytes], t: int, part: np.ndarray | None, cosine: float) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(v, links, smallest mate) of the vertices of a bucket that have any, in table ``t``.
+    ``part``: the block of each vertex, where two blocks meet."""
+    unit = np.frombuffer(b"".join(units), np.float64).reshape(len(ids), -1)
+    linked = (unit @ unit.T >= cosine) & (ids[:, None] != ids[None, :])
+    if part is not None:
+        linked &= part[:, None] != part[None, :]
+    if not linked.any():
+        return ids[:0], ids[:0], ids[:0]
+    mates, n = _smallest_mates(linked, ids), np.zeros(len(ids), np.int64)
+    left, right = np.nonzero(np.triu(linked))
+    code = np.frombuffer(b"".join(codes_), np.uint32).reshape(len(ids), -1)[:, :t]
+    for k in range(0, len(left), PAIRS):
+        i, j = left[k : k + PAIRS], right[k : k + PAIRS]
+        fresh = ~(code[i] == code[j]).any(axis=1)  # met in no earlier table
+        np.add.at(n, i[fresh], times[j[fresh]])
+        np.add.at(n, j[fresh], times[i[fresh]])
+    some = (n > 0) | (mates != ids)
+    return ids[some], n[some], mates[some]
+
+
 def near_vectors(
     vectors: DataFrame, cosine: float = COSINE, tables: int = TABLES, projections: int = PROJECTIONS, width: float = WIDTH, seed: int = SEED,
     id_col: str = "vec_id", vector_col: str = "embedding", label_col: str = "label",
@@ -73,9 +98,13 @@ def near_vectors(
     """Per row: vec_id, n_links, component_id, kept.  See the module for edge cases."""
     read = vectors.select(F.col(id_col).cast("long").alias("id"), F.col(vector_col).cast("array<double>").alias("x"), F.col(label_col).cast("long").alias("label"))
     good = read.where(valid(F.col("x")) & F.col("label").isNotNull() & F.col("id").isNotNull())
-    # equal vectors of a label: one vertex, named by a 64-bit hash of its content
-    keyed = good.select("id", "label", "x", F.xxhash64("label", "x").alias("v"))
-    vertices = cut_table(keyed.groupBy("v").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times"), F.first("label").alias("label"), F.first("x").alias("x")), "near-vertices")
+    # equal vectors of a label: one vertex
+    contents = cut_table(good.groupBy("label", "x").agg(F.min("id").alias("id"), F.count(F.lit(1)).alias("times")), "near-vertices")
+    draw, total = 0, contents.count()
+    name = lambda: F.xxhash64("label", "x", F.lit(draw))
+    while contents.select(name().alias("v")).distinct().count() < total:  # two contents share a name
+        draw += 1
+    keyed, vertices = good.select("id", name().alias("v")), contents.withColumn("v", name())
 
     def hashed(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
@@ -110,26 +139,19 @@ def near_vectors(
     placed = met.withColumn("pq", F.explode(pairs)).select("v", "label", "dim", "t", "bucket", F.col("pq.p").alias("p"), F.col("pq.q").alias("q"), "own")
     sent = placed.join(signed.select("v", "times", "unit", "codes"), "v")
 
-    def compared(rows: pa.Table) -> pa.Table:
-        t, p, q = (rows.column(c)[0].as_py() for c in ("t", "p", "q"))
-        ids, times = rows.column("v").to_numpy(), rows.column("times").to_numpy()
-        part = rows.column("own").to_numpy()
-        code = np.frombuffer(b"".join(rows.column("codes").to_pylist()), np.uint32).reshape(len(ids), -1)
-        unit = np.frombuffer(b"".join(rows.column("unit").to_pylist()), np.float64).reshape(len(ids), -1)
-        linked = (unit @ unit.T >= cosine) & (ids[:, None] != ids[None, :])
-        if p != q:
-            linked &= part[:, None] != part[None, :]
-        mates = _smallest_mates(linked, ids)
-        fresh = linked
-        for earlier in range(t):
-            if not fresh.any():
-                break
-            fresh = fresh & (code[:, earlier, None] != code[None, :, earlier])
-        n = (fresh * times[None, :]).sum(axis=1)
-        some = (n > 0) | (mates != ids)
-        return pa.table({"v": ids[some], "n": n[some].astype(np.int64), "mate": mates[some]})
-
-    found = cut_table(sent.groupBy("label", "dim", "t", "bucket", "p", "q").applyInArrow(compared, "v bigint, n bigint, mate bigint"), "near-found")
+    def compared(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        lean()
+        for chunk, bounds in sorted_groups(batches, len(KEYS)):
+            t, p, q, part, ids, times = (chunk.column(c).to_numpy() for c in ("t", "p", "q", "own", "v", "times"))
+            codes_, units = chunk.column("codes").to_pylist(), chunk.column("unit").to_pylist()
+            found = [
+                _links(ids[a:b], times[a:b], units[a:b], codes_[a:b], int(t[a]), part[a:b] if p[a] != q[a] else None, cosine)
+                for a, b in zip(bounds, bounds[1:], strict=False)
+            ]
+            yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(x), pa.int64()) for x in zip(*found, strict=True)], names=["v", "n", "mate"])
+
+    ordered = sent.select(*KEYS, "own", "v", "times", "unit", "codes").repartition(*KEYS).sortWithinPartitions(*KEYS)
+    found = cut_table(ordered.mapInArrow(compared, "v bigint, n bigint, mate bigint"), "near-found")
     roots = components(found.where("v <> mate").select(F.col("v").alias("a"), F.col("mate").alias("b")).distinct())
     counts = found.groupBy("v").agg(F.sum("n").alias("n"))
     grouped = vertices.select("v", "id", "times").join(roots, "v", "left").withColumn("c", F.coalesce("root", "v"))

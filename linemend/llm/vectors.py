@@ -7,6 +7,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from linemend.llm.base import hash_share
+
 
 def valid(vector: Column) -> Column:
     """Not null, not empty, every component a finite number, not all zero."""
@@ -25,7 +27,7 @@ def matrix(lists: pa.Array | pa.ChunkedArray) -> list[np.ndarray]:
 
 def bounded_sample(df: DataFrame, id_col: str, vector_col: str, rows: int) -> np.ndarray:
     """At most ``rows`` vectors of the commonest length, chosen by a hash of the id."""
-    chosen = df.select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.col(vector_col).cast("array<double>").alias("v")).orderBy("h", "i").limit(rows).select("v").toArrow()
+    chosen = hash_share(df, F.col(id_col), 4 * rows).select(F.xxhash64(id_col).alias("h"), F.col(id_col).alias("i"), F.col(vector_col).cast("array<double>").alias("v")).orderBy("h", "i").limit(rows).select("v").toArrow()
     found = matrix(chosen.column("v")) if chosen.num_rows else []
     if not found:
         return np.zeros((0, 0))

@@ -132,3 +132,28 @@ def test_cells_in_order():
     a, b = rng.random(7), rng.random(5)
     sums = [a[i] + b[j] for i, j in M.cells_in_order(a, b)]
     assert sums == sorted(sums) and len(set(M.cells_in_order(a, b))) == 35
+
+
+def test_search_recall_on_embeddings(spark):
+    """The given vectors, which have hardly any structure."""
+    df = spark.read.parquet("/root/testdata/sf0.01/embeddings.parquet")
+    rows = [(r.vec_id, r.embedding, r.label) for r in df.collect()]
+    found = {(r.query_id, r.vec_id) for r in M.op2_multi_index_search(spark, "/root/testdata/sf0.01").collect()}
+    want = {(q, i) for q, _, i in search_brute(rows, 100)}
+    assert len(want) >= 50 and len(found & want) >= 0.9 * len(want)
+
+
+def test_a_query_id_that_repeats_finds_others(spark):
+    """Its own rows, nearest of all, are no candidates and do not fill the search."""
+    rows = [(100, [1.0, 0.0, 0.0, float(i) / 1000], 1) for i in range(40)] + [(i, [0.0, 1.0, float(i), 1.0], 1) for i in range(1, 30)]
+    out = search(spark, rows, share=0.0)
+    assert len([r for r in out if r.query_id == 100]) >= 10 and all(r.vec_id != 100 for r in out)
+
+
+def test_near_negative_zero_and_many_small_buckets(spark):
+    rng = np.random.default_rng(9)
+    rows = [(1, [0.0, 1.0, 0.0], 1), (2, [-0.0, 1.0, 0.0], 1), (3, [0.0, 2.0, -0.0], 1)]
+    rows += [(100 + 2 * i + j, (x + j * 1e-3).tolist(), 2) for i, x in enumerate(rng.normal(size=(300, 3))) for j in (0, 1)]
+    got, want = near(spark, rows), near_brute(rows)[0]
+    assert [g for g in got if g[0] < 10] == [(1, 2, 1), (2, 2, 1), (3, 2, 1)]
+    assert sum(g[1] for g in got) >= 0.99 * sum(w[1] for w in want) and all(g[1] <= w[1] for g, w in zip(got, want))
