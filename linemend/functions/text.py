@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+import re
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -115,3 +117,14 @@ def apply_rules(text: Column, rules: list[tuple[str, str]]) -> Column:
 def times_before(text: Column) -> Column:
     """``730 Uhr`` as ``7.30 Uhr``."""
     return F.regexp_replace(text, r"(?<!\d)(1[0-2]|[1-9])([0-5]\d)(?= Uhr)", "$1.$2")
+
+
+def without_breaks(text: Column, mark: str) -> Column:
+    """Joined text whose breaks still show as ``mark`` (``"¬ "``): each goes, or becomes a
+    space or a dash by what follows; ``-XXX`` stands for a dash before ``und``."""
+    one = re.escape(mark)
+    follow = lambda words: f"{one}(?=(?:{'|'.join(map(re.escape, words))}))"
+    out = F.regexp_replace(text, follow(SPACE_WORDS), " ")
+    out = F.regexp_replace(out, f"{one}(?=\\p{{Lu}})", "-")
+    out = F.regexp_replace(out, f"{one}(?=und)", "-XXX")
+    return F.regexp_replace(F.regexp_replace(out, follow(STREET_WORDS), "-"), one, "")

@@ -19,11 +19,11 @@ LONG = 2
 
 
 def interior_tokens(lines: DataFrame) -> DataFrame:
-    """(file, para, pos, n_lines, k, raw, w, prev_w, next_w): interior tokens with the interior
-    tokens beside them.  One generator, no shuffle."""
+    """(file, para, pos, n_lines, k, raw, w, prev_w, next_w, next2_w): interior tokens with the
+    interior tokens beside them.  One generator, no shuffle."""
     cleaned = F.transform(interior(F.col("toks")), lambda t: F.struct(t.alias("raw"), strip_token(t).alias("w")))
     rows = lines.select("file", "para", "pos", "n_lines", cleaned.alias("x")).select("file", "para", "pos", "n_lines", "x", F.posexplode("x").alias("k", "t"))
-    return rows.select("file", "para", "pos", "n_lines", F.col("k").cast("long").alias("k"), "t.raw", "t.w", F.when(F.col("k") > 0, F.try_element_at("x", F.greatest("k", F.lit(1)))["w"]).alias("prev_w"), F.try_element_at("x", F.col("k") + 2)["w"].alias("next_w"))
+    return rows.select("file", "para", "pos", "n_lines", F.col("k").cast("long").alias("k"), "t.raw", "t.w", F.when(F.col("k") > 0, F.try_element_at("x", F.greatest("k", F.lit(1)))["w"]).alias("prev_w"), F.try_element_at("x", F.col("k") + 2)["w"].alias("next_w"), F.try_element_at("x", F.col("k") + 3)["w"].alias("next2_w"))
 
 
 def _long(what: Column) -> Column:

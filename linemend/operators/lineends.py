@@ -38,6 +38,32 @@ def final_variants(words: DataFrame, uni: DataFrame, min_count: int) -> DataFram
     return probe.join(known.where(F.col("ord").isNotNull()), "stem").where(F.right("cand", F.lit(1)) != F.col("own")).select("w", "cand", "n", "ord")
 
 
+def confusions(spec: str) -> dict[str, str]:
+    """Candidate letters of each observed one, from ``all``, a set of letters (each for
+    each other) or ``x:ab,y:c``."""
+    spec = spec.strip()
+    if spec == "all":
+        return {ch: C.ALPHABET.replace(ch, "") for ch in C.ALPHABET}
+    if ":" not in spec:
+        if not spec:
+            raise ValueError("no letters given")
+        return {ch: "".join(x for x in dict.fromkeys(spec) if x != ch) for ch in spec}
+    out = {}
+    for part in filter(None, map(str.strip, spec.split(","))):
+        own, _, others = (x.strip() for x in part.partition(":"))
+        if len(own) != 1 or not others:
+            raise ValueError(f"expected x:abc, got {part!r}")
+        out[own] = others.replace(own, "")
+    return out
+
+
+def confused(variants: DataFrame, spec: str) -> DataFrame:
+    """Variants whose last letter may be misread so: a literal map, no join."""
+    allowed = confusions(spec)
+    table = F.create_map(*[F.lit(x) for pair in allowed.items() for x in pair])
+    return variants.where(F.coalesce(table[F.lower(F.right("w", F.lit(1)))], F.lit("")).contains(F.right("cand", F.lit(1))))
+
+
 def token_verdicts(tally: DataFrame, uni: DataFrame, min_count: int = C.TOKEN_MIN_COUNT, ratio: float = C.TOKEN_RATIO, report_ambiguous: bool = False) -> DataFrame:
     """(w, seen, observed_count, best, best_count, runner_up, runner_count, verdict, reason)."""
     ranked = final_variants(tally, uni, min_count).groupBy("w").agg(F.slice(F.array_sort(F.collect_list(F.struct((-F.col("n")).alias("neg"), "ord", "cand", "n"))), 1, 2).alias("top"))
@@ -225,15 +251,28 @@ def break_margins(occ: DataFrame, uni: DataFrame, big: DataFrame, total: DataFra
     before, after = tokens(body), tokens(F.col("next_line"))
     head = F.when(F.size(before) > 1, strip_token(F.try_element_at(before, F.lit(-2))))
     tail = F.when(F.size(after) > 1, strip_token(F.try_element_at(after, F.lit(2))))
-    df = occ.withColumn("h", F.when(head != "", head)).withColumn("t", F.when(tail != "", tail)).withColumn("both", F.concat("left", "right"))
+    rows = occ.withColumn("h", F.when(head != "", head)).withColumn("t", F.when(tail != "", tail))
+    return margins(rows, uni, big, total).select("file", "para", "pos", "left", "right", "hyphenated", "margin")
+
+
+def margins(rows: DataFrame, uni: DataFrame, big: DataFrame, total: DataFrame) -> DataFrame:
+    """Adds ``margin`` to rows of (left, right, h, t): log odds of one word against two
+    between a word before and one after (null: unknown).
+
+    A window of one word is the widest that matters in a bigram model: what stands
+    further off is the same under both readings.  Counts are looked up once for each
+    distinct row of words, however often it occurs, so a frequent word is no hot key."""
+    words = rows.select("left", "right", "h", "t").distinct().withColumn("both", F.concat("left", "right"))
     df = with_counts(
-        df, uni, big, {"c_h": "h", "c_left": "left", "c_right": "right", "c_both": "both", "c_t": "t"},
+        words, uni, big, {"c_h": "h", "c_left": "left", "c_right": "right", "c_both": "both", "c_t": "t"},
         {"b_h_both": ("h", "both"), "b_both_t": ("both", "t"), "b_h_left": ("h", "left"), "b_pair": ("left", "right"), "b_right_t": ("right", "t")},
     ).crossJoin(F.broadcast(total))
     v, n, c = F.col("v"), F.col("n"), F.col
     joined = logp(c("c_h"), c("b_h_both"), c("c_both"), v, n) + F.when(c("t").isNotNull(), logp(c("c_both"), c("b_both_t"), c("c_t"), v, n)).otherwise(F.lit(0.0))
     apart = logp(c("c_h"), c("b_h_left"), c("c_left"), v, n) + logp(c("c_left"), c("b_pair"), c("c_right"), v, n) + F.when(c("t").isNotNull(), logp(c("c_right"), c("b_right_t"), c("c_t"), v, n)).otherwise(F.lit(0.0))
-    return df.withColumn("margin", joined - apart).select("file", "para", "pos", "left", "right", "hyphenated", "margin")
+    known = df.select(F.col("left").alias("_l"), F.col("right").alias("_r"), F.col("h").alias("_h"), F.col("t").alias("_t"), (joined - apart).alias("margin"))
+    same = (F.col("left") == F.col("_l")) & (F.col("right") == F.col("_r")) & F.col("h").eqNullSafe(F.col("_h")) & F.col("t").eqNullSafe(F.col("_t"))
+    return rows.join(known, same).drop("_l", "_r", "_h", "_t")
 
 
 def top_by(df: DataFrame, keys: list[str], order: list[Column], k: int) -> DataFrame:
@@ -250,12 +289,19 @@ def gold_from_interior(tokens_inside: DataFrame, uni: DataFrame) -> DataFrame:
     return inside.join(others.union(own), "w")
 
 
-def evaluated(gold: DataFrame, uni: DataFrame, big: DataFrame, total: DataFrame) -> DataFrame:
-    """(w, n, correct, majority): per true word, how often the model and the commonest
-    reading pick it."""
+def answered(gold: DataFrame, uni: DataFrame, big: DataFrame, total: DataFrame) -> DataFrame:
+    """(w, members, best, common) of each gold occurrence: its candidates as one text, the
+    model's choice and the commonest word."""
     df = with_counts(gold, uni, big, {"c_prev": "prev_w", "c_cand": "cand", "c_next": "next_w"}, {"b_before": ("prev_w", "cand"), "b_after": ("cand", "next_w")}).crossJoin(F.broadcast(total))
     v, n = F.col("v"), F.col("n")
     value = logp(F.col("c_prev"), F.col("b_before"), F.col("c_cand"), v, n) + logp(F.col("c_cand"), F.col("b_after"), F.col("c_next"), v, n)
     scored_ = df.select("file", "para", "pos", "k", "w", "cand", "ord", F.round(value, 9).alias("value"), "c_cand")
-    best = scored_.groupBy("file", "para", "pos", "k", "w").agg(F.max_by("cand", F.struct("value", -F.col("ord"))).alias("best"), F.max_by("cand", F.struct("c_cand", -F.col("ord"))).alias("common"))
-    return best.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("best") == F.col("w"), 1)).alias("correct"), F.count(F.when(F.col("common") == F.col("w"), 1)).alias("majority"))
+    return scored_.groupBy("file", "para", "pos", "k", "w").agg(
+        F.max_by("cand", F.struct("value", -F.col("ord"))).alias("best"), F.max_by("cand", F.struct("c_cand", -F.col("ord"))).alias("common"), F.array_join(F.array_sort(F.collect_set("cand")), "/").alias("members")
+    )
+
+
+def evaluated(answers: DataFrame) -> DataFrame:
+    """(w, n, correct, majority): per true word, how often the model and the commonest
+    reading pick it."""
+    return answers.groupBy("w").agg(F.count(F.lit(1)).alias("n"), F.count(F.when(F.col("best") == F.col("w"), 1)).alias("correct"), F.count(F.when(F.col("common") == F.col("w"), 1)).alias("majority"))

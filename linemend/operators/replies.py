@@ -20,15 +20,15 @@ def reply_object(reply: Column) -> Column:
     return F.regexp_extract(F.regexp_replace(reply, r"(?s)<think>.*?</think>", ""), r"(?s)\{.*?\}", 0)
 
 
-def form_answers(replies: DataFrame, reply: str = "reply") -> DataFrame:
-    """(reply, form, reason).  Labels that spell alike (``period/split``) count as the
+def form_answers(replies: DataFrame, reply: str = "reply", carry: tuple[str, ...] = ()) -> DataFrame:
+    """(reply, form, reason), and the columns ``carry``.  Labels that spell alike (``period/split``) count as the
     last; unknown forms as skip; an unreadable reply has no form and says so."""
     parsed = F.from_json(reply_object(F.col(reply)), "form string, reason string", {"mode": "PERMISSIVE"})
     named = F.element_at(F.split(F.lower(F.col("p.form")), "/"), -1)
     known = named.isin("join", "hyphen", "period", "comma", "split", "skip")
     broken = F.col("p.form").isNull()
     return replies.withColumn("p", parsed).select(
-        F.col(reply).alias("reply"), F.when(broken, None).when(known, named).otherwise("skip").alias("form"),
+        *carry, F.col(reply).alias("reply"), F.when(broken, None).when(known, named).otherwise("skip").alias("form"),
         F.when(broken, F.concat(F.lit("unparseable reply: "), F.left(F.col(reply), F.lit(REASON_LENGTH)))).otherwise(F.left(F.col("p.reason"), F.lit(REASON_LENGTH))).alias("reason"),
     )
 

@@ -24,3 +24,12 @@ def outdated_markers(markers: DataFrame, steps: DataFrame, name: str) -> DataFra
 
 def step_table(spark: SparkSession, rows: list[tuple[int, str, str | None, bool]]) -> DataFrame:
     return spark.createDataFrame(rows, STEPS)
+
+
+def document_links(files: DataFrame, ids: DataFrame, base: str) -> DataFrame:
+    """(file, page, link) by the date in a file's name; null without a known date.
+    ``ids``: (day, id), a row an issue, days with ``-`` or ``/`` or neither."""
+    known = ids.select(F.regexp_replace("day", "[-/]", "").alias("_d"), F.col("id").alias("_id"))
+    page = F.when(F.col("page").isNotNull(), F.concat(F.lit("/page/"), F.col("page").cast("string"))).otherwise("")
+    rows = files.withColumn("_d", F.regexp_extract("file", r"(\d{8})", 1)).join(known, "_d", "left")
+    return rows.select("file", "page", F.when(F.col("_id").isNotNull(), F.concat(F.lit(base), "_id", page)).alias("link"))

@@ -147,6 +147,10 @@ class Corpus:
     def scored(self) -> DataFrame:
         return self.held(E.scored(E.ambiguous(self.finals, self.uni), self.uni, self.big, self.totals, self.channel))
 
+    @cached_property
+    def answers(self) -> DataFrame:
+        return E.answered(E.gold_from_interior(L.interior_tokens(self.lines), self.uni), self.uni, self.big, self.totals)
+
     @cached_property
     def marks(self) -> DataFrame:
         return K.break_marks(self.lines, self.verdicts)
@@ -349,19 +353,6 @@ def verdict_reasons(c: Corpus) -> DataFrame:
     return c.verdicts.groupBy("verdict", "reason").agg(count("pairs"), F.sum("affected").alias("affected"))
 
 
-@query(
-    """SELECT verdict, "left", "right", affected, CASE verdict WHEN 'FALSE_POSITIVE' THEN "left" || '¬' || "right" WHEN 'FALSE_NEGATIVE' THEN "left" || ' ' || "right" ELSE "left" || '¬' || "right" END AS find,
-    CASE form WHEN 'join' THEN "left" || "right" WHEN 'split' THEN "left" || ' ' || "right" WHEN 'period' THEN rtrim("left", '.,') || '. ' || "right" WHEN 'comma' THEN rtrim("left", '.,') || ', ' || "right" END AS replace
-    FROM vd WHERE verdict IN ('FALSE_POSITIVE', 'FALSE_NEGATIVE', 'PERIOD', 'COMMA') AND affected >= 1"""
-)
-def find_replace(c: Corpus) -> DataFrame:
-    left, right = F.col("left"), F.col("right")
-    find = F.when(F.col("verdict") == "FALSE_NEGATIVE", F.concat_ws(" ", left, right)).otherwise(F.concat_ws("¬", left, right))
-    bare = F.rtrim(left, F.lit(".,"))
-    new = F.when(F.col("form") == "join", F.concat(left, right)).when(F.col("form") == "split", F.concat_ws(" ", left, right)).when(F.col("form") == "period", F.concat(bare, F.lit(". "), right)).when(F.col("form") == "comma", F.concat(bare, F.lit(", "), right))
-    return c.verdicts.where(F.col("verdict").isin("FALSE_POSITIVE", "FALSE_NEGATIVE", "PERIOD", "COMMA") & (F.col("affected") >= 1)).select("verdict", "left", "right", "affected", find.alias("find"), new.alias("replace"))
-
-
 # ---- line ends ------------------------------------------------------------------------
 
 
@@ -517,25 +508,24 @@ def channel_asymmetry(c: Corpus) -> DataFrame:
 
 # ---- stores ---------------------------------------------------------------------------
 
-_ROWS = (
-    (1, "an", "deren", "join", "llm", "a"), (2, "an", "deren", "split", "llm", "b"), (3, "mit", "der", "split", "rule", "c"), (4, "mit", "der", "join", "manual", "d"),
-    (5, "wie", "der", "context", "manual", "e"), (6, "x", "y", "nonsense", "manual", "f"), (7, "auf", "nahme", "join", "rule", "g"),
-)
-_BATCH = (
-    (1, "an", "deren", "join", "manual", "p"), (2, "mit", "der", "split", "llm", "q"), (3, "auf", "nahme", "join", "llm", "r"), (4, "neu", "bau", "split", "rule", "s"), (5, "neu", "bau", "join", "rule", "t"),
-)
-_STORE_COLS = "row_no long, left string, right string, form string, source string, note string"
+_FORMS = ("join", "hyphen", "period", "comma", "split", "skip", "context", "nonsense")
+_BY_RANK = "CASE source WHEN 'manual' THEN 3 WHEN 'llm' THEN 2 WHEN 'rule' THEN 1 ELSE 0 END DESC"
+
 
+def _pick(number: str, options: tuple[str, ...]) -> str:
+    return f"CASE ({number}) % {len(options)} " + " ".join(f"WHEN {i} THEN '{x}'" for i, x in enumerate(options)) + " END"
 
-def _values(rows: tuple, names: str) -> str:
-    body = ", ".join("(" + ", ".join("'" + str(x).replace("'", "''") + "'" if isinstance(x, str) else "NULL" if x is None else f"CAST({x} AS BIGINT)" for x in r) + ")" for r in rows)
-    return f"(VALUES {body}) AS t({names})"
 
+def _chosen(number: Column, options: tuple[str, ...]) -> Column:
+    return F.element_at(F.array(*[F.lit(x) for x in options]), (number % len(options) + 1).cast("int"))
 
-_OLD = f"""(SELECT "left", "right", form, source, note FROM (SELECT *, row_number() OVER (PARTITION BY "left", "right" ORDER BY CASE source WHEN 'manual' THEN 3 WHEN 'llm' THEN 2 WHEN 'rule' THEN 1 ELSE 0 END DESC, row_no DESC) AS k
-  FROM {_values(_ROWS, 'row_no, "left", "right", form, source, note')} WHERE form IN ('join', 'hyphen', 'period', 'comma', 'split', 'skip', 'context')) WHERE k = 1)"""
-_NEW = f"""(SELECT "left", "right", form, source, note FROM (SELECT *, row_number() OVER (PARTITION BY "left", "right" ORDER BY CASE source WHEN 'manual' THEN 3 WHEN 'llm' THEN 2 WHEN 'rule' THEN 1 ELSE 0 END DESC, row_no) AS k
-  FROM {_values(_BATCH, 'row_no, "left", "right", form, source, note')}) WHERE k = 1)"""
+
+# Rows of a store and of an arriving batch, made of all pairs: three and two rows a pair.
+_ROWS = f"""(SELECT "left", "right", j, {_pick('length("left") + j', _FORMS)} AS form, {_pick('length("right") + 2 * j', ("manual", "llm", "rule", "other"))} AS source, 'n' || j AS note FROM prs, (VALUES (1), (2), (3)) AS v(j))"""
+_BATCH = f"""(SELECT CASE WHEN length("right") % 3 = 0 THEN "left" || '§' ELSE "left" END AS "left", "right", j, {_pick('length("left") + 3 * j', _FORMS[:5])} AS form, {_pick('length("right") + j', ("manual", "llm", "rule"))} AS source, 'b' || j AS note
+  FROM prs, (VALUES (1), (2)) AS v(j))"""
+_OLD = f"""(SELECT "left", "right", form, source, note FROM (SELECT *, row_number() OVER (PARTITION BY "left", "right" ORDER BY {_BY_RANK}, j DESC) AS k FROM {_ROWS} WHERE form <> 'nonsense') WHERE k = 1)"""
+_NEW = f"""(SELECT "left", "right", form, source, note FROM (SELECT *, row_number() OVER (PARTITION BY "left", "right" ORDER BY {_BY_RANK}, j) AS k FROM {_BATCH}) WHERE k = 1)"""
 _RANK = "CASE {x}.source WHEN 'manual' THEN 3 WHEN 'llm' THEN 2 WHEN 'rule' THEN 1 ELSE 0 END"
 
 
@@ -548,23 +538,34 @@ def _merge_sql(extra: str) -> str:
     )
 
 
+def _numbered(c: Corpus, rows: int, forms: tuple[str, ...], step: int, sources: tuple[str, ...], times: int, note: str) -> DataFrame:
+    j = F.col("row_no")
+    pairs = B.pair_counts(c.breaks).select("left", "right", F.explode(F.sequence(F.lit(1), F.lit(rows))).alias("row_no"))
+    return pairs.select("left", "right", "row_no", _chosen(F.char_length("left") + step * j, forms).alias("form"), _chosen(F.char_length("right") + times * j, sources).alias("source"), F.concat(F.lit(note), j.cast("string")).alias("note"))
+
+
 def _old(c: Corpus) -> DataFrame:
-    return S.load_pairs(c.spark.createDataFrame(list(_ROWS), _STORE_COLS)).drop("row_no")
+    return S.load_pairs(_numbered(c, 3, _FORMS, 1, ("manual", "llm", "rule", "other"), 2, "n")).drop("row_no")
+
 
+def _new(c: Corpus) -> DataFrame:
+    rows = _numbered(c, 2, _FORMS[:5], 3, ("manual", "llm", "rule"), 1, "b")
+    return rows.withColumn("left", F.when(F.char_length("right") % 3 == 0, F.concat("left", F.lit("§"))).otherwise(F.col("left")))
 
-@query(f"SELECT * FROM {_OLD}", plain=True)
+
+@query(f"SELECT * FROM {_OLD}")
 def store_load_dedupe(c: Corpus) -> DataFrame:
     return _old(c)
 
 
-@query(_merge_sql(" AND n.form <> o.form"), plain=True)
+@query(_merge_sql(" AND n.form <> o.form"))
 def store_merge_pairs(c: Corpus) -> DataFrame:
-    return S.merge_pairs(_old(c), c.spark.createDataFrame(list(_BATCH), _STORE_COLS))
+    return S.merge_pairs(_old(c), _new(c))
 
 
-@query(_merge_sql(""), plain=True)
+@query(_merge_sql(""))
 def store_merge_corrections(c: Corpus) -> DataFrame:
-    return S.merge_corrections(_old(c), c.spark.createDataFrame(list(_BATCH), _STORE_COLS))
+    return S.merge_corrections(_old(c), _new(c))
 
 
 _OCC = 'file, line_facs, "left", "right", form, source'
@@ -657,42 +658,51 @@ def replacements_applied(c: Corpus) -> DataFrame:
     return c.table("documents").where(F.col("text").isNotNull()).select("doc_id", T.apply_rules(F.col("text"), list(RULES)).alias("text"))
 
 
-@query(
-    f"""SELECT a."old", a."new", b."old" AS next_old FROM {_values(RULES, '"old", "new"').replace(' AS t', ' AS a')}, {_values(RULES, '"old", "new"').replace(' AS t', ' AS b')}
-    WHERE a."old" <> '' AND a."old" <> a."new" AND b."old" <> a."old" AND contains(a."new", b."old") AND NOT contains(a."old", b."old")""",
-    plain=True,
-)
+_CHAINED = """(SELECT w AS "old", best AS "new" FROM tv WHERE best IS NOT NULL UNION ALL SELECT left(w, length(w) - 1), w FROM tv WHERE length(w) > 2)"""
+
+
+@query(f"""SELECT DISTINCT a."old", a."new", b."old" AS next_old FROM {_CHAINED} a JOIN (SELECT DISTINCT "old" FROM {_CHAINED}) b ON b."old" <> a."old" AND contains(a."new", b."old") AND NOT contains(a."old", b."old") WHERE a."old" <> a."new" """)
 def rule_chains(c: Corpus) -> DataFrame:
-    return K.rule_chains(c.spark.createDataFrame(list(RULES), "old string, new string"))
+    """Rules made of the line-final words: misread ones, and ones that lack their last letter."""
+    judged = c.tokens_judged
+    misread = judged.where(F.col("best").isNotNull()).select(F.col("w").alias("old"), F.col("best").alias("new"))
+    cut = judged.where(F.char_length("w") > 2).select(T.without_last(F.col("w")).alias("old"), F.col("w").alias("new"))
+    return K.rule_chains(misread.union(cut)).distinct()
 
 
-_TIMES = ("um 730 Uhr", "um 1145 Uhr", "um 1730 Uhr", "am r3. Mai 1o13", "von 191415 bis 189900", "Seite z5", "Seite zeigen", "Nummer r2 und 730 Uhr", "191416")
+_UHR = "doc_id * 37 % 2400"
 
 
-@query(f"SELECT s, regexp_replace(s, '(^|[^0-9])(1[0-2]|[1-9])([0-5][0-9]) Uhr', '\\1\\2.\\3 Uhr', 'g') AS fixed FROM (VALUES {', '.join(f'({chr(39)}{x}{chr(39)})' for x in _TIMES)}) AS t(s)", plain=True)
+@query(f"""SELECT doc_id, regexp_replace(coalesce(text, '') || ' um ' || ({_UHR}) || ' Uhr', '(^|[^0-9])(1[0-2]|[1-9])([0-5][0-9]) Uhr', '\\1\\2.\\3 Uhr', 'g') AS fixed FROM documents""", plain=True)
 def uhr_fix(c: Corpus) -> DataFrame:
-    return c.spark.createDataFrame([(x,) for x in _TIMES], "s string").select("s", T.times_before(F.col("s")).alias("fixed"))
+    text = F.concat(F.coalesce("text", F.lit("")), F.lit(" um "), F.expr(_UHR).cast("string"), F.lit(" Uhr"))
+    return c.table("documents").select("doc_id", T.times_before(text).alias("fixed"))
 
 
-_FIXED = (
-    ("um 730 Uhr", "um 7.30 Uhr"), ("um 1145 Uhr", "um 11.45 Uhr"), ("um 1730 Uhr", "um 1730 Uhr"), ("am r3. Mai 1o13", "am 13. Mai 1913"), ("von 191415 bis 189900", "von 1914/15 bis 1899/00"),
-    ("Seite z5", "Seite 25"), ("Seite zeigen", "Seite zeigen"), ("Nummer r2 und 730 Uhr", "Nummer 12 und 7.30 Uhr"), ("191416", "191416"),
-)
+# A sentence with a date, page numbers, a time and a school year for each document; letters
+# stand for some of its digits, and the SQL says what they were.
+_DAY, _YEAR, _PAGE, _HOUR, _MINUTE, _SCHOOL = "doc_id % 31 + 1", "doc_id * 7 % 229 + 1701", "doc_id % 99 + 1", "doc_id % 12 + 1", "doc_id * 11 % 60", "doc_id % 78 + 1860"
 
 
-@query(f"SELECT * FROM (VALUES {', '.join(f'({chr(39)}{a}{chr(39)}, {chr(39)}{b}{chr(39)})' for a, b in _FIXED)}) AS t(s, fixed)", plain=True)
+@query(
+    f"""SELECT doc_id, 'am ' || ({_DAY}) || '. Mai ' || ({_YEAR}) || ', Nummer ' || ({_PAGE}) || ' und Seite ' || ({_PAGE}) || ' um ' || ({_HOUR}) || '.' || lpad(({_MINUTE})::VARCHAR, 2, '0') || ' Uhr, ' || ({_SCHOOL}) || '/' || lpad((({_SCHOOL}) % 100 + 1)::VARCHAR, 2, '0')
+    || '; aber ' || ({_SCHOOL}) || '00 und Seite zeigen' AS fixed FROM documents WHERE ({_SCHOOL}) % 100 <> 99""",
+    plain=True,
+)
 def digit_fixes(c: Corpus) -> DataFrame:
-    return c.spark.createDataFrame([(x,) for x in _TIMES], "s string").select("s", K.digit_fixes(F.col("s"))["text"].alias("fixed"))
-
-
-@query()
-def ocr_paragraph_diff(c: Corpus) -> DataFrame:
-    return K.paragraph_corrections(c.paragraphs, list(RULES))
-
-
-@query()
-def positional_fixes(c: Corpus) -> DataFrame:
-    return K.positional_fixes(c.paragraphs, E.misread_corrections(c.tokens_judged).select("left", "right", "left_correct", "right_correct"))
+    text = lambda e: F.expr(e).cast("string")
+    swap = lambda s, a, b: F.translate(s, a, b)
+    day, year, page = text(_DAY), text(_YEAR), text(_PAGE)
+    two = F.char_length(day) == 2
+    day = F.when(two, F.concat(swap(F.left(day, F.lit(1)), "1", "r"), swap(F.right(day, F.lit(1)), "015", "ors"))).otherwise(swap(day, "1", "r"))
+    year = F.concat(F.lit("r"), F.substring(year, 2, 1), swap(F.substring(year, 3, 1), "025", "ozs"), swap(F.substring(year, 4, 1), "125", "rzs"))
+    time = F.concat(text(_HOUR), F.lpad(text(_MINUTE), 2, "0"))
+    school, then = text(_SCHOOL), F.lpad((F.expr(_SCHOOL) % 100 + 1).cast("string"), 2, "0")
+    wrong = F.concat(
+        F.lit("am "), day, F.lit(". Mai "), year, F.lit(", Nummer "), swap(page, "1025", "rozs"), F.lit(" und Seite "), swap(page, "15", "rs"), F.lit(" um "), time, F.lit(" Uhr, "), school, then, F.lit("; aber "), school, F.lit("00 und Seite zeigen"),
+    )
+    docs = c.table("documents").where(F.expr(f"({_SCHOOL}) % 100 <> 99"))
+    return docs.select("doc_id", K.digit_fixes(wrong)["text"].alias("fixed"))
 
 
 # ---- other inputs ---------------------------------------------------------------------
@@ -716,32 +726,45 @@ def conversation_lines(c: Corpus) -> DataFrame:
     return c.table("conversations").select("conv_id", "turn", "role", F.lead("text").over(Window.partitionBy("conv_id").orderBy("turn")).alias("next_text"), T.ends_with_mark(F.col("text")).alias("marked"))
 
 
-_REPLIES = (
-    ('{"form":"split","reason":"two words"}', "split", "two words"), ('<think>{"form":"join"}</think>{"form":"split","reason":"x"}', "split", "x"),
-    ("so: {\"form\":\"period/split\",\"reason\":\"alike\"}", "split", "alike"), ("nope", None, "unparseable reply: nope"), ('{"form":"nonsense","reason":"y"}', "skip", "y"),
-)
+_KIND = '(length("left") + length("right")) % 5'
 
 
-@query("SELECT * FROM " + _values(_REPLIES, "reply, form, reason"), plain=True)
+@query(
+    f"""SELECT "left", "right", CASE {_KIND} WHEN 0 THEN 'split' WHEN 1 THEN 'split' WHEN 2 THEN 'split' WHEN 3 THEN NULL ELSE 'skip' END AS form,
+    CASE WHEN {_KIND} = 3 THEN 'unparseable reply: nope ' || m ELSE m END AS reason FROM (SELECT *, md5("left" || '|' || "right") AS m FROM prs)"""
+)
 def reply_json_parse(c: Corpus) -> DataFrame:
-    return R.form_answers(c.spark.createDataFrame([(x,) for x, _, _ in _REPLIES], "reply string"))
+    """A reply for each pair: plain, after thinking, alike labels, unreadable, unknown label."""
+    m = F.md5(F.concat_ws("|", "left", "right"))
+    answer = lambda form: F.to_json(F.struct(F.lit(form).alias("form"), m.alias("reason")))
+    kind = (F.char_length("left") + F.char_length("right")) % 5
+    reply = (
+        F.when(kind == 0, answer("split")).when(kind == 1, F.concat(F.lit('<think>{"form":"join"}</think>'), answer("split"))).when(kind == 2, F.concat(F.lit("so: "), answer("period/split")))
+        .when(kind == 3, F.concat(F.lit("nope "), m)).otherwise(answer("nonsense"))
+    )
+    asked = B.pair_counts(c.breaks).select("left", "right", reply.alias("reply"))
+    parsed = R.form_answers(asked, carry=("left", "right"))
+    return parsed.select("left", "right", "form", "reason")
 
 
-_FILES = (("issue_19140730_a.xml", 4), ("issue_19150102_b.xml", None), ("no_date.xml", 1), ("x_19990101.xml", 2))
-_LINKS = (("1914-07-30", "811"), ("1915/01/02", "812"))
+_ISSUE = "'issue_' || strftime(DATE '1914-01-01' + CAST(doc_id % 400 AS INTEGER), '%Y%m%d') || '_' || doc_id || '.xml'"
 
 
 @query(
-    f"""SELECT file, page, CASE WHEN id IS NOT NULL THEN 'https://example.org/doc/' || id || CASE WHEN page IS NOT NULL THEN '/page/' || page ELSE '' END END AS link FROM {_values(_FILES, 'file, page')}
-    LEFT JOIN (SELECT replace(replace(day, '-', ''), '/', '') AS d, id FROM {_values(_LINKS, 'day, id').replace(' AS t', ' AS u')}) m ON m.d = regexp_extract(file, '([0-9]{{8}})', 1)""",
+    f"""WITH d AS (SELECT doc_id, strftime(DATE '1914-01-01' + CAST(doc_id % 400 AS INTEGER), '%Y-%m-%d') AS day, {_ISSUE} AS file, CASE WHEN doc_id % 3 > 0 THEN doc_id % 3 END AS page FROM documents),
+    ids AS (SELECT day, min(doc_id) AS id FROM d GROUP BY day HAVING min(doc_id) % 2 = 0)
+    SELECT file, page, CASE WHEN id IS NOT NULL THEN 'https://example.org/doc/' || id || CASE WHEN page IS NOT NULL THEN '/page/' || page ELSE '' END END AS link FROM d LEFT JOIN ids ON ids.day = d.day""",
     plain=True,
 )
 def links(c: Corpus) -> DataFrame:
-    ids = c.spark.createDataFrame(list(_LINKS), "day string, id string").select(F.regexp_replace("day", "[-/]", "").alias("d"), "id")
-    rows = c.spark.createDataFrame(list(_FILES), "file string, page long").withColumn("d", F.regexp_extract("file", r"(\d{8})", 1))
-    page = F.when(F.col("page").isNotNull(), F.concat(F.lit("/page/"), F.col("page").cast("string"))).otherwise("")
-    # the mapping is a hand-kept list, one row per issue
-    return rows.join(F.broadcast(ids), "d", "left").select("file", "page", F.when(F.col("id").isNotNull(), F.concat(F.lit("https://example.org/doc/"), "id", page)).alias("link"))
+    """Issue files named by date and the mapping of half the dates, written in two ways."""
+    docs = c.table("documents")
+    day = F.date_add(F.lit("1914-01-01").cast("date"), (F.col("doc_id") % 400).cast("int"))
+    file = F.concat(F.lit("issue_"), F.date_format(day, "yyyyMMdd"), F.lit("_"), F.col("doc_id").cast("string"), F.lit(".xml"))
+    ids = docs.groupBy(day.alias("day")).agg(F.min("doc_id").alias("id")).where("id % 2 = 0")
+    ids = ids.select(F.when(F.col("id") % 4 == 0, F.date_format("day", "yyyy-MM-dd")).otherwise(F.date_format("day", "yyyy/MM/dd")).alias("day"), F.col("id").cast("string").alias("id"))
+    rows = docs.select(file.alias("file"), F.when(F.col("doc_id") % 3 > 0, F.col("doc_id") % 3).alias("page"))
+    return P.document_links(rows, ids, "https://example.org/doc/")
 
 
 @query(
@@ -772,7 +795,7 @@ def planted_recall(c: Corpus) -> DataFrame:
     plain=True,
 )
 def line_end_eval(c: Corpus) -> DataFrame:
-    return E.evaluated(E.gold_from_interior(L.interior_tokens(c.lines), c.uni), c.uni, c.big, c.totals)
+    return E.evaluated(c.answers)
 
 
 @query(
@@ -793,38 +816,56 @@ def review_prompts(c: Corpus) -> DataFrame:
     return c.verdicts.where("verdict = 'REVIEW'").withColumn("candidates", B.candidate_spellings()).select("left", "right", R.pair_prompt().alias("prompt"))
 
 
-_POLYGONS = (("r1", "0,0 900,0 900,200 0,200", 100, 870), ("r2", "0,0 100,0 0,100", 50, 31), ("r3", "0,0 5,0 5,5", 99, 2))
+_GAP_ROWS = "(SELECT missing, 900 + pos AS w1, 900 + file % 60 AS w2, 8 * length(observed) + para AS x_max FROM hits)"
 
 
-@query("SELECT * FROM (VALUES ('r1', CAST(30 AS INTEGER)), ('r2', 19), ('r3', 3)) AS t(region, gap_px)", plain=True)
+@query(f"SELECT missing, CAST(round_even((w1 + w2) / 2.0 - x_max, 0) AS INTEGER) AS gap_px, count(*) AS n FROM {_GAP_ROWS} GROUP BY ALL")
 def truncation_gaps(c: Corpus) -> DataFrame:
-    """Distance from a line's end to the region's right edge at its height."""
-    rows = c.spark.createDataFrame(list(_POLYGONS), "region string, points string, y long, x_max long")
-    gap = F.bround(K.polygon_right_edge(F.col("points"), F.col("y").cast("double")) - F.col("x_max"), 0)
-    return rows.select("region", gap.cast("int").alias("gap_px"))
+    """Distances from a cut-off line's end to its region's slanted right edge at its height."""
+    return _gaps(c).groupBy("missing", "gap_px").agg(count())
 
 
-_VERSIONS = (("a", "2.0"), ("b", "1.10"), ("c", "1.8"), ("d", "x.1"), ("e", None))
+def _gaps(c: Corpus) -> DataFrame:
+    w1, w2 = (F.col("pos") + 900).cast("string"), (F.col("file") % 60 + 900).cast("string")
+    points = F.concat(F.lit("0,0 "), w1, F.lit(",0 "), w2, F.lit(",200 0,200"))
+    gap = F.bround(K.polygon_right_edge(points, F.lit(100.0)) - (8 * F.char_length("observed") + F.col("para")), 0)
+    return c.truncated[0].select("missing", gap.cast("int").alias("gap_px"))
+
+
+@query(
+    f"""SELECT missing, CAST(g AS INTEGER) AS gap_px FROM (SELECT missing, g, row_number() OVER (PARTITION BY missing ORDER BY g) AS k, count(*) OVER (PARTITION BY missing) AS n
+    FROM (SELECT missing, round_even((w1 + w2) / 2.0 - x_max, 0) AS g FROM {_GAP_ROWS})) WHERE k = n // 2 + 1"""
+)
+def truncation_gap_median(c: Corpus) -> DataFrame:
+    """The upper median of the gaps, from their counts: no list of gaps is gathered."""
+    counted = _gaps(c).groupBy("missing", "gap_px").agg(count())
+    up_to = F.sum("n").over(Window.partitionBy("missing").orderBy("gap_px"))
+    total = F.sum("n").over(Window.partitionBy("missing"))
+    return counted.withColumns({"u": up_to, "t": total}).where(F.col("u") > F.floor(F.col("t") / 2)).groupBy("missing").agg(F.min("gap_px").alias("gap_px"))
 
 
-@query("SELECT * FROM (VALUES ('a'), ('b')) AS t(file)", plain=True)
+@query("SELECT doc_id AS file FROM documents WHERE doc_id % 11 NOT IN (3, 4) AND (doc_id % 3 > 1 OR (doc_id % 3 = 1 AND doc_id % 12 >= 9))", plain=True)
 def current_issues(c: Corpus) -> DataFrame:
-    return c.spark.createDataFrame(list(_VERSIONS), "file string, version string").where(S.up_to_date(F.col("version"), "1.9")).select("file")
+    """Issues whose header says version 1.9 or later; some versions are unreadable."""
+    d = F.col("doc_id")
+    version = F.when(d % 11 == 3, None).when(d % 11 == 4, "x.1").otherwise(F.concat((d % 3).cast("string"), F.lit("."), (d % 12).cast("string")))
+    return c.table("documents").select(d.alias("file"), version.alias("version")).where(S.up_to_date(F.col("version"), "1.9")).select("file")
 
 
-_STEPS = ((1, "read", None, True), (2, "correct", "fix", True), (3, "mark", "marks", True), (4, "review", None, False))
+_STEPS = ((1, "read", None, True), (2, "correct", "fix", True), (3, "mark", "marks", True), (4, "review", None, False), (5, "check", "checked", True))
 
 
-@query("SELECT * FROM (VALUES ('mark'), ('review')) AS t(name)", plain=True)
+@query("SELECT doc_id AS file, CASE doc_id % 3 WHEN 0 THEN 'checked' ELSE 'marks' END AS ident FROM documents WHERE doc_id % 3 < 2", plain=True)
 def steps_after(c: Corpus) -> DataFrame:
-    return P.steps_after(P.step_table(c.spark, list(_STEPS)), "correct").select("name")
+    """Markers that a change in the correcting step makes stale."""
+    markers = c.table("documents").select(F.col("doc_id").alias("file"), _chosen(F.col("doc_id"), ("checked", "marks", "fix")).alias("ident"), F.lit("1.0").alias("version"))
+    return P.outdated_markers(markers, P.step_table(c.spark, list(_STEPS)), "correct").select("file", "ident")
 
 
-@query(f"""SELECT count(DISTINCT ("left", "right")) AS pairs, count(*) FILTER (form NOT IN ('skip', 'context')) AS acting FROM {_OLD}""", plain=True)
+@query(f"""SELECT count(*) AS pairs, count(*) FILTER (form NOT IN ('skip', 'context')) AS acting, count(*) FILTER (source = 'manual') AS by_hand FROM {_OLD}""")
 def store_metrics(c: Corpus) -> DataFrame:
-    return _old(c).agg(F.countDistinct("left", "right").alias("pairs"), F.count(F.when(~F.col("form").isin("skip", "context"), 1)).alias("acting"))
+    return _old(c).agg(count("pairs"), F.count(F.when(~F.col("form").isin("skip", "context"), 1)).alias("acting"), F.count(F.when(F.col("source") == "manual", 1)).alias("by_hand"))
 
 
-@query()
-def correction_outcomes(c: Corpus) -> DataFrame:
-    return K.paragraph_corrections(c.paragraphs, list(RULES)).groupBy("outcome").agg(count())
+# Queries of the later modules register themselves on import.
+from linemend.plans import further as _further  # noqa: E402, F401

@@ -229,3 +229,97 @@ goldcand AS MATERIALIZED (SELECT a.w, u.w AS cand, ord FROM (SELECT w FROM uni W
 
 def over_gold(select: str) -> str:
     return f"WITH {_FILLED.strip()}{_GOLD_WORDS}\n{select}"
+
+
+_PLAIN, _CUT, _DASHED, _SPACED = (f"chr({0xE000 + i})" for i in range(4))
+_ANY = "'[' || chr(57344) || '-' || chr(57347) || ']'"
+
+
+def _rule_columns(rules: tuple[tuple[str, str], ...]) -> tuple[str, list[str], str]:
+    """Steps that rules take on a marked text: nested SELECTs that carry the text on, the
+    note of each step that notes something, and the sum of join artifacts."""
+    gap = "\ue001?"
+    spell = lambda x: gap.join("[ \ue000\ue003]" if ch == " " else "[-\ue002]" if ch == "-" else ch.replace(".", "[.]") for ch in x)
+    sql, notes, artifacts, i = "SELECT file, para, ls, t0 AS t FROM marked0", [], [], 0
+    for old, new in rules:
+        p = next(k for k in range(len(old) + 1) if k >= len(new) or k >= len(old) or old[k] != new[k])
+        q = next(k for k in range(len(old) - p + 1) if k >= len(new) - p or k >= len(old) - p or old[-1 - k] != new[-1 - k])
+        core, put, head, tail = old[p : len(old) - q], new[p : len(new) - q], spell(old[:p]), spell(old[len(old) - q :])
+        head, tail = head + (gap if head and core else ""), (gap if tail and (core or head) else "") + tail
+        present = f"contains(translate(t, chr(57344) || chr(57347) || chr(57346) || chr(57345), '  -'), '{old}')"
+
+        def noted(pattern: str, kind: str) -> None:
+            nonlocal sql, i
+            sql = f"SELECT *, CASE WHEN {present} THEN len(regexp_extract_all(t, '{pattern}')) ELSE 0 END AS m{i} FROM ({sql})"
+            notes.append(f"SELECT file, para, NULL::BIGINT AS pos, '{core}' AS before, '{put}' AS after, '{kind}' AS outcome, unnest(generate_series(1, m{i})) AS x FROM stepped WHERE m{i} > 0")
+            if kind == "join-artifact":
+                artifacts.append(f"m{i}")
+            i += 1
+
+        def replaced(pattern: str, by: str) -> None:
+            nonlocal sql
+            sql = f"SELECT * REPLACE (CASE WHEN {present} THEN regexp_replace(t, '{pattern}', '{by}', 'g') ELSE t END AS t) FROM ({sql})"
+
+        for k, ch in enumerate(core):
+            if ch in " -":
+                noted(f"({head})" + gap.join(x for x in (spell(core[:k]), "[\ue000\ue003]" if ch == " " else "\ue002", spell(core[k + 1 :])) if x) + f"({tail})", "join-artifact")
+        for k in range(1, len(core)):
+            there = put + "\ue001" if 2 * k >= len(core) else "\ue001" + put
+            noted(f"({head}){core[:k]}\ue001{core[k:]}({tail})", "straddles-break")
+            replaced(f"({head}){core[:k]}\ue001{core[k:]}({tail})", f"\\\\1{there}\\\\2".replace("\\\\", "\\"))
+        replaced(f"({head}){core}({tail})", f"\\1{put}\\2")
+    for token, number in _misread_days():
+        sql = f"SELECT * REPLACE (regexp_replace(t, '([ \ue000\ue003])' || '{token}[.]', '\\1{number}.', 'g') AS t) FROM ({sql})"
+    return sql, notes, " + ".join(artifacts) or "0"
+
+
+def _misread_days() -> list[tuple[str, str]]:
+    """Days of a month with letters for digits, and what they mean.  The other patterns of
+    digits do not occur in the invented prose."""
+    out = []
+    for a in "r123":
+        for b in ("", *"0123456789ors"):
+            number = (a + b).replace("r", "1").replace("o", "0").replace("s", "5")
+            if any(x in "ros" for x in a + b) and 1 <= int(number) <= 31:
+                out.append((a + b, number))
+    return out
+
+
+def paragraph_records(rules: tuple[tuple[str, str], ...]) -> str:
+    """Change records of paragraphs corrected as joined text, as a table expression."""
+    stepped, notes, artifacts = _rule_columns(rules)
+    all_notes = " UNION ALL ".join(f"SELECT file, para, pos, before, after, outcome FROM ({n})" for n in notes) or "SELECT NULL::BIGINT AS file, NULL::BIGINT AS para, NULL::BIGINT AS pos, '' AS before, '' AS after, '' AS outcome WHERE FALSE"
+    return f""",
+marked0 AS MATERIALIZED (SELECT file, para, list(line ORDER BY pos) AS ls, string_agg(CASE WHEN next_line IS NULL THEN line WHEN {_mark('line')} THEN left(line, length(line) - 1) || CASE action WHEN 'space' THEN {_SPACED} WHEN 'hyphen' THEN {_DASHED} ELSE {_CUT} END
+  ELSE line || {_PLAIN} END, '' ORDER BY pos) AS t0 FROM act GROUP BY file, para),
+stepped AS MATERIALIZED ({stepped}),
+cutup AS (SELECT file, para, t, {artifacts} AS artifacts, ls, regexp_split_to_array(t, {_ANY}) AS parts FROM stepped),
+aft AS MATERIALIZED (SELECT file, para, t, artifacts, k - 1 AS pos, ls[k] AS line, CASE WHEN k < len(ls) AND {_mark('ls[k]')} THEN parts[k] || right(ls[k], 1) ELSE parts[k] END AS after FROM (SELECT *, unnest(generate_series(1, len(ls))) AS k FROM cutup)),
+aft2 AS (SELECT *, lead(after) OVER (PARTITION BY file, para ORDER BY pos) AS following FROM aft),
+aft3 AS (SELECT *, regexp_extract(coalesce(following, ''), '^([a-zA-ZäöüÄÖÜßáéíóúÁÉÍÓÚ.]+)', 1) AS nw FROM aft2),
+again AS (SELECT file, para, any_value(artifacts) AS artifacts, bool_or(line <> after) AS changed, translate(any_value(t), {_PLAIN} || {_SPACED} || {_DASHED} || {_CUT}, '  -') AS reads,
+  string_agg(CASE WHEN following IS NULL THEN after WHEN {_mark('after')} THEN left(after, length(after) - 1) || CASE WHEN nw = '' THEN '' WHEN nw IN ('geb.', 'v.', 'gew.', 'z.', '(') THEN ' ' WHEN regexp_matches(nw, '^\\p{{Lu}}') OR nw IN ('und', 'út', 'üt', 'ut', 'utca') THEN '-' ELSE '' END
+  ELSE after || ' ' END, '' ORDER BY pos) AS joined FROM aft3 GROUP BY file, para),
+refused AS (SELECT file, para, reads, joined FROM again WHERE artifacts = 0 AND joined <> reads AND (file, para) IN (SELECT file, para FROM aft WHERE line <> after UNION SELECT file, para FROM ({all_notes}))),
+records AS (SELECT * FROM (SELECT file, para, pos, line AS before, after, 'applied' AS outcome FROM aft WHERE line <> after UNION ALL {all_notes}) r WHERE NOT EXISTS (SELECT 1 FROM refused x WHERE x.file = r.file AND x.para = r.para)
+  UNION ALL SELECT file, para, NULL, reads, joined, 'changes-break' FROM refused)"""
+
+
+def over_records(select: str, rules: tuple[tuple[str, str], ...]) -> str:
+    return f"WITH {_FILLED.strip()}{paragraph_records(rules)}\n{select}"
+
+
+_BM1 = _FILLED[_FILLED.index("bm1 AS (SELECT") : _FILLED.index("bm AS MATERIALIZED")]
+_BM = _FILLED[_FILLED.index("bm AS MATERIALIZED") : _FILLED.index("para AS MATERIALIZED")]
+
+
+def over_break_gold(select: str, contested: str) -> str:
+    """A query over margins ``bg`` of interior occurrences of the ``contested`` pairs."""
+    words = "nullif({0}, '')".format
+    occurrences = f""",
+itn AS MATERIALIZED (SELECT *, lead(w, 2) OVER (PARTITION BY file, para, pos ORDER BY k) AS next2_w, lag(w) OVER (PARTITION BY file, para, pos ORDER BY k) AS prev_w FROM itl),
+bg0 AS (SELECT i.file, i.para, i.pos, c."left", c."right", 'join' AS hyphenated, {words('i.prev_w')} AS h, {words('i.next_w')} AS t FROM itn i JOIN {contested} c ON i.w = c."left" || c."right"
+  UNION ALL SELECT i.file, i.para, i.pos, c."left", c."right", 'split', {words('i.prev_w')}, {words('i.next2_w')} FROM itn i JOIN {contested} c ON i.w = c."left" AND i.next_w = c."right"),
+"""
+    margins_ = _BM1.replace("bm1 AS", "bg1 AS").replace("FROM bm0 b", "FROM bg0 b") + _BM.replace("bm AS MATERIALIZED", "bg AS MATERIALIZED").replace("FROM bm1", "FROM bg1").rstrip().rstrip(",")
+    return f"WITH {_FILLED.strip()}{occurrences}{margins_}\n{select}"

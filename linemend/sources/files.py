@@ -64,3 +64,56 @@ def write_queue(df: DataFrame, path: str) -> None:
 
 def read_queue(spark: SparkSession, path: str, schema: str) -> DataFrame:
     return spark.read.schema(schema).json(path)
+
+
+def read_substitutions(spark: SparkSession, path: str) -> DataFrame:
+    """(own, intended, n) from a report of token verdicts: misread rows, ``x->y`` reasons."""
+    rows = spark.read.option("header", True).csv(path).where("verdict = 'MISREAD'")
+    change = F.split("reason", "->")
+    return rows.where(F.col("reason").contains("->")).groupBy(change[0].alias("own"), change[1].alias("intended")).agg(F.sum(F.col("seen_at_line_end").cast("long")).alias("n"))
+
+
+def read_deletions(spark: SparkSession, path: str) -> DataFrame:
+    """(intended, n) from a report of truncations: rows that lack one letter."""
+    rows = spark.read.option("header", True).csv(path).where("missing = '1'")
+    return rows.groupBy(F.lower(F.right("completion", F.lit(1))).alias("intended")).agg(F.count(F.lit(1)).alias("n"))
+
+
+def newest(spark: SparkSession, pattern: str) -> str:
+    """The last file of a pattern by name."""
+    path = spark._jvm.org.apache.hadoop.fs.Path(pattern)
+    found = path.getFileSystem(spark._jsc.hadoopConfiguration()).globStatus(path) or []
+    if not len(found):
+        raise FileNotFoundError(pattern)
+    return max(f.getPath().toString() for f in found)
+
+
+def dated(folder: str, name: str, day: str) -> str:
+    """Where a report of a day goes."""
+    return f"{folder.rstrip('/')}/{day}_{name}"
+
+
+def append_rows(df: DataFrame, path: str) -> None:
+    """Rows added to a store or scorecard, which keeps what it has; read back, the later of
+    equal rank wins."""
+    df.write.mode("append").option("header", True).csv(path)
+
+
+def read_prompt(spark: SparkSession, path: str, required: tuple[str, ...]) -> dict[str, str]:
+    """Sections of a prompt file: ``## name`` lines and the text below each.  A section that
+    is required and missing, empty or given twice is an error."""
+    out: dict[str, str] = {}
+    name, lines = None, []
+    text = "\n".join(r.value for r in spark.read.text(path, wholetext=True).collect())  # one hand-written file
+    for line in [*text.splitlines(), "## "]:
+        if line.startswith("## ") or line.strip() == "##":
+            if name is not None:
+                if name in out:
+                    raise ValueError(f"section {name} stands twice in {path}")
+                out[name] = "\n".join(lines).strip()
+            name, lines = line[2:].strip(), []
+        else:
+            lines.append(line)
+    if missing := [r for r in required if not out.get(r)]:
+        raise ValueError(f"{path} lacks {', '.join(missing)}")
+    return out

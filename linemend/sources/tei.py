@@ -38,6 +38,12 @@ def _attr(tag: Column, name: str) -> Column:
 
 
 def _decoded(text: Column) -> Column:
+    """Character references of XML: the five named ones, decimal and hexadecimal numbers."""
+    number = lambda r: F.when(F.lower(F.substring(r, 3, 1)) == "x", F.conv(F.regexp_extract(r, "(?i)&#x([0-9a-f]+);", 1), 16, 10)).otherwise(F.regexp_extract(r, "&#([0-9]+);", 1)).cast("int")
+    # a code point in UTF-32 is one character
+    char = lambda r: F.decode(F.unhex(F.lpad(F.hex(number(r)), 8, "0")), "UTF-32")
+    found = F.array_distinct(F.regexp_extract_all(text, F.lit("(?i)(&#(?:x[0-9a-f]{1,6}|[0-9]{1,7});)"), F.lit(1)))
+    text = F.aggregate(found, text, lambda now, r: F.replace(now, r, F.when(number(r) == 38, "&amp;").when(number(r).between(1, 0x10FFFF), char(r)).otherwise(r)))
     for ref, ch in (("&quot;", '"'), ("&apos;", "'"), ("&lt;", "<"), ("&gt;", ">"), ("&amp;", "&")):
         text = F.replace(text, F.lit(ref), F.lit(ch))
     return text
@@ -135,7 +141,16 @@ def write_issues(issues: DataFrame, changes: DataFrame, folder: str) -> DataFram
     return issues.join(per_file, "file", "left").select("file", "xml", "m").mapInPandas(run, "file string, n int")
 
 
-def drop_image_lines(paras: DataFrame) -> DataFrame:
-    """Lines of image regions go; paragraphs keep their rows."""
+def paragraph_by_zone(paras: DataFrame) -> DataFrame:
+    """(file, region, para): the paragraph that transcribes a region, the last of several.
+    Regions without one (images, rules) have no row."""
+    return paras.where(F.coalesce("region", F.lit("")) != "").groupBy("file", "region").agg(F.max("para").alias("para"))
+
+
+def drop_image_lines(paras: DataFrame, with_rows: bool = True) -> DataFrame:
+    """Lines of image regions go; paragraphs keep their rows, or with ``with_rows`` off go
+    too when they have no line left."""
     empty = F.expr("cast(array() as array<string>)")
+    if not with_rows:
+        return drop_image_lines(paras).where(F.size("lines") > 0)
     return paras.withColumns({c: F.when(F.col("subtype") == "image", empty).otherwise(F.col(c)) for c in ("lines", "facs", "marks")})
