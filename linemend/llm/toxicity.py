@@ -65,6 +65,15 @@ def features(text: str | None) -> np.ndarray:
     return np.unique(np.concatenate(parts))
 
 
+def packed(x: np.ndarray) -> bytes:
+    """Ascending coordinates as compressed differences."""
+    return zlib.compress(np.diff(x, prepend=0).astype("<u4").tobytes(), 1)
+
+
+def unpacked(raw: bytes) -> np.ndarray:
+    return np.cumsum(np.frombuffer(zlib.decompress(raw), "<u4"), dtype=np.int32)
+
+
 @dataclass
 class Weights:
     """Non-zero coordinates (ascending) and their weights."""
@@ -119,22 +128,24 @@ def train(
     def made(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         lean()
         for batch in batches:
-            x = [features(t.as_py()).tobytes() for t in batch.column(2)]
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(x, pa.binary())], names=["id", "y", "x"])
+            x = [features(t.as_py()) for t in batch.column(2)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array([len(f) for f in x], pa.int32()), pa.array(map(packed, x), pa.binary())], names=["id", "y", "n", "x"])
 
     texts = docs.select(F.col(id_col).alias("id"), F.col(text_col).alias("text"))
     # ``chosen`` has at most max_rows rows of two numbers; of a repeated id one row stays
-    rows = texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("string").alias("id"), "y", "text").mapInArrow(made, "id string, y int, x binary")
-    rows = stored = cut_table(rows.groupBy("id", "y").agg(F.min("x").alias("x")), "toxicity-rows")
-    order = lambda r: (zlib.crc32(r.id.encode()), r.id)
-    sizes = sorted(rows.select("id", F.length("x").alias("n")).collect(), key=order)
-    ends = np.cumsum([r.n for r in sizes])
-    kept = [r.id for r, end in zip(sizes, ends, strict=True) if end <= max_bytes]
-    if len(kept) < len(sizes):
-        rows = rows.join(F.broadcast(docs.sparkSession.createDataFrame([(i,) for i in kept], "id string")), "id")
-    found = sorted(rows.collect(), key=order)
-    drop_table(stored)
-    return fit((np.frombuffer(r.x, np.int32), r.y) for r in found)
+    rows = texts.join(F.broadcast(chosen), "id").select(F.col("id").cast("string").alias("id"), "y", "text").mapInArrow(made, "id string, y int, n int, x binary")
+    rows = cut_table(rows.groupBy("id", "y").agg(F.min(F.struct("n", "x")).alias("f")).select("id", "y", "f.n", "f.x"), "toxicity-rows")
+    sizes = sorted(rows.select("id", "y", "n").collect(), key=lambda r: (zlib.crc32(r.id.encode()), r.id))
+    ends = np.cumsum([0, *(r.n for r in sizes)])
+    sizes = [r for r, end in zip(sizes, ends[1:], strict=True) if 4 * end <= max_bytes]
+    start = {r.id: int(at) for r, at in zip(sizes, ends, strict=False)}
+    # one array for all, filled part by part, so that the driver holds the features once
+    x = np.empty(int(ends[len(sizes)]), np.int32)
+    for r in rows.select("id", "n", "x").toLocalIterator():
+        if r.id in start:
+            x[start[r.id] : start[r.id] + r.n] = unpacked(r.x)
+    drop_table(rows)
+    return fit((x[start[r.id] : start[r.id] + r.n], r.y) for r in sizes)
 
 
 def toxicity(docs: DataFrame, weights: Weights, cut: float = CUT, id_col: str = "doc_id", text_col: str = "text", carry: bool = False) -> DataFrame:

@@ -55,3 +55,16 @@ def test_features():
     assert T.features(None).tolist() == [0]
     a = T.features("one two three")
     assert len(a) == 1 + 3 + 2 + 1 and set(T.features("One TWO three three")) >= set(a)
+
+
+def test_packed_features_come_back():
+    for x in (T.features(None), T.features("one two three two one " * 50), np.array([0, (1 << 20) - 1], np.int32)):
+        assert T.unpacked(T.packed(x)).tolist() == x.tolist()
+
+
+def test_bounds_on_rows_and_bytes(spark):
+    """A repeated id and a bound on bytes: the fit takes fewer rows, whole ones."""
+    docs, labels = rows(spark, 60)
+    more = docs.union(docs).union(docs.withColumn("text", docs.lang))
+    assert len(T.train(more, labels, max_bytes=4 * 400).at) <= len(T.train(more, labels).at)
+    assert len(T.train(docs, labels, max_bytes=0).at) == 0
