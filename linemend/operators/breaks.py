@@ -14,7 +14,8 @@ COUNTS = ("join_count", "dash_count", "bigram_count", "period_count", "comma_cou
 
 def breaks(lines: DataFrame) -> DataFrame:
     """One row per usable break: position, pair, surface forms, context."""
-    rows = lines.where(F.col("next_line").isNotNull()).withColumn("b", break_pair(F.col("line"), F.col("next_line"))).where(F.col("b").isNotNull())
+    pair = F.explode(F.array(break_pair(F.col("line"), F.col("next_line")))).alias("b")  # a generator: made once, read often
+    rows = lines.where(F.col("next_line").isNotNull()).select(*ORDER, "subtype", "line", "next_line", pair).where(F.col("b").isNotNull())
     return rows.select(*ORDER, "subtype", "line", "next_line", "b.left", "b.right", "b.raw_left", "b.raw_right", "b.hyphenated", F.concat_ws(" | ", "line", "next_line").alias("context"))
 
 

@@ -1,8 +1,10 @@
 """Query catalogue: each query as a Spark plan with its SQL twin.
 
-``Corpus`` holds the shared tables of one input, lazily.  Parsed lines and the lexicon
-feed most queries, several times each, so they are persisted (memory, then disk): a
-plan reads them as leaves, lost parts are recomputed, and ``release`` lets them go.
+``Corpus`` names the shared tables of one input, lazily.  Lines, breaks and line ends are
+read from the columnar input each time, being as large as the corpus itself; what is
+counted from them (lexicon, evidence, verdicts, scores of doubtful line ends) feeds many
+queries and is persisted (memory, then disk): a plan reads it as a leaf, lost parts are
+recomputed, and ``release`` lets it go.
 """
 
 from __future__ import annotations
@@ -56,6 +58,13 @@ class Corpus:
             cls._known[key] = cls(spark, sf_dir)
         return cls._known[key]
 
+    @classmethod
+    def forget(cls) -> None:
+        """Releases every input."""
+        for old in cls._known.values():
+            old.release()
+        cls._known.clear()
+
     def held(self, df: DataFrame) -> DataFrame:
         self._held.append(df.persist(StorageLevel.MEMORY_AND_DISK))
         return df
@@ -70,11 +79,11 @@ class Corpus:
 
     @cached_property
     def paragraphs(self) -> DataFrame:
-        return self.held(D.rewrapped(self.table("documents")))
+        return D.rewrapped(self.table("documents"))
 
     @cached_property
     def lines(self) -> DataFrame:
-        return self.held(D.lines_of(self.paragraphs))
+        return D.lines_of(self.paragraphs)
 
     @cached_property
     def uni(self) -> DataFrame:
@@ -104,7 +113,7 @@ class Corpus:
 
     @cached_property
     def breaks(self) -> DataFrame:
-        return self.held(B.breaks(self.lines))
+        return B.breaks(self.lines)
 
     @cached_property
     def evidence(self) -> DataFrame:
@@ -123,7 +132,7 @@ class Corpus:
 
     @cached_property
     def finals(self) -> DataFrame:
-        return self.held(E.line_finals(self.lines))
+        return E.line_finals(self.lines)
 
     @cached_property
     def tally(self) -> DataFrame:

@@ -34,17 +34,24 @@ def planted(doc: Column, para: Column, line: Column, token: Column) -> Column:
 def rewrapped(docs: DataFrame, subtype: str = "source") -> DataFrame:
     """Paragraphs of ``documents`` wrapped to lines of eight tokens with planted
     damage: one paragraph for each text line, (file, para, subtype, lines, labels)."""
-    raw = docs.where(F.col("text").isNotNull()).select(F.col("doc_id").alias("file"), F.col(subtype).alias("subtype"), F.posexplode(F.split("text", "\n")).alias("p", "s"))
-    paras = raw.select("file", (F.col("p") + 1).cast("long").alias("para"), "subtype", F.filter(F.split("s", r"\s+"), lambda t: t != "").alias("tk")).where(F.size("tk") > 0)
+    file, word = F.col("doc_id"), f"^[{LETTERS}]+$"
+
+    def with_planted(tk: Column, para: Column) -> Column:
+        """Some third tokens become dashed compounds of the two words around the first
+        break; some paragraphs end in a mark that no next line can judge."""
+        left, right = F.try_element_at(tk, F.lit(WRAP)), F.try_element_at(tk, F.lit(WRAP + 1))
+        both = ((file * 3 + para) % 5 == 0) & left.rlike(word) & right.rlike(word)
+        end = F.when((file * 13 + para * 5) % 23 == 0, "¬").otherwise("")
+        n = F.size(tk)
+        third = F.when(both, F.concat(left, F.lit("-"), right))
+        return F.transform(tk, lambda t, k: F.concat(F.when((k == 2) & third.isNotNull(), third).otherwise(t), F.when(k == n - 1, end).otherwise("")))
+
+    # generators, not projections: what they put out is made once, however often it is read
+    split = F.transform(F.split("text", "\n"), lambda s: F.filter(F.split(s, r"\s+"), lambda t: t != ""))
+    raw = docs.where(F.col("text").isNotNull()).select("doc_id", F.col(subtype).alias("subtype"), F.posexplode(split).alias("p", "t"))
+    para = (F.col("p") + 1).cast("long")
+    paras = raw.where(F.size("t") > 0).select(file.alias("file"), para.alias("para"), "subtype", F.explode(F.array(with_planted(F.col("t"), para))).alias("tk"))
     n = F.size("tk")
-    # some third tokens become dashed compounds of the two words around the first break
-    about = (F.col("file") * 3 + F.col("para")) % 5 == 0
-    left, right = F.try_element_at("tk", F.lit(WRAP)), F.try_element_at("tk", F.lit(WRAP + 1))
-    both = about & left.rlike(f"^[{LETTERS}]+$") & right.rlike(f"^[{LETTERS}]+$")
-    paras = paras.withColumn("tk", F.when(both, F.concat(F.slice("tk", 1, 2), F.array(F.concat(left, F.lit("-"), right)), F.slice("tk", F.lit(4), n))).otherwise(F.col("tk")))
-    # some paragraphs end in a mark that no next line can judge
-    left_open = (F.col("file") * 13 + F.col("para") * 5) % 23 == 0
-    paras = paras.withColumn("tk", F.when(left_open, F.concat(F.slice("tk", F.lit(1), n - 1), F.array(F.concat(F.try_element_at("tk", F.lit(-1)), F.lit("¬"))))).otherwise(F.col("tk")))
 
     def end_of(i: Column) -> tuple[Column, Column]:
         """(token, label) that ends line i, null where nothing may be damaged."""
@@ -64,7 +71,7 @@ def rewrapped(docs: DataFrame, subtype: str = "source") -> DataFrame:
         body = F.when(label.isNull(), whole).otherwise(F.concat(F.slice(F.col("tk"), (i * WRAP + 1).cast("int"), F.lit(WRAP - 1)), F.array(ending)))
         return F.struct(F.array_join(F.concat(carried, body), " ").alias("line"), label.alias("label"))
 
-    wrapped = paras.withColumn("x", F.transform(F.sequence(F.lit(0), F.floor((n - 1) / WRAP).cast("int")), line))
+    wrapped = paras.select("file", "para", "subtype", F.explode(F.array(F.transform(F.sequence(F.lit(0), F.floor((n - 1) / WRAP).cast("int")), line))).alias("x"))
     return wrapped.select("file", "para", "subtype", F.col("x.line").alias("lines"), F.col("x.label").alias("labels"))
 
 
@@ -74,11 +81,12 @@ def lines_of(paragraphs: DataFrame, min_lines: int = 1, skip_subtypes: tuple[str
     kept = paragraphs.where(F.size("lines") >= min_lines)
     if skip_subtypes:
         kept = kept.where(~F.coalesce(F.col("subtype"), F.lit("")).isin(*skip_subtypes))
-    rows = kept.select("file", "para", "subtype", F.size("lines").cast("long").alias("n_lines"), "lines", F.posexplode("lines").alias("i", "line"))
+    each = F.transform("lines", lambda x: F.struct(x.alias("line"), tokens(x).alias("toks")))
+    rows = kept.select("file", "para", "subtype", F.size("lines").cast("long").alias("n_lines"), "lines", F.posexplode(each).alias("i", "t"))
     return rows.select(
-        "file", "para", F.col("i").cast("long").alias("pos"), "subtype", "n_lines", "line",
+        "file", "para", F.col("i").cast("long").alias("pos"), "subtype", "n_lines", "t.line",
         F.when(F.col("i") > 0, F.try_element_at("lines", F.col("i"))).alias("prev_line"),
-        F.try_element_at("lines", F.col("i") + 2).alias("next_line"), tokens(F.col("line")).alias("toks"),
+        F.try_element_at("lines", F.col("i") + 2).alias("next_line"), "t.toks",
     )
 
 
