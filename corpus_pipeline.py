@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linemend.llm import bpe, mixing, parity_join, pii, toxicity
-from linemend.llm.base import cut_table, table
+from linemend.llm.base import cut_table, drop_table, table
 
 #: Near copies in the pipeline: shingles of five words, Jaccard at least 80 : 100.
 NEAR = (5, 80, 100)
@@ -96,7 +96,10 @@ ORACLE_SQL = None
 
 
 def run(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = table(spark, sf_dir, "documents")
+    docs, former = table(spark, sf_dir, "documents"), None
     for name, stage in STAGES[:-1]:
         docs = cut_table(stage(spark, docs, sf_dir), f"pipeline-{name}")
+        if former is not None:  # nothing reads it any more
+            drop_table(former)
+        former = docs
     return STAGES[-1][1](spark, docs, sf_dir)

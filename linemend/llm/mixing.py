@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from linemend.llm.base import table
 
 BLOCK_ROWS, MOST_BLOCKS, MOST_SOURCES = 16, 1 << 18, 10_000
-RANGE_ROWS, MOST_CELLS, PIECE = 4096, 1 << 20, 1024
+RANGE_ROWS, MOST_CELLS, PIECE = 256, 1 << 20, 1024
 
 
 def exact_shares(weights: Sequence[float | Decimal | Fraction]) -> list[int]:
