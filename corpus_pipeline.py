@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linemend.llm import bpe, mixing, parity_join, pii, toxicity
-from linemend.llm.base import cut_table, drop_table, table
+from linemend.llm.base import cut_table, drop_table, local_table, table
 
 #: Near copies in the pipeline: shingles of five words, Jaccard at least 80 : 100.
 NEAR = (5, 80, 100)
@@ -71,7 +71,7 @@ def in_written_order(spark: SparkSession, docs: DataFrame) -> DataFrame:
     parts = docs.groupBy(path.alias("_path")).agg(F.count(F.lit(1)).alias("n")).withColumn("name", F.element_at(F.split("_path", "/"), -1))
     found = sorted(parts.withColumn("part", F.regexp_extract("name", r"^part-(\d+)", 1)).collect(), key=lambda r: (int(r.part or 0), r.name))
     ends = list(itertools.accumulate((r.n for r in found), initial=0))
-    starts = spark.createDataFrame([(r._path, k) for r, k in zip(found, ends)], "_path string, _start long")
+    starts = local_table(spark, [(r._path, k) for r, k in zip(found, ends)], "_path string, _start long")
     placed = docs.select(*docs.columns, path.alias("_path"), F.col("_metadata.row_index").alias("_row")).join(F.broadcast(starts), "_path")
     return placed.select(*docs.columns, (F.col("_start") + F.col("_row")).alias("position"))
 

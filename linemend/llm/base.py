@@ -16,6 +16,17 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 
 
+def local_table(spark: SparkSession, rows: list[tuple], schema: str) -> DataFrame:
+    """A bounded table of the driver's.  It goes to the JVM as Arrow: lists of rows are pickled
+    anew by Python workers of a kind of their own, which executors then hold for a while."""
+    from pyspark.sql.pandas.types import to_arrow_schema
+    from pyspark.sql.types import StructType
+
+    fields = to_arrow_schema(StructType.fromDDL(schema))
+    columns = zip(*rows, strict=True) if rows else [()] * len(fields)
+    return spark.createDataFrame(pa.table([pa.array(c, f.type) for c, f in zip(columns, fields, strict=True)], schema=fields), schema=schema)
+
+
 def once(key: tuple, build: Callable[[], Any]) -> Any:
     """Per-process memo, so that a Python worker builds an object once and not once a
     task.  ``key[0]`` names the operator: when another operator's object is built, the

@@ -38,7 +38,7 @@ from fractions import Fraction
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from linemend.llm.base import table
+from linemend.llm.base import local_table, table
 
 BLOCK_ROWS, MOST_BLOCKS, MOST_SOURCES = 16, 1 << 18, 10_000
 RANGE_ROWS, MOST_CELLS, PIECE = 256, 1 << 20, 1024
@@ -114,7 +114,7 @@ class Mixer:
         wanted = max(self.counts.values(), default=1) // RANGE_ROWS
         self._bits = max(1, min(wanted.bit_length(), most.bit_length() - 1))
         pieces = [(s, k // PIECE, at[k : k + PIECE]) for s, at in self.slots.items() for k in range(0, len(at), PIECE)]
-        self._pieces = self.spark.createDataFrame(pieces, "p_source string, piece long, slots array<int>")
+        self._pieces = local_table(self.spark, pieces, "p_source string, piece long, slots array<int>")
 
     def hashed(self, rows: DataFrame) -> DataFrame:
         """Adds ``h`` and its range ``r``: the order within a source is (r, h, id)."""

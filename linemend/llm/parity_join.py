@@ -455,7 +455,9 @@ def _sets(docs: DataFrame, members: DataFrame, ends: DataFrame, words: int) -> D
 
     place = F.shiftrightunsigned(F.xxhash64("id"), 64 - bits)
     texts = docs.where("id is not null").select("id", "text", place.alias("place")).mapInArrow(thinned, schema)
-    return texts.join(reps, "id").select("v", "text").mapInArrow(sets, "v bigint, s binary")
+    # never a broadcast: two Python functions in one stage take two workers for each core, and an
+    # executor keeps all its workers, with their caches, for later stages
+    return texts.join(reps.hint("merge"), "id").select("v", "text").mapInArrow(sets, "v bigint, s binary")
 
 
 def _linked(docs: DataFrame, members: DataFrame, pairs: DataFrame, bands: Bands, words: int) -> DataFrame:

@@ -127,3 +127,12 @@ def test_clashing_names_and_bounds(spark, monkeypatch):
     monkeypatch.setattr(mixing, "MOST_SOURCES", 1)
     with pytest.raises(ValueError):
         mix(df)
+
+
+def test_the_schedule_needs_no_python_worker(spark):
+    """Lists of rows would go through Python workers of their own kind on the executors."""
+    rows = spark.createDataFrame([(i, "ab"[i % 3 > 1]) for i in range(50)] + [(50, None)], "id long, source string")
+    pieces = mixing.Mixer(rows, None, 4)._pieces
+    assert "Python" not in pieces._jdf.queryExecution().toRdd().toDebugString()
+    slots = sorted(x for r in pieces.collect() for x in r.slots)
+    assert slots == list(range(len(slots))) and {r.p_source for r in pieces.collect()} == {"a", "b", None}

@@ -119,3 +119,15 @@ def test_groups_bounded_by_bytes(spark, monkeypatch):
     monkeypatch.setattr(P, "GROUP_BYTES", 2_000)
     rows = corpus(7, 80)
     assert got(spark, rows) == sorted(brute(rows), key=str)
+
+
+def test_one_python_function_a_stage(spark):
+    """Thinning texts and making sets meet over a shuffle, however few the sets are: with a
+    broadcast they share a stage, and executors hold twice as many Python workers."""
+    docs = spark.createDataFrame([(i, f"a b c d e{i}") for i in range(9)], "id long, text string")
+    members = spark.createDataFrame([(i, P.set_id(P.shingles(f"a b c d e{i}"))) for i in range(9)], "id long, v long")
+    out = P._sets(docs, members, members.select("v").limit(3), 4)
+    assert {r.v for r in out.collect()} <= {r.v for r in members.collect()} and out.count() == 3
+    plan = out._jdf.queryExecution().executedPlan().toString()
+    upper, lower = [at for at in range(len(plan)) if plan.startswith("MapInArrow", at)][:2]
+    assert "Exchange hashpartitioning" in plan[upper:lower] and "BroadcastHashJoin" not in plan[upper:lower]
