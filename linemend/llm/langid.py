@@ -43,15 +43,29 @@ PAD, MARK = 256, 257
 
 
 @cache
-def _runs() -> Callable[[str], list[str]]:
-    """Finds runs of letters (Unicode category L): of what the pattern language calls
-    alphanumeric, all but numbers of any kind."""
-    numbers = "".join(re.escape(c) for c in map(chr, range(sys.maxunicode + 1)) if c.isnumeric() and not unicodedata.category(c).startswith("L"))
-    return re.compile(rf"[^\W\d_{numbers}]+").findall
+def _runs() -> tuple[Callable[[str], list[str]], Callable[[str], list[str]]]:
+    """Find runs of letters (Unicode category L): of what the pattern language calls
+    alphanumeric, all but numbers of any kind.  The first is for texts without characters
+    above U+FFFF: only up to there is a class a bit table, and what it holds beyond is
+    tried entry by entry at every letter."""
+    numbers = [chr(c) for c in range(sys.maxunicode + 1) if chr(c).isnumeric() and not unicodedata.category(chr(c)).startswith("L")]
+    low = "".join(re.escape(c) for c in numbers if c <= "\uffff")
+    spans: list[list[str]] = []
+    for c in numbers:
+        if spans and ord(c) == ord(spans[-1][1]) + 1:
+            spans[-1][1] = c
+        else:
+            spans.append([c, c])
+    every = "".join(f"{re.escape(first)}-{re.escape(last)}" for first, last in spans)
+    return re.compile(rf"[^\W\d_{low}]+").findall, re.compile(rf"[^\W\d_{every}]+").findall
+
+
+_above = re.compile("[\U00010000-\U0010ffff]").search
 
 
 def letter_runs(text: str | None) -> list[str]:
-    return _runs()((text or "").lower())
+    text = (text or "").lower()
+    return _runs()[_above(text) is not None](text)
 
 
 def windows(run: str) -> list[bytes]:
