@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from linemend.llm import bpe, mixing, parity_join, pii, toxicity
-from linemend.llm.base import cut_table, drop_table, local_table, table
+from linemend.llm.base import cut_table, drop_table, local_table, marked, table
 
 #: Near copies in the pipeline: shingles of five words, Jaccard at least 80 : 100.
 NEAR = (5, 80, 100)
@@ -36,7 +36,10 @@ def one_of_each_group(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Data
     named = docs.where(F.col("doc_id").isNotNull())
     by_id = joined.where("doc_id is not null").groupBy("doc_id").agg(F.count(F.lit(1)).alias("rows"), F.bool_or(F.col("doc_id") == F.col("component_id")).alias("heads"))
     by_id = cut_table(by_id, "pipeline-ids")
-    kept = named.join(by_id.where("rows = 1 and heads").select("doc_id"), "doc_id", "left_semi").select(docs.columns)
+    # most ids stay: the texts of the others alone, and of what shares a bit with them, are shuffled
+    placed = marked(named, "doc_id", by_id.where("not (rows = 1 and coalesce(heads, false))").select("doc_id"), "_doubtful")
+    kept = placed.where("_doubtful").join(by_id.where("rows = 1 and heads").select("doc_id"), "doc_id", "left_semi")
+    kept = placed.where("not _doubtful").unionByName(kept).select(docs.columns)
     repeated = by_id.where("rows > 1").select("doc_id")
     if not repeated.isEmpty():
         heads = joined.where("doc_id = component_id").join(repeated, "doc_id", "left_semi").select(F.col("doc_id").alias("_id"), F.col("set_id").alias("_set"), "links_to").distinct()

@@ -126,6 +126,24 @@ def hash_share(df: DataFrame, key: Column, rows: int) -> DataFrame:
     return df.where(F.pmod(F.xxhash64(key), F.lit(of)) < max(1, of * rows // total))
 
 
+#: Bits of a bitmap, as Spark builds them (4 KB), and of all bitmaps of ``marked`` (8 MB).
+BITMAP, MARK_BITS = 15, 26
+
+
+def marked(df: DataFrame, key: str, ids: DataFrame, name: str) -> DataFrame:
+    """Adds the boolean ``name``: false where ``key`` is surely none of ``ids`` (a table of
+    that one column, no nulls), so that rows as large as texts are shuffled only where it is
+    true.  Bits of hashes are broadcast, more the more ids there are, up to 2**MARK_BITS;
+    beyond that more rows are marked than need be, and none is missed."""
+    bits = min(MARK_BITS, max(BITMAP, (16 * ids.count()).bit_length()))
+    place = F.shiftrightunsigned(F.xxhash64(F.col(key).cast("long")), 64 - bits)
+    row, at = F.shiftright(place, BITMAP), place.bitwiseAND((1 << BITMAP) - 1)
+    bitmaps = ids.select(row.alias("_mark_row"), at.alias("_mark_at")).groupBy("_mark_row").agg(F.bitmap_construct_agg("_mark_at").alias("_mark_bits"))
+    byte = F.conv(F.hex(F.substring(F.col("_mark_bits"), F.shiftright(at, 3).cast("int") + 1, F.lit(1))), 16, 10).cast("int")
+    hit = F.coalesce(F.getbit(byte, at.bitwiseAND(7).cast("int")) == 1, F.lit(False))
+    return df.join(F.broadcast(bitmaps), row == F.col("_mark_row"), "left").select(*df.columns, hit.alias(name))
+
+
 def ensure_checkpoint_dir(spark: SparkSession) -> None:
     """The cluster names the shared folder in ``spark.checkpoint.dir``; only
     where it is unset (a local session, tests) a temporary one is made."""

@@ -377,9 +377,13 @@ def _parts(sets: int, bytes_each: int) -> Column:
 
 def _crossing(rows: DataFrame, sketches: DataFrame, bands: Bands) -> DataFrame:
     """Spanning edges (a, b) of the sets that share a key, differ in component and are not
-    ruled out by sketches.  ``rows``: key, v, c.  A key's sets fall into blocks of at most
-    ``BLOCK_SETS``; two blocks of a key meet in one place each."""
-    parts = rows.join(sketches.select("v", "n"), "v").groupBy("key").agg(_parts(BLOCK_SETS, 1))
+    ruled out by sketches.  ``rows``: key, v, c.  Of keys that hold the same sets one is enough
+    (a digest of them tells).  A key's sets fall into blocks of at most ``BLOCK_SETS``; two
+    blocks of a key meet in one place each."""
+    h = F.xxhash64("v")
+    held = [F.count(F.lit(1)).alias("n_v"), F.bit_xor("v").alias("x_v"), F.sum(F.shiftrightunsigned(h, 32)).alias("high"), F.sum(h.bitwiseAND(0xFFFFFFFF)).alias("low")]
+    parts = rows.join(sketches.select("v", "n"), "v").groupBy("key").agg(_parts(BLOCK_SETS, 1), *held)
+    parts = parts.groupBy("n_v", "x_v", "high", "low", "parts").agg(F.min("key").alias("key")).select("key", "parts")
     placed = rows.join(parts, "key").withColumn("own", F.pmod(F.xxhash64("v"), "parts").cast("int"))
     meet = F.transform(F.sequence(F.lit(0), F.col("parts") - 1), lambda o: F.struct(F.least(o, F.col("own")).alias("p"), F.greatest(o, F.col("own")).alias("q")))
     sent = placed.withColumn("pq", F.explode(meet)).select("key", "pq.p", "pq.q", "own", "v", "c").join(sketches, "v")
@@ -543,10 +547,14 @@ def jaccard_join(
     links = _linked(read, known, _possible(stars, sketches, bands), bands, words)
     first = components(links)
 
-    labelled = keys.join(first, "v", "left").select("key", "v", F.coalesce("root", "v").alias("c"))
+    # written out, since each is read more than once and would be shuffled anew each time
+    labelled = cut_table(keys.join(first, "v", "left").select("key", "v", F.coalesce("root", "v").alias("c")), "parity-labelled")
+    drop_table(keys)
     open_keys = labelled.groupBy("key").agg(F.min("c").alias("lo"), F.max("c").alias("hi")).where("lo < hi").select("key")
-    open_rows = labelled.join(open_keys, "key", "left_semi").select("key", "v", "c")
+    open_rows = cut_table(labelled.join(open_keys, "key", "left_semi").select("key", "v", "c"), "parity-open")
+    drop_table(labelled)
     near = cut_table(_crossing(open_rows, sketches, bands), "parity-near")
+    drop_table(open_rows)
     if not near.isEmpty():
         first = components(links.union(_linked_clusters(read, known, near, sketches, bands, words)))
 

@@ -131,3 +131,38 @@ def test_one_python_function_a_stage(spark):
     plan = out._jdf.queryExecution().executedPlan().toString()
     upper, lower = [at for at in range(len(plan)) if plan.startswith("MapInArrow", at)][:2]
     assert "Exchange hashpartitioning" in plan[upper:lower] and "BroadcastHashJoin" not in plan[upper:lower]
+
+
+def shuffled(spark, action):
+    """What ``action`` returns, and the bytes and rows that its stages wrote to shuffles."""
+    sc = spark.sparkContext
+
+    def stages() -> dict:
+        sc._jsc.sc().listenerBus().waitUntilEmpty(30_000)
+        found = sc._jsc.sc().statusStore().stageList(None, False, False, sc._gateway.new_array(sc._jvm.double, 0), None)
+        return {x.stageId(): x for x in map(found.apply, range(found.size()))}
+
+    last = max(stages(), default=-1)
+    out = action()
+    made = [x for k, x in stages().items() if k > last]
+    return out, {"bytes": sum(x.shuffleWriteBytes() for x in made), "rows": sum(x.shuffleWriteRecords() for x in made)}
+
+
+def test_keys_with_equal_sets_are_compared_once(spark):
+    """Copies share many keys: their sketches go to one of them, and no other pair is lost."""
+    rng = np.random.default_rng(3)
+    sketch = lambda: rng.integers(0, 256, 1 << 16, dtype=np.uint8)
+    sets = {}
+    for v in (11, 21, 31):  # v + 1 is near v, all else is far
+        sets[v] = sketch()
+        sets[v + 1] = sets[v].copy()
+        sets[v + 1][0] ^= 1
+    n = 200_000
+    sketches = spark.createDataFrame([(v, x.tobytes(), n) for v, x in sets.items()], "v long, bits binary, n long").persist()
+    # (11, 11, 12) and (12, 21, 21) hold other sets, though doubled ones cancel out
+    keys = [[11, 12]] * 60 + [[11, 12, 21]] + [[11, 11, 12], [12, 21, 21], [21, 22, 31, 31], [22, 31, 31], [31, 32]]
+    rows = spark.createDataFrame([(k, v, v) for k, held in enumerate(keys) for v in held], "key long, v long, c long")
+    edges, written = shuffled(spark, lambda: sorted((r.a, r.b) for r in P._crossing(rows, sketches, P.Bands()).collect()))
+    sketches.unpersist()
+    assert edges == [(11, 12), (21, 22), (31, 32)]
+    assert written["bytes"] < 60 * (1 << 16)

@@ -1,3 +1,4 @@
+import random
 import re
 
 from tokenizers import Tokenizer
@@ -5,9 +6,9 @@ from tokenizers import Tokenizer
 import corpus_pipeline as C
 from linemend.llm import mixing
 from linemend.llm import toxicity as T
-from linemend.llm.base import table, tokenizer_file
+from linemend.llm.base import marked, table, tokenizer_file
 from linemend.llm.pii import Pseudonyms
-from tests.llm.test_parity_join import brute
+from tests.llm.test_parity_join import brute, shuffled
 
 
 def test_stages_against_brute_force(spark, sf_dir, tmp_path):
@@ -90,3 +91,32 @@ def test_repeated_ids_go_by_their_own_group(spark, sf_dir):
     docs = spark.createDataFrame([(i, t, "en", "s", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
     out = sorted(((r.doc_id, r.text) for r in C.one_of_each_group(spark, docs, sf_dir).collect()), key=str)
     assert out == sorted([(1, text("a")), (2, text("b")), (4, text("c")), (5, ""), (5, None), (6, text("d")), (None, text("a"))], key=str)
+
+
+def test_texts_that_surely_stay_are_not_shuffled(spark, sf_dir):
+    """Only the texts of doubtful ids meet the table of ids; the rest pass."""
+    rng = random.Random(4)
+    texts = [" ".join("%016x" % rng.getrandbits(64) for _ in range(500)) for _ in range(240)]
+    rows = [(i, texts[i % 220], "en", "s", 1) for i in range(240)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    threshold = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    try:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+        out = C.one_of_each_group(spark, docs, sf_dir)
+        ids, written = shuffled(spark, lambda: sorted(r.doc_id for r in out.collect()))
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", threshold)
+    assert ids == list(range(220)) and written["bytes"] < sum(len(r[1]) for r in rows) / 4
+
+
+def test_marks_miss_no_id(spark, monkeypatch):
+    """Every listed id is marked, few others are; with too few bits more are marked, never fewer."""
+    ids = [-(1 << 63), -7, -1, 0, (1 << 63) - 1, *range(1, 3000, 3)]
+    rows = spark.createDataFrame([(i, "t") for i in [*ids, None, *range(10_000, 13_000)]], "doc_id long, text string")
+    listed = spark.createDataFrame([(i,) for i in ids], "doc_id long")
+    found = marked(rows, "doc_id", listed, "_m").collect()
+    assert {r.doc_id for r in found if r._m} >= set(ids) and 0 <= sum(r._m for r in found) - len(ids) < 500 and len(found) == len(ids) + 3001
+    monkeypatch.setattr("linemend.llm.base.MARK_BITS", 8)
+    monkeypatch.setattr("linemend.llm.base.BITMAP", 8)
+    assert {r.doc_id for r in marked(rows, "doc_id", listed, "_m").collect() if r._m} >= set(ids)
+    assert not any(r._m for r in marked(rows, "doc_id", listed.limit(0), "_m").collect())
