@@ -8,6 +8,8 @@ from pyspark.sql import functions as F
 
 from linemend.functions import text as T
 from linemend.functions import words as W
+from linemend.operators import lexicon as L
+from linemend.operators import lineends as E
 from linemend.plans import catalog
 from linemend.sources import corpus as D
 
@@ -38,7 +40,7 @@ def passes(spark, sf_dir, monkeypatch):
     catalog.Corpus.forget()
 
 
-@pytest.mark.parametrize("name", ["pair_evidence", "verdict_totals", "break_eval", "truncation_hits", "substitution_histogram", "channel_fit"])
+@pytest.mark.parametrize("name", ["pair_evidence", "verdict_totals", "break_eval", "truncation_hits", "substitution_histogram", "channel_fit", "line_end_set_recall"])
 def test_documents_are_read_once_or_twice(passes, name):
     """Four to six times before: once for each table of counts, and for each use of line ends."""
     assert passes(name) <= (3 if name == "channel_fit" else 2)
@@ -63,3 +65,12 @@ def test_long_paragraphs_cost_in_proportion(spark):
     carried = re.search(r", \[([^\[\]]*)\], false, \[i#", rows._jdf.queryExecution().executedPlan().toString()).group(1)
     assert "file#" in carried and "lines#" not in carried
     assert [(r.prev_line, r.next_line, r.toks) for r in rows.orderBy("pos").collect()] == [(None, "a b c", ["a", "b", "c"]), ("a b c", "a b c", ["a", "b", "c"]), ("a b c", None, ["a", "b", "c"])]
+
+
+def test_gold_is_one_row_a_word(spark):
+    """Candidates are not multiplied with occurrences: counts of a word come back, not rows."""
+    paras = spark.createDataFrame([(1, 1, "s", ["x der hut war y"] * 30 + ["x der hur war y"] * 20 + ["x die hut lag y"] * 2)], "file long, para long, subtype string, lines array<string>")
+    lines = D.lines_of(paras)
+    uni = L.unigrams(lines)
+    out = {r.w: r for r in E.answered(lines, uni, L.bigrams(lines), L.totals(uni)).collect()}
+    assert {w: (r.n, r.correct, r.members, r.common) for w, r in out.items()} == {"hut": (32, 32, "hur/hut", "hut"), "hur": (20, 0, "hur/hut", "hut")}
